@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 MINUTE = 60_000_000
 HOUR = 60 * MINUTE
 DAY = 24 * HOUR
+YEAR_ONE = 719_162 * DAY  # from 0001-01-01 to 1970-01-01
 
 
 def _epoch() -> Column:
@@ -36,22 +37,27 @@ def to_micros(moment: Column) -> Column:
     return F.timestamp_diff("MICROSECOND", _epoch(), moment)
 
 
-def whole_units(micros: Column, unit: int) -> Column:
-    """Completed units since the epoch, rounding down before 1970 as well."""
-    return F.call_function("div", micros - F.pmod(micros, F.lit(unit)), F.lit(unit))
+def _units(micros: Column, unit: int) -> Column:
+    """Completed units since 0001-01-01.
+
+    Counting from there keeps every valid time positive, so that integer division,
+    which truncates, rounds down before 1970 too.
+    """
+    return F.call_function("div", micros + F.lit(YEAR_ONE), F.lit(unit))
 
 
 def minutes_between(start_micros: Column, end_micros: Column) -> Column:
     """Minute boundaries crossed: 00:00:59 to 00:01:01 is one minute."""
-    return whole_units(end_micros, MINUTE) - whole_units(start_micros, MINUTE)
+    return _units(end_micros, MINUTE) - _units(start_micros, MINUTE)
 
 
 def epoch_date(micros: Column) -> Column:
-    return F.date_from_unix_date(whole_units(micros, DAY).cast("int"))
+    days = _units(micros, DAY) - F.lit(YEAR_ONE // DAY)
+    return F.date_from_unix_date(days.cast("int"))
 
 
 def epoch_hour(micros: Column) -> Column:
-    return F.call_function("div", F.pmod(micros, F.lit(DAY)), F.lit(HOUR)).cast("int")
+    return (_units(micros, HOUR) % 24).cast("int")
 
 
 def day_of_week(date: Column) -> Column:

@@ -24,7 +24,7 @@ def trips_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     order, part, supp, number = (
         F.col(f"l_{c}") for c in ("orderkey", "partkey", "suppkey", "linenumber")
     )
-    shipped = epoch.to_micros(F.col("l_shipdate").cast("timestamp_ntz"))
+    shipped = F.col("_shipped")
     second_of_day = (part * 7919 + order * 31) % 86400
     seconds_driven = (order * 13 + part * 7 + number) % 21600 - 300
     fare = F.col("l_extendedprice") / 1e3 - 2.0
@@ -34,8 +34,10 @@ def trips_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         order % 97 == 0, F.add_months(F.col("l_shipdate").cast("date"), 1)
     ).otherwise(F.col("l_shipdate").cast("date"))
     rate = supp % 10
-    copies = F.when(order % 50 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    return line.select(
+    # the ship time in microseconds, twice for an order to be doubled
+    once = epoch.to_micros(F.col("l_shipdate").cast("timestamp_ntz"))
+    copies = F.when(order % 50 == 0, F.array(once, once)).otherwise(F.array(once))
+    return line.select("*", F.explode(copies).alias("_shipped")).select(
         (number % 2 + 1).cast("int").alias("VendorID"),
         (shipped + second_of_day * 1_000_000).alias("tpep_pickup_datetime"),
         (shipped + (second_of_day + seconds_driven) * 1_000_000).alias("tpep_dropoff_datetime"),
@@ -60,8 +62,7 @@ def trips_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit("trips_"), F.date_format(named_month, "yyyy-MM"), F.lit(".parquet")
         ).alias(SOURCE_FILE),
         F.to_timestamp(F.lit("2026-01-01 00:00:00")).alias("_ingestion_date"),
-        F.explode(copies).alias("_copy"),
-    ).drop("_copy")
+    )
 
 
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
