@@ -1,0 +1,266 @@
+from __future__ import annotations
+
+import datetime as dt
+import os
+
+import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
+from helpers import micros, plan, raw_trips
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tripflow.plans.pipeline import build
+from tripflow.schemas import RAW_TRIP_SCHEMA, ZONE_SCHEMA
+from tripflow.session import shared_dir
+from tripflow.sources import trips as src
+from tripflow.sources.conform import conform, evolve, merged_schema
+from tripflow.sources.layers import layer_path, materialize
+from tripflow.sources.zones import load_zones
+from tripflow.streaming.ingest import ingest_incremental
+
+PICKUP = micros("2024-01-05 10:00:00")
+
+
+def land(folder, month, vendor_type=pa.int32(), rows=2, **extra):
+    os.makedirs(folder, exist_ok=True)
+    table = pa.table(
+        {
+            "VendorID": pa.array([1, 2] * rows, vendor_type)[:rows],
+            "tpep_pickup_datetime": pa.array([PICKUP] * rows, pa.int64()),
+            "trip_distance": pa.array([1.5] * rows),
+            **extra,
+        }
+    )
+    pq.write_table(table, f"{folder}/trips_{month}.parquet")
+
+
+def counts(df):
+    return {r._source_file: r["count"] for r in df.groupBy("_source_file").count().collect()}
+
+
+def test_monthly_glob_skips_absent_months(spark, tmp_path):
+    land(tmp_path, "2024-01")
+    land(tmp_path, "2025-12")
+    land(tmp_path, "2027-01")
+    land(tmp_path, "2024-00")
+    pattern = "trips_{year}-{month}.parquet"
+    glob = src.monthly_paths(str(tmp_path), [2024, 2025, 2026], pattern)
+    assert counts(src.read_trips(spark, glob)) == {
+        "trips_2024-01.parquet": 2,
+        "trips_2025-12.parquet": 2,
+    }
+
+
+def test_read_unites_drifting_files(spark, tmp_path):
+    land(tmp_path, "2024-01", pa.int32(), Airport_fee=pa.array([1.0, None]))
+    land(tmp_path, "2024-02", pa.int64(), airport_fee=pa.array([2, 3], pa.int32()))
+    land(tmp_path, "2024-03", pa.float64(), cbd_congestion_fee=pa.array([0.75, 0.75]))
+    df = src.read_trips(spark, f"{tmp_path}/*.parquet")
+    assert df.schema.simpleString() == RAW_TRIP_SCHEMA.simpleString()
+    found = sorted(
+        (r._source_file[6:13], r.VendorID, r.Airport_fee, r.cbd_congestion_fee)
+        for r in df.collect()
+    )
+    assert found == [
+        ("2024-01", 1, 1.0, None),
+        ("2024-01", 2, None, None),
+        ("2024-02", 1, 2.0, None),
+        ("2024-02", 2, 3.0, None),
+        ("2024-03", 1, None, 0.75),
+        ("2024-03", 2, None, 0.75),
+    ]
+    assert df.filter(F.col("_ingestion_date").isNull()).count() == 0
+
+
+def test_inferred_schema_is_the_widest(spark, tmp_path):
+    land(tmp_path, "2024-01", pa.int32())
+    land(tmp_path, "2024-02", pa.int64(), Fee=pa.array([1.0, 2.0]))
+    land(tmp_path, "2024-03", pa.int32(), fee=pa.array([1, 2], pa.int32()))
+    schema = src.infer_trip_schema(spark, [f"{tmp_path}/*.parquet"])
+    types = {f.name: f.dataType.simpleString() for f in schema}
+    assert types["VendorID"] == "bigint"
+    assert types["Fee"] == "double"
+    assert "fee" not in types
+
+
+def test_widening_never_loses_integers():
+    def one(kind):
+        return T.StructType([T.StructField("x", kind)])
+
+    merged = merged_schema([one(T.LongType()), one(T.FloatType())])
+    assert merged["x"].dataType == T.DoubleType()
+
+
+def test_timestamps_become_microseconds(spark, tmp_path):
+    moment = dt.datetime(2024, 1, 5, 10, 0, 0, 7)
+    table = pa.table({"tpep_pickup_datetime": pa.array([moment], pa.timestamp("us"))})
+    pq.write_table(table, f"{tmp_path}/trips_2024-01.parquet")
+    row = src.read_trips(spark, f"{tmp_path}/*.parquet").first()
+    assert row.tpep_pickup_datetime == PICKUP + 7
+
+
+def test_directory_of_parts_is_one_file(spark, tmp_path):
+    month = f"{tmp_path}/landing/trips_2024-01.parquet"
+    os.makedirs(month)
+    for part in ("part-0", "part-1"):
+        pq.write_table(pa.table({"VendorID": pa.array([1], pa.int32())}), f"{month}/{part}.parquet")
+    target = f"{tmp_path}/raw"
+    report = src.load_new_files(spark, f"{tmp_path}/landing", target)
+    assert len(report.loaded) == 1
+    assert counts(spark.read.parquet(target)) == {"trips_2024-01.parquet": 2}
+
+
+def test_reruns_add_nothing(spark, tmp_path):
+    landing, target = f"{tmp_path}/landing", f"{tmp_path}/raw"
+    land(landing, "2024-01")
+    assert len(src.load_new_files(spark, landing, target).loaded) == 1
+    assert src.load_new_files(spark, landing, target) == src.LoadReport([], [])
+    land(landing, "2024-02", pa.int64())
+    again = src.load_new_files(spark, landing, target)
+    assert [p.rsplit("/", 1)[1] for p in again.loaded] == ["trips_2024-02.parquet"]
+    assert counts(spark.read.parquet(target)) == {
+        "trips_2024-01.parquet": 2,
+        "trips_2024-02.parquet": 2,
+    }
+
+
+def _spoil_pages(path):
+    """Damage the data of a file but not its footer."""
+    size = os.path.getsize(path)
+    with open(path, "r+b") as file:
+        file.seek(4)
+        file.write(b"\xff" * 200)
+    assert os.path.getsize(path) == size
+
+
+def test_bad_files_are_skipped_whole_and_retried(spark, tmp_path):
+    landing, target = f"{tmp_path}/landing", f"{tmp_path}/raw"
+    for month in ("2024-01", "2024-02", "2024-03", "2024-04"):
+        land(landing, month, rows=500)
+    with open(f"{landing}/trips_2024-02.parquet", "wb") as file:
+        file.write(b"not a parquet file")
+    _spoil_pages(f"{landing}/trips_2024-03.parquet")
+    with pytest.raises(Exception):  # noqa: B017
+        src.load_new_files(spark, landing, target)
+    report = src.load_new_files(spark, landing, target, on_error="skip")
+    assert [p[-15:-8] for p in report.skipped] == ["2024-02", "2024-03"]
+    good = {"trips_2024-01.parquet": 500, "trips_2024-04.parquet": 500}
+    assert counts(spark.read.parquet(target)) == good
+    land(landing, "2024-02", rows=500)
+    src.load_new_files(spark, landing, target, on_error="skip")
+    assert counts(spark.read.parquet(target)) == good | {"trips_2024-02.parquet": 500}
+
+
+def test_read_can_skip_unreadable_files(spark, tmp_path):
+    land(tmp_path, "2024-01")
+    with open(f"{tmp_path}/trips_2024-02.parquet", "wb") as file:
+        file.write(b"not a parquet file")
+    with pytest.raises(Exception):  # noqa: B017
+        src.read_trips(spark, f"{tmp_path}/*.parquet").count()
+    assert src.read_trips(spark, f"{tmp_path}/*.parquet", on_error="skip").count() == 2
+
+
+def test_same_name_twice_is_refused(spark, tmp_path):
+    land(tmp_path / "landing" / "a", "2024-01")
+    land(tmp_path / "landing" / "b", "2024-01")
+    with pytest.raises(ValueError, match="share a name"):
+        src.load_new_files(spark, f"{tmp_path}/landing", f"{tmp_path}/raw")
+
+
+def test_stream_loads_each_file_once(spark, tmp_path):
+    landing, target, log = (f"{tmp_path}/{n}" for n in ("landing", "raw", "log"))
+    land(landing, "2024-01")
+    files = src.infer_trip_schema(spark, [f"{landing}/*.parquet"])
+    for month in ("2024-02", "2024-03", None, None):
+        ingest_incremental(spark, landing, target, log, files, max_files_per_batch=1)
+        if month:
+            land(landing, month)
+    loaded = spark.read.parquet(target)
+    assert counts(loaded) == {f"trips_2024-0{m}.parquet": 2 for m in (1, 2, 3)}
+    assert set(loaded.columns) == set(RAW_TRIP_SCHEMA.names)
+
+
+def test_listing_reads_no_contents(spark, tmp_path):
+    land(tmp_path, "2024-01")
+    text = plan(src.list_files(spark, str(tmp_path)))
+    assert "ReadSchema: struct<path:string>" in text
+
+
+def test_evolve_adds_doubles_and_fills_nulls(spark):
+    old = spark.createDataFrame([(1, 2.0)], "id int, Fee double")
+    new = spark.createDataFrame([(2, 3, "4")], "ID bigint, fee int, extra string")
+    merged = evolve(old, new)
+    assert merged.schema.simpleString() == "struct<id:int,Fee:double,extra:double>"
+    assert sorted(map(tuple, merged.collect())) == [(1, 2.0, None), (2, 3.0, 4.0)]
+
+
+def test_conform_ignores_case_and_order(spark):
+    df = spark.createDataFrame([("x", 1.0)], "B string, a double")
+    schema = T.StructType.fromDDL("A int, b string, c date")
+    assert tuple(conform(df, schema).first()) == (1, "x", None)
+
+
+def test_write_modes(spark, tmp_path):
+    path = f"{tmp_path}/raw"
+    df = raw_trips(spark, {}, {})
+    src.write_raw(df, path, "append")
+    src.write_raw(df, path, "append")
+    assert spark.read.parquet(path).count() == 4
+    src.write_raw(df, path, "overwrite")
+    assert spark.read.parquet(path).count() == 2
+    with pytest.raises(ValueError, match="mode"):
+        src.write_raw(df, path, "merge")
+
+
+def test_zones_by_position_with_missing_names(spark, tmp_path):
+    path = tmp_path / "zones.csv"
+    path.write_text(
+        '"LocationID","Borough","Zone","service_zone"\n'
+        '1,"North","Hill, upper","Boro Zone"\n'
+        '264,"Unknown","N/A","N/A"\n'
+        '265,"N/A","Outside","N/A"\n'
+    )
+    zones = load_zones(spark, str(path))
+    assert zones.schema.names == ZONE_SCHEMA.names
+    assert sorted(map(tuple, zones.collect())) == [
+        (1, "North", "Hill, upper", "Boro Zone"),
+        (264, "Unknown", None, None),
+        (265, None, "Outside", None),
+    ]
+
+
+def test_layers_and_materialisation(spark, tmp_path):
+    root = str(tmp_path)
+    df = spark.range(3).withColumn("p", F.col("id") % 2)
+    table = materialize(df, root, "final", "numbers", partition_by=["p"])
+    assert table.count() == 3
+    assert materialize(df.limit(1), root, "final", "numbers", partition_by=["p"]).count() == 1
+    assert os.path.isdir(layer_path(root, "final", "numbers"))
+    assert materialize(df, root, "final", "numbers_view", kind="view").count() == 3
+    with pytest.raises(ValueError, match="layer"):
+        layer_path(root, "gold", "x")
+    with pytest.raises(ValueError, match="materialisation"):
+        materialize(df, root, "final", "x", kind="index")
+
+
+def test_shared_dir_follows_the_session(spark):
+    first, second = shared_dir(spark, "x"), shared_dir(spark, "x")
+    assert first != second
+    assert first.startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_pipeline_from_landing_to_tested_marts(spark, tmp_path):
+    landing = f"{tmp_path}/landing"
+    trips = raw_trips(spark, {}, {"PULocationID": 11}, {"fare_amount": -1.0})
+    trips.drop("_ingestion_date").write.partitionBy("_source_file").parquet(landing)
+    src.load_new_files(spark, landing, f"{tmp_path}/raw/trips")
+    zones = spark.createDataFrame(
+        [(10, "North", "Hill", "Boro"), (11, "Unknown", None, None)], ZONE_SCHEMA
+    )
+    built = build(spark.read.parquet(f"{tmp_path}/raw/trips"), zones, str(tmp_path))
+    assert built.staging.count() == 2
+    assert [r.total_trips for r in built.daily.collect()] == [2]
+    assert [r.zone_name for r in built.zone.collect()] == ["Hill"]
+    assert built.tests.count() == 69
+    assert built.tests.filter("NOT passed").count() == 0

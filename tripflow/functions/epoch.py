@@ -32,9 +32,25 @@ def from_micros(micros: Column) -> Column:
     return F.timestamp_add("MICROSECOND", micros, _epoch())
 
 
+def _minute(moment: Column) -> Column:
+    """Whole minutes since the epoch of a TIMESTAMP_NTZ.
+
+    Built from its calendar fields: Spark's timestamp differences pass through the
+    session time zone, which moves or drops wall-clock times around clock changes.
+    """
+    days = F.unix_date(moment.cast("date")).cast("bigint")
+    return days * 1440 + F.hour(moment) * 60 + F.minute(moment)
+
+
 def to_micros(moment: Column) -> Column:
-    """Microseconds of a TIMESTAMP_NTZ, read as UTC wall-clock time."""
-    return F.timestamp_diff("MICROSECOND", _epoch(), moment)
+    """Microseconds since the epoch of a TIMESTAMP_NTZ, read as UTC wall-clock time."""
+    seconds = F.date_part(F.lit("SECOND"), moment)  # DECIMAL(8,6)
+    return _minute(moment) * F.lit(MINUTE) + (seconds * 1_000_000).cast("bigint")
+
+
+def minutes_between_times(start: Column, end: Column) -> Column:
+    """``minutes_between`` for TIMESTAMP_NTZ columns."""
+    return _minute(end) - _minute(start)
 
 
 def _units(micros: Column, unit: int) -> Column:

@@ -79,9 +79,7 @@ def name_zones(
 
 
 def daily_metrics(trips: DataFrame) -> DataFrame:
-    minutes = epoch.minutes_between(
-        epoch.to_micros(F.col("pickup_datetime")), epoch.to_micros(F.col("dropoff_datetime"))
-    )
+    minutes = epoch.minutes_between_times(F.col("pickup_datetime"), F.col("dropoff_datetime"))
     per_day = (
         trips.withColumns(
             {
