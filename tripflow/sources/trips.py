@@ -1,7 +1,7 @@
 """Loading monthly trip files into the raw layer.
 
-A monthly file is the unit of loading: a Parquet file, or a directory of part files,
-whose name carries ``YYYY-MM`` and ends in ``.parquet``. Raw is partitioned by that
+A monthly file is the unit of loading: a Parquet file, or a folder of part files whose
+name ends in ``.parquet``. Raw is partitioned by that
 name, so replacing a partition is atomic per file and a retried load cannot add its
 rows twice.
 """
@@ -24,7 +24,6 @@ from tripflow.sources.conform import conform, merged_schema
 # File naming of the published monthly files.
 MONTHLY_PATTERN = "yellow_tripdata_{year}-{month}.parquet"
 _MONTHS = "{01,02,03,04,05,06,07,08,09,10,11,12}"
-_MONTHLY_NAME = r"[^/=]*\d{4}-\d{2}[^/=]*\.parquet"
 
 _SPARK_ERRORS = (PySparkException, Py4JJavaError)
 
@@ -35,11 +34,20 @@ def monthly_paths(base: str, years: Iterable[int], pattern: str = MONTHLY_PATTER
     return f"{base.rstrip('/')}/{pattern.format(year=listed, month=_MONTHS)}"
 
 
+def _folder(path: Column) -> Column:
+    return F.substring_index(F.substring_index(path, "/", -2), "/", 1)
+
+
 def source_name(path: Column) -> Column:
-    """Monthly file name within a path, or the last path segment if none is monthly."""
-    return F.coalesce(
-        F.regexp_substr(path, F.lit(_MONTHLY_NAME)), F.substring_index(path, "/", -1)
-    )
+    """Monthly file name of a data file: its own, or that of the folder it is a part of.
+
+    Plain string splitting, since this runs for every row read. A folder may be written
+    by ``partitionBy``, so a ``column=`` in front of the name is dropped.
+    """
+    folder = _folder(path)
+    return F.when(
+        folder.endswith(".parquet"), F.substring_index(folder, "=", -1)
+    ).otherwise(F.substring_index(path, "/", -1))
 
 
 def with_lineage(df: DataFrame) -> DataFrame:
@@ -58,6 +66,15 @@ class FileGroups:
     groups: list[tuple[list[str], T.StructType]] = field(default_factory=list)
     unreadable: list[str] = field(default_factory=list)
 
+    def add(self, paths: Sequence[str], schema: T.StructType) -> None:
+        """Join a group of the same columns and types, or open a new one."""
+        kinds = {f.name.lower(): f.dataType for f in schema.fields}
+        for known, existing in self.groups:
+            if kinds == {f.name.lower(): f.dataType for f in existing.fields}:
+                known.extend(paths)
+                return
+        self.groups.append((list(paths), schema))
+
 
 def _footer_schema(spark: SparkSession, paths: Sequence[str]) -> T.StructType:
     return spark.read.option("mergeSchema", "true").parquet(*paths).schema
@@ -75,7 +92,7 @@ def schema_groups(spark: SparkSession, paths: Sequence[str], on_error: str = "ab
 
     def visit(part: Sequence[str]) -> None:
         try:
-            found.groups.append((list(part), _footer_schema(spark, part)))
+            found.add(part, _footer_schema(spark, part))
         except _SPARK_ERRORS as error:
             if on_error != "skip" and "CANNOT_MERGE_SCHEMAS" not in str(error):
                 raise
@@ -113,9 +130,11 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
 
 def monthly_files(spark: SparkSession, landing: str) -> DataFrame:
     """Monthly files of a landing folder: name and path."""
-    unit = F.regexp_substr("path", F.lit(r"^.*?/[^/]*\d{4}-\d{2}[^/]*\.parquet(?=/|$)"))
+    path = F.col("path")
+    folder = F.regexp_replace(path, "/[^/]*$", "")
     located = list_files(spark, landing).select(
-        source_name(F.col("path")).alias(SOURCE_FILE), F.coalesce(unit, "path").alias("path")
+        source_name(path).alias(SOURCE_FILE),
+        F.when(folder.endswith(".parquet"), folder).otherwise(path).alias("path"),
     )
     return located.distinct()
 
