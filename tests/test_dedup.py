@@ -1,9 +1,11 @@
 from __future__ import annotations
 
+import pytest
 from helpers import plan, raw_trips
+from pyspark.sql import functions as F
 
 from tripflow.operators.cleaning import billing_profile, clean
-from tripflow.operators.dedup import dedup_keep_first, duplicate_report
+from tripflow.operators.dedup import SUSPECT_LIMIT, dedup_keep_first, duplicate_report
 from tripflow.schemas import BUSINESS_COLUMNS, SOURCE_FILE
 
 
@@ -39,7 +41,8 @@ def test_hot_key_is_cut_before_the_shuffle(spark):
     assert kept.filter("k = -1").first().v == 0
 
 
-def test_report_counts_per_file_and_keeps_nulls_equal(spark):
+@pytest.mark.parametrize("suspect_limit", [SUSPECT_LIMIT, 0])
+def test_report_counts_per_file_and_keeps_nulls_equal(spark, suspect_limit):
     raw = raw_trips(
         spark,
         *[{"passenger_count": None}] * 3,
@@ -47,5 +50,12 @@ def test_report_counts_per_file_and_keeps_nulls_equal(spark):
         {"tip_amount": 1.0},
         {"_source_file": "trips_2024-06.parquet"},
     )
-    found = duplicate_report(raw, BUSINESS_COLUMNS, SOURCE_FILE).collect()
+    found = duplicate_report(raw, BUSINESS_COLUMNS, SOURCE_FILE, suspect_limit).collect()
     assert [tuple(r) for r in found] == [("trips_2024-05.parquet", 2, 5, 3)]
+
+
+def test_shared_fingerprint_is_no_duplicate(spark):
+    # a NULL leaves the fingerprint as it is, so these two rows share one
+    df = spark.createDataFrame([("f", None, 1), ("f", 1, None)], "file string, a int, b int")
+    assert df.select(F.xxhash64("file", "a", "b")).distinct().count() == 1
+    assert duplicate_report(df, ["a", "b"], "file").count() == 0

@@ -81,14 +81,22 @@ def day_of_week(date: Column) -> Column:
     return F.dayofweek(date) - 1
 
 
+_YEAR_MONTH = r"\d{4}-\d{2}"
+
+
 def file_month_text(file_name: Column) -> Column:
     """The first YYYY-MM in a file name, NULL if there is none."""
-    return F.regexp_substr(file_name, F.lit(r"\d{4}-\d{2}"))
+    return F.regexp_substr(file_name, F.lit(_YEAR_MONTH))
 
 
 def file_month(file_name: Column) -> Column:
-    """First day of the month a file name carries; NULL when it names no real month."""
-    return F.concat(file_month_text(file_name), F.lit("-01")).try_cast("date")
+    """First day of the month a file name carries; NULL when it names no real month.
+
+    ``regexp_extract`` is evaluated once where ``regexp_substr`` may be twice; its empty
+    text for no match is no date either.
+    """
+    year_month = F.regexp_extract(file_name, _YEAR_MONTH, 0)
+    return F.concat(year_month, F.lit("-01")).try_cast("date")
 
 
 def time_period(hour: Column) -> Column:

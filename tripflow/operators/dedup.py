@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tripflow.session import shared_dir
+
 
 def dedup_keep_first(
     df: DataFrame,
@@ -29,8 +31,33 @@ def dedup_keep_first(
     return df.withColumn("_rank", F.row_number().over(first)).filter("_rank = 1").drop("_rank")
 
 
-def duplicate_report(df: DataFrame, columns: Sequence[str], by: str) -> DataFrame:
-    """Per ``by`` value: groups of identical rows, rows in them, rows to remove."""
+SUSPECT_LIMIT = 4_000_000  # 8-byte fingerprints, a broadcast of about 100 MB
+
+
+def duplicate_report(
+    df: DataFrame, columns: Sequence[str], by: str, suspect_limit: int = SUSPECT_LIMIT
+) -> DataFrame:
+    """Per ``by`` value: groups of identical rows, rows in them, rows to remove.
+
+    Grouping on whole rows shuffles the whole table. So a first pass groups on a 64-bit
+    fingerprint alone, and only rows with a repeated fingerprint, found by a second
+    read, are grouped on all their columns: rows that merely share a fingerprint part
+    there, so the report is exact. The fingerprints are stored, counted and broadcast
+    if few; if duplicates abound, whole rows are grouped after all. Either way copies
+    are counted before the shuffle, so a row repeated very often does no harm.
+    """
+    fingerprint = F.xxhash64(by, *columns)
+    stored = shared_dir(df.sparkSession, "fingerprints")
+    repeated = df.groupBy(fingerprint.alias("_print")).agg(F.count("*").alias("_rows"))
+    repeated.filter("_rows > 1").select("_print").write.parquet(stored)
+    suspects = df.sparkSession.read.schema("_print bigint").parquet(stored)
+    if suspects.count() <= suspect_limit:
+        marked = df.withColumn("_print", fingerprint)
+        df = marked.join(F.broadcast(suspects), "_print", "left_semi")
+    return _report_on_rows(df, columns, by)
+
+
+def _report_on_rows(df: DataFrame, columns: Sequence[str], by: str) -> DataFrame:
     groups = df.groupBy(by, *columns).agg(F.count("*").alias("_copies")).filter("_copies > 1")
     return groups.groupBy(by).agg(
         F.count("*").alias("identical_groups"),
