@@ -10,7 +10,7 @@ from helpers import micros, plan, raw_trips
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripflow.plans.pipeline import build
+from tripflow.plans.pipeline import build, build_dashboard, build_views
 from tripflow.schemas import RAW_TRIP_SCHEMA, ZONE_SCHEMA
 from tripflow.session import shared_dir
 from tripflow.sources import trips as src
@@ -264,3 +264,29 @@ def test_pipeline_from_landing_to_tested_marts(spark, tmp_path):
     assert [r.zone_name for r in built.zone.collect()] == ["Hill"]
     assert built.tests.count() == 69
     assert built.tests.filter("NOT passed").count() == 0
+
+
+def test_views_and_dashboard_over_stored_trips(spark, tmp_path):
+    raw = raw_trips(spark, {}, {}, {"payment_type": 2, "PULocationID": 11})
+    build_views(raw, str(tmp_path))
+    rows = spark.sql("SELECT payment_type_id, total_trips FROM v_avg_payments ORDER BY 1").collect()
+    assert [tuple(r) for r in rows] == [(1, 1), (2, 1)]
+    assert spark.table("v_top_zones").count() == 2
+    assert spark.table("v_daily_metrics").first().total_trips == 2
+    panels = build_dashboard(raw, str(tmp_path))
+    assert panels["kpis"].first().total_trips == 3
+    assert [tuple(r) for r in panels["top_zones"].collect()] == [(10, 2), (11, 1)]
+    assert [r.payment_label for r in panels["payment_mix"].collect()] == [
+        "Carte bancaire",
+        "Espèces",
+    ]
+
+
+def test_explicit_file_list(spark, tmp_path):
+    for month in ("2024-01", "2024-02", "2024-03"):
+        land(tmp_path, month)
+    listed = [f"{tmp_path}/trips_2024-0{m}.parquet" for m in (1, 3)]
+    assert set(counts(src.read_trips(spark, listed))) == {
+        "trips_2024-01.parquet",
+        "trips_2024-03.parquet",
+    }

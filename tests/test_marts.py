@@ -2,12 +2,14 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
 from helpers import plan, raw_trips
+from pyspark.sql import functions as F
 
 from tripflow.operators import dashboards, marts, profiling
 from tripflow.operators.cleaning import billing_profile, clean, mart_profile
 from tripflow.operators.zones import enrich_zones
-from tripflow.plans import cube
+from tripflow.plans import cube, one_pass
 from tripflow.schemas import ZONE_SCHEMA
 
 ZONES = [
@@ -67,14 +69,19 @@ def test_zone_mart_aggregates_before_joining(spark):
     assert "Cartesian" not in tree
 
 
-def test_cube_gives_the_same_marts(spark):
+@pytest.mark.parametrize(
+    "plans, prepare", [(cube, cube.trip_cube), (one_pass, one_pass.mart_aggregates)]
+)
+def test_shared_aggregates_give_the_same_marts(spark, plans, prepare):
     zones = spark.createDataFrame(ZONES, ZONE_SCHEMA)
-    clean_trips = trips(spark)
-    cubed = cube.trip_cube(clean_trips)
+    clean_trips = trips(spark).unionByName(
+        trips(spark).limit(1).withColumn("pickup_location_id", F.lit(None).cast("int"))
+    )
+    shared = prepare(clean_trips)
     for direct, derived in (
-        (marts.daily_summary(clean_trips), cube.daily_summary(cubed)),
-        (marts.hourly_patterns(clean_trips), cube.hourly_patterns(cubed)),
-        (marts.zone_analysis(clean_trips, zones), cube.zone_analysis(cubed, zones)),
+        (marts.daily_summary(clean_trips), plans.daily_summary(shared)),
+        (marts.hourly_patterns(clean_trips), plans.hourly_patterns(shared)),
+        (marts.zone_analysis(clean_trips, zones), plans.zone_analysis(shared, zones)),
     ):
         columns = direct.columns
         assert sorted(map(tuple, direct.collect())) == sorted(
@@ -82,9 +89,17 @@ def test_cube_gives_the_same_marts(spark):
         )
 
 
+def test_one_pass_reads_trips_once(spark, tmp_path):
+    path = str(tmp_path / "clean")
+    trips(spark).write.parquet(path)
+    tree = plan(one_pass.mart_aggregates(spark.read.parquet(path))).split("(1) ")[0]
+    assert tree.count("Scan parquet") == 1
+    assert tree.count("Exchange") == 1
+
+
 def test_metrics_over_zero_fares_are_null(spark):
     raw = raw_trips(spark, {}, {"PULocationID": 11})
-    staged = clean(raw, billing_profile()).withColumn("fare_amount", 0 * marts.F.col("fare_amount"))
+    staged = clean(raw, billing_profile()).withColumn("fare_amount", 0 * F.col("fare_amount"))
     assert marts.payment_metrics(staged).first().tip_ratio_percentage is None
     daily = marts.daily_metrics(staged).first()
     assert daily.global_tip_percentage is None

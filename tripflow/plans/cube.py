@@ -1,9 +1,9 @@
-"""One pass over the fact table for all marts.
+"""A stored rollup per pickup date, hour and zone, for reports sliced after the fact.
 
-Counts and exact sums add up, so the three marts and the borough and trend reports
-all follow from one aggregate per pickup date, hour and zone. Its size is bounded by
-the calendar and the zones (days x 24 x zones), not by the number of trips: the fact
-table is read once, and everything after it works on the stored cube.
+Counts and exact sums add up, so marts of any date range follow from the rollup
+without reading trips again. It has at most days x 24 x zones rows, but its key is far
+finer than a mart's, so building it shuffles more; ``one_pass`` is the cheaper way to
+the full marts.
 """
 
 from __future__ import annotations

@@ -8,10 +8,17 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripflow.operators.cleaning import Profile, clean, mart_profile
+from tripflow.operators import dashboards, marts
+from tripflow.operators.cleaning import (
+    Profile,
+    billing_profile,
+    clean,
+    dashboard_profile,
+    mart_profile,
+)
 from tripflow.operators.expectations import run_suite
 from tripflow.operators.zones import UNKNOWN_BOROUGHS
-from tripflow.plans import cube, suites
+from tripflow.plans import one_pass, suites
 from tripflow.sources.layers import materialize
 
 
@@ -33,7 +40,7 @@ def build(
 ) -> Built:
     """Build and store the staging table and the marts, and test all four.
 
-    Raw is read once, staging once for the cube and once for its suite. Staging is
+    Raw is read once, staging once for all marts and once for its suite. Staging is
     laid out by pickup year and month, so filters on these prune folders; raw comes in
     monthly files, so each writing task meets few months and no shuffle is needed.
     A failing step raises, so no mart is built on a missing staging table.
@@ -42,12 +49,12 @@ def build(
         {"year": F.year("pickup_date"), "month": F.month("pickup_date")}
     )
     staging = materialize(staged, root, "staging", "clean_trips", partition_by=["year", "month"])
-    per_hour = materialize(cube.trip_cube(staging), root, "staging", "trip_cube")
-    daily = materialize(cube.daily_summary(per_hour), root, "final", "daily_summary")
+    groups = materialize(one_pass.mart_aggregates(staging), root, "staging", "mart_aggregates")
+    daily = materialize(one_pass.daily_summary(groups), root, "final", "daily_summary")
     zone = materialize(
-        cube.zone_analysis(per_hour, zones, exclude), root, "final", "zone_analysis"
+        one_pass.zone_analysis(groups, zones, exclude), root, "final", "zone_analysis"
     )
-    hourly = materialize(cube.hourly_patterns(per_hour), root, "final", "hourly_patterns")
+    hourly = materialize(one_pass.hourly_patterns(groups), root, "final", "hourly_patterns")
     tests = (
         run_suite(staging, "stg_clean_trips", suites.STAGING_SUITE)
         .unionByName(run_suite(daily, "daily_summary", suites.DAILY_SUITE))
@@ -55,3 +62,40 @@ def build(
         .unionByName(run_suite(hourly, "hourly_patterns", suites.HOURLY_SUITE))
     )
     return Built(staging, daily, zone, hourly, tests)
+
+
+def build_views(
+    raw: DataFrame, root: str, profile: Profile | None = None
+) -> dict[str, DataFrame]:
+    """Store the deduplicated billing trips and register the metric views over them.
+
+    The views are lazy; storing the trips spares each of them the deduplication.
+    """
+    staging = materialize(
+        clean(raw, profile or billing_profile()), root, "staging", "billing_trips"
+    )
+    views = {
+        "v_daily_metrics": marts.daily_metrics,
+        "v_avg_payments": marts.payment_metrics,
+        "v_top_zones": marts.route_metrics,
+    }
+    return {
+        name: materialize(metrics(staging), root, "final", name, kind="view")
+        for name, metrics in views.items()
+    }
+
+
+def build_dashboard(
+    raw: DataFrame, root: str, profile: Profile | None = None
+) -> dict[str, DataFrame]:
+    """Store the dashboard trips and give its five questions over them."""
+    staging = materialize(
+        clean(raw, profile or dashboard_profile()), root, "staging", "dashboard_trips"
+    )
+    return {
+        "kpis": dashboards.kpis(staging),
+        "trips_per_day": dashboards.trips_per_day(staging),
+        "trips_per_hour": dashboards.trips_per_hour(staging),
+        "top_zones": dashboards.top_zones(staging),
+        "payment_mix": dashboards.payment_mix(staging),
+    }

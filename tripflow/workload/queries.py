@@ -13,13 +13,19 @@ from tripflow.functions.numeric import fill_zero, guarded_ratio, speed_mph, to_k
 from tripflow.operators import cleaning, dashboards, dedup, expectations, marts, profiling
 from tripflow.operators import standardize as std
 from tripflow.operators.zones import enrich_zones
-from tripflow.plans import cube, suites
-from tripflow.plans.pipeline import build
+from tripflow.plans import cube, one_pass, suites
+from tripflow.plans.pipeline import build, build_dashboard, build_views
 from tripflow.schemas import BUSINESS_COLUMNS, RAW_TRIP_SCHEMA, SOURCE_FILE
 from tripflow.session import shared_dir
 from tripflow.sources.conform import evolve
-from tripflow.sources.layers import layer_path, materialize
-from tripflow.sources.trips import infer_trip_schema, load_new_files, read_trips, write_raw
+from tripflow.sources.layers import layer_path
+from tripflow.sources.trips import (
+    infer_trip_schema,
+    load_new_files,
+    monthly_paths,
+    read_trips,
+    write_raw,
+)
 from tripflow.sources.zones import load_zones
 from tripflow.streaming.ingest import ingest_incremental
 from tripflow.workload.tables import EXCLUDED, PERIOD, trips_raw, zones
@@ -185,6 +191,10 @@ def _cube_mart(operator: Callable[[DataFrame], DataFrame]) -> Query:
     return _over_clean(PROFILE_A, lambda df: operator(cube.trip_cube(df)))
 
 
+def _one_pass_mart(operator: Callable[[DataFrame], DataFrame]) -> Query:
+    return _over_clean(PROFILE_A, lambda df: operator(one_pass.mart_aggregates(df)))
+
+
 MARTS: dict[str, Query] = {
     "daily_summary": _over_clean(PROFILE_A, marts.daily_summary),
     "zone_analysis": _over_clean_and_zones(lambda t, z: marts.zone_analysis(t, z, EXCLUDED)),
@@ -197,6 +207,11 @@ MARTS: dict[str, Query] = {
     "cube_zone_analysis": _over_clean_and_zones(
         lambda t, z: cube.zone_analysis(cube.trip_cube(t), z, EXCLUDED)
     ),
+    "one_pass_daily_summary": _one_pass_mart(one_pass.daily_summary),
+    "one_pass_hourly_patterns": _one_pass_mart(one_pass.hourly_patterns),
+    "one_pass_zone_analysis": _over_clean_and_zones(
+        lambda t, z: one_pass.zone_analysis(one_pass.mart_aggregates(t), z, EXCLUDED)
+    ),
 }
 
 # --- dashboards ------------------------------------------------------------------
@@ -393,13 +408,33 @@ def zones_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_zones(spark, path)
 
 
-def staged_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A metric view over a materialised staging table."""
-    root = shared_dir(spark, "layers")
-    staged = materialize(
-        cleaning.clean(trips_raw(spark, sf_dir), PROFILE_B), root, "staging", "billing_trips"
-    )
-    return materialize(marts.payment_metrics(staged), root, "final", "payment_metrics", kind="view")
+def read_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The monthly files of three years picked by one glob; the last year has none."""
+    landing = shared_dir(spark, "monthly")
+    _land(trips_raw(spark, sf_dir).drop("_ingestion_date"), landing)
+    pattern = f"{SOURCE_FILE}=trips_{{year}}-{{month}}.parquet"
+    trips = read_trips(spark, monthly_paths(landing, [1996, 1997, 2044], pattern))
+    return profiling.distance_profile(trips)
+
+
+def _view(name: str) -> Query:
+    """A metric view over the stored billing trips."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = shared_dir(spark, "views")
+        return build_views(trips_raw(spark, sf_dir), root, PROFILE_B)[name]
+
+    return run
+
+
+def _panel(name: str) -> Query:
+    """A dashboard question over the stored dashboard trips."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = shared_dir(spark, "dashboard")
+        return build_dashboard(trips_raw(spark, sf_dir), root, PROFILE_C)[name]
+
+    return run
 
 
 def pipeline_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -423,7 +458,12 @@ INGESTION: dict[str, Query] = {
     "append_load": append_load,
     "lineage": lineage,
     "zones_csv": zones_csv,
-    "staged_view": staged_view,
+    "read_monthly": read_monthly,
+    "staged_view": _view("v_avg_payments"),
+    "staged_daily_view": _view("v_daily_metrics"),
+    "staged_route_view": _view("v_top_zones"),
+    "staged_kpis": _panel("kpis"),
+    "staged_top_zones": _panel("top_zones"),
     "pipeline_tests": pipeline_tests,
 }
 
