@@ -34,9 +34,9 @@ def trips_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         order % 97 == 0, F.add_months(F.col("l_shipdate").cast("date"), 1)
     ).otherwise(F.col("l_shipdate").cast("date"))
     rate = supp % 10
-    # the ship time in microseconds, twice for an order to be doubled
-    once = epoch.to_micros(F.col("l_shipdate").cast("timestamp_ntz"))
-    copies = F.when(order % 50 == 0, F.array(once, once)).otherwise(F.array(once))
+    # the ship date (it has no time of day) in microseconds, twice for an order to be doubled
+    once = F.unix_date(F.col("l_shipdate").cast("date")) * F.lit(epoch.DAY)
+    copies = F.array_repeat(once, F.when(order % 50 == 0, 2).otherwise(1))
     return line.select("*", F.explode(copies).alias("_shipped")).select(
         (number % 2 + 1).cast("int").alias("VendorID"),
         (shipped + second_of_day * 1_000_000).alias("tpep_pickup_datetime"),
