@@ -10,6 +10,7 @@ from helpers import micros, plan, raw_trips
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tripflow.operators.dashboards import kpis
 from tripflow.plans.pipeline import build, build_dashboard, build_views
 from tripflow.schemas import RAW_TRIP_SCHEMA, ZONE_SCHEMA
 from tripflow.session import shared_dir
@@ -262,6 +263,10 @@ def test_pipeline_from_landing_to_tested_marts(spark, tmp_path):
     assert built.staging.count() == 2
     assert [r.total_trips for r in built.daily.collect()] == [2]
     assert [r.zone_name for r in built.zone.collect()] == ["Hill"]
+    sliced = kpis(built.staging, year=2024, month=5)
+    assert sliced.first().total_trips == 2
+    folders = next(x for x in plan(sliced).splitlines() if x.startswith("PartitionFilters"))
+    assert "= 2024" in folders and "= 5" in folders
     assert built.tests.count() == 69
     assert built.tests.filter("NOT passed").count() == 0
 

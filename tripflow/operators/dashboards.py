@@ -21,14 +21,21 @@ def slice_period(
     month: int | None = None,
     day: int | None = None,
 ) -> DataFrame:
-    """Trips whose pickup date matches every given calendar part."""
+    """Trips whose pickup date matches every given calendar part.
+
+    Stored staging is laid out by ``year`` and ``month``; where these columns are
+    present they are filtered too, so that only matching folders are read.
+    """
     date = F.col("pickup_date")
     if year is not None:
-        # a date range, unlike year(date) = n, prunes files and row groups
+        # a date range, unlike year(date) = n, prunes row groups
         clean = clean.filter(date.between(dt.date(year, 1, 1), dt.date(year, 12, 31)))
     for part, wanted in ((F.quarter, quarter), (F.month, month), (F.dayofmonth, day)):
         if wanted is not None:
             clean = clean.filter(part(date) == wanted)
+    for folder, wanted in (("year", year), ("month", month)):
+        if wanted is not None and folder in clean.columns:
+            clean = clean.filter(F.col(folder) == wanted)
     return clean
 
 
