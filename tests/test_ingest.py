@@ -295,3 +295,16 @@ def test_explicit_file_list(spark, tmp_path):
         "trips_2024-01.parquet",
         "trips_2024-03.parquet",
     }
+
+
+def test_unusual_file_names_are_remembered(spark, tmp_path):
+    landing, target = f"{tmp_path}/landing", f"{tmp_path}/raw"
+    for name in ("2024-01 a+b", "2024-02 50%25", "2024-03=x"):
+        land(landing, name)
+    assert len(src.load_new_files(spark, landing, target).loaded) == 3
+    assert src.load_new_files(spark, landing, target) == src.LoadReport([], [])
+    assert counts(spark.read.parquet(target)) == {
+        "trips_2024-01 a+b.parquet": 2,
+        "trips_2024-02 50%25.parquet": 2,
+        "trips_2024-03=x.parquet": 2,
+    }

@@ -50,11 +50,17 @@ def source_name(path: Column) -> Column:
     ).otherwise(F.substring_index(path, "/", -1))
 
 
+def _decoded(name: Column) -> Column:
+    """Name from a URI; unlike in a query string, a plus sign there is just that."""
+    plain = F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+    return F.when(name.contains("%"), plain).otherwise(name)
+
+
 def with_lineage(df: DataFrame) -> DataFrame:
     """Add the source file name and the load time to a frame read from files."""
     return df.select(
         "*",
-        source_name(F.col("_metadata.file_path")).alias(SOURCE_FILE),
+        _decoded(source_name(F.col("_metadata.file_path"))).alias(SOURCE_FILE),
         F.current_timestamp().alias(INGESTION_DATE),
     )
 
