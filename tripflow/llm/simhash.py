@@ -247,8 +247,8 @@ def near_duplicates(
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows whose id is the smallest of their near-duplicate component, all columns.
 
-    Rows without an id are kept only if nothing in their component has one.
+    Rows without an id cannot be told apart and are all kept.
     """
     found = near_duplicates(docs, id_col, text_col)
-    first = found.filter("doc_id <=> component_id").select(F.col("doc_id").alias("_kept_id")).distinct()
+    first = found.filter("doc_id IS NULL OR doc_id = component_id").select(F.col("doc_id").alias("_kept_id")).distinct()
     return docs.join(first, docs[id_col].eqNullSafe(F.col("_kept_id")), "left_semi")
