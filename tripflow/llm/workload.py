@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripflow.llm import secrets, simhash
+from tripflow.llm import ball_tree, lines, multi_index, secrets, simhash
 from tripflow.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,9 +20,28 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.dedup_lines(docs, report=True)
+
+
+def op4_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.nearest(read(spark, sf_dir, "embeddings"))
+
+
+def op6_ball_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ball_tree.top_products(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_simhash": op2_simhash,
+    "op3_line_dedup": op3_line_dedup,
+    "op4_multi_index": op4_multi_index,
+    "op6_ball_tree": op6_ball_tree,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op3_line_dedup": lines.ORACLE,
+    "op6_ball_tree": ball_tree.ORACLE,
+}
