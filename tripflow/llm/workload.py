@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tripflow.llm import ball_tree, lines, multi_index, secrets, simhash
+from tripflow.llm import ball_tree, bpe, lines, multi_index, packing, secrets, simhash, token_files
 from tripflow.llm.common import read
+from tripflow.session import shared_dir
+
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,16 +34,32 @@ def op4_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multi_index.nearest(read(spark, sf_dir, "embeddings"))
 
 
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shards = token_files.write_tokens(read(spark, sf_dir, "documents"), shared_dir(spark, "tokens"), WORD_BPE)
+    return token_files.read_tokens(spark, shards)
+
+
 def op6_ball_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ball_tree.top_products(read(spark, sf_dir, "embeddings"))
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"), BYTE_BPE)
+
+
+def op9_forced_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(read(spark, sf_dir, "documents"), BYTE_BPE)
+
+
 QUERIES: dict[str, Query] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_simhash": op2_simhash,
     "op3_line_dedup": op3_line_dedup,
     "op4_multi_index": op4_multi_index,
+    "op5_token_files": op5_token_files,
     "op6_ball_tree": op6_ball_tree,
+    "op7_packing": op7_packing,
+    "op9_forced_bpe": op9_forced_bpe,
 }
 
 ORACLE: dict[str, str] = {
