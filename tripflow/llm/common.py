@@ -7,7 +7,8 @@ from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from tripflow.session import shared_dir
 
@@ -35,7 +36,21 @@ def dropped(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-Columns = dict[str, pa.Array]
+def even_sample(rows: DataFrame, by: str, deal: str, each: int, classes: int) -> DataFrame:
+    """Up to ``each`` rows for every value of ``by``, the same ones on every run.
+
+    ``deal`` is a column of hashes. Values are counted first and rows thinned by their
+    hash to about twice as many as wanted, so the ranking that follows is small however
+    many rows a value has. Only the first ``classes`` values in order are sampled.
+    """
+    counts = rows.groupBy(by).count().orderBy(by).limit(classes).collect()
+    chosen = F.lit(False)
+    for value, count in counts:
+        one_in = max(1, count // (2 * each))
+        chosen = F.when(F.col(by) == value, F.pmod(deal, F.lit(one_in)) == 0).otherwise(chosen)
+    order = Window.partitionBy(by).orderBy(deal)
+    ranked = rows.filter(chosen).withColumn("_place", F.row_number().over(order))
+    return ranked.filter(F.col("_place") <= each).drop("_place")
 
 
 def map_batches(

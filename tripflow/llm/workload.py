@@ -7,7 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tripflow.llm import ball_tree, bpe, lines, multi_index, packing, secrets, simhash, token_files
+from tripflow.llm import (
+    ball_tree,
+    bpe,
+    language,
+    lines,
+    multi_index,
+    packing,
+    secrets,
+    simhash,
+    token_files,
+    toxicity,
+)
 from tripflow.llm.common import read
 from tripflow.session import shared_dir
 
@@ -47,10 +58,20 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), BYTE_BPE)
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return toxicity.predict(docs, toxicity.fit(docs, read(spark, sf_dir, "labels")))
+
+
 def op9_forced_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(read(spark, sf_dir, "documents"), BYTE_BPE)
 
 
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return language.predict(docs, language.fit(docs))
+
+
 QUERIES: dict[str, Query] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_simhash": op2_simhash,
@@ -59,7 +80,9 @@ QUERIES: dict[str, Query] = {
     "op5_token_files": op5_token_files,
     "op6_ball_tree": op6_ball_tree,
     "op7_packing": op7_packing,
+    "op8_toxicity": op8_toxicity,
     "op9_forced_bpe": op9_forced_bpe,
+    "op10_language": op10_language,
 }
 
 ORACLE: dict[str, str] = {
