@@ -60,11 +60,15 @@ def test_several_unique_columns(spark):
     }
 
 
-def test_suite_reads_its_model_once(spark, tmp_path):
+def test_a_uniqueness_test_reads_and_shuffles_its_key_alone(spark, tmp_path):
     path = str(tmp_path / "model")
     spark.createDataFrame(ROWS, SCHEMA).write.parquet(path)
-    tree = plan(run_suite(spark.read.parquet(path), "m", CHECKS)).split("(1) ")[0]
-    assert tree.count("Scan parquet") == 1
+    text = plan(run_suite(spark.read.parquet(path), "m", CHECKS))
+    schemas = [x.split(": ", 1)[1] for x in text.splitlines() if x.startswith("ReadSchema")]
+    assert schemas == ["struct<v:double,s:string>", "struct<k:int>"]
+    keyed = [x for x in text.splitlines() if x.startswith("Arguments: hashpartitioning")]
+    assert len(keyed) == 1
+    assert "Functions [1]: [partial_count(1)]" in text
 
 
 def test_suite_sizes():

@@ -165,3 +165,23 @@ def test_exact_sum_refuses_to_wrap(spark):
     df = spark.createDataFrame([(9e16,)] * 3, "v double")
     with pytest.raises(Exception, match="OVERFLOW"):
         df.agg(numeric.total(F.col("v"))).collect()
+
+
+def test_sums_with_values_that_have_no_cents(spark):
+    rows = [(1, 0.1), (1, 0.2), (2, float("nan")), (2, 1.0), (3, float("inf")), (3, 2.0), (4, None)]
+    rows += [(6, float("inf")), (6, float("-inf"))]
+    df = spark.createDataFrame(rows, "k int, v double")
+    found = df.groupBy("k").agg(
+        numeric.total(F.col("v")).alias("t"),
+        numeric.mean(F.col("v")).alias("m"),
+        numeric.rounded_total(F.col("v")).alias("rt"),
+        numeric.rounded_mean(F.col("v")).alias("rm"),
+    )
+    got = {r.k: tuple(map(str, r[1:])) for r in found.collect()}
+    assert got == {
+        1: ("0.3", "0.15", "0.3", "0.15"),
+        2: ("nan",) * 4,
+        3: ("inf",) * 4,
+        4: ("None",) * 4,
+        6: ("nan",) * 4,
+    }

@@ -7,7 +7,9 @@ close to the DOUBLE price: each value is split into whole cents and
 millionths of a cent, and both parts are summed as BIGINT.
 
 Limits: a group may hold 9e12 rows and 9e16 in total value; beyond that Spark's
-ANSI mode raises instead of wrapping around.
+ANSI mode raises instead of wrapping around. NaN and infinite values have no cents and
+are summed apart; one of them makes its own group's sum what a DOUBLE sum would be and
+leaves the other groups exact.
 """
 
 from __future__ import annotations
@@ -21,15 +23,25 @@ from pyspark.sql import functions as F
 KM_PER_MILE = 1.60934  # fixed value
 
 
+def has_cents(value: Column) -> Column:
+    """Whether the value is finite; NULL for NULL. NaN is larger than any number here."""
+    return F.abs(value) < float("inf")
+
+
 def cents(value: Column) -> Column:
-    return F.floor(value * 100)
+    return F.floor(F.when(has_cents(value), value) * 100)
 
 
 def cent_millionths(value: Column) -> Column:
-    scaled = value * 100
+    scaled = F.when(has_cents(value), value) * 100
     return F.rint((scaled - F.floor(scaled)) * 1_000_000).cast("bigint")
 
 
+def without_cents(value: Column) -> Column:
+    """The values ``cents`` leaves out."""
+    return F.when(~has_cents(value), value)
+
+
 def join_parts(summed_cents: Column, summed_millionths: Column) -> Column:
     """DECIMAL(38,8) total from the two summed parts."""
     scaled = summed_cents.cast("decimal(20,0)") * F.lit(Decimal(1_000_000)) + summed_millionths
@@ -37,11 +49,18 @@ def join_parts(summed_cents: Column, summed_millionths: Column) -> Column:
 
 
 def exact_sum(value: Column) -> Column:
+    """DECIMAL sum of the values that have cents."""
     return join_parts(F.sum(cents(value)), F.sum(cent_millionths(value)))
 
 
+def with_rest(exact: Column, rest: Column) -> Column:
+    """DOUBLE total of an exact part and the sum of values without cents, NULL if there are none."""
+    exact = exact.cast("double")
+    return F.when(rest.isNull(), exact).otherwise(F.coalesce(exact, F.lit(0.0)) + rest)
+
+
 def total(value: Column) -> Column:
-    return exact_sum(value).cast("double")
+    return with_rest(exact_sum(value), F.sum(without_cents(value)))
 
 
 def mean(value: Column) -> Column:
@@ -49,13 +68,14 @@ def mean(value: Column) -> Column:
 
 
 def rounded_total(value: Column, digits: int = 2) -> Column:
-    return F.round(exact_sum(value), digits).cast("double")
+    return with_rest(F.round(exact_sum(value), digits), F.sum(without_cents(value)))
 
 
 def round_half_away(value: Column, digits: int = 2) -> Column:
-    """Round a DOUBLE on its binary value, halves away from zero."""
+    """Round a DOUBLE on its binary value, halves away from zero; what has no cents stays."""
     scale = float(10**digits)
-    return F.signum(value) * F.floor(F.abs(value) * scale + 0.5) / scale
+    rounded = F.signum(value) * F.floor(F.abs(value) * scale + 0.5) / scale
+    return F.when(has_cents(value), rounded).otherwise(value)
 
 
 def rounded_mean(value: Column, digits: int = 2) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tripflow.functions import epoch
 from tripflow.functions.labels import payment_label
-from tripflow.functions.numeric import exact_sum, mean, total
+from tripflow.functions.numeric import exact_sum, mean, total, with_rest, without_cents
 from tripflow.operators.zones import UNKNOWN_BOROUGHS, known_zones
 
 
@@ -36,6 +36,8 @@ def slice_period(
     for folder, wanted in (("year", year), ("month", month)):
         if wanted is not None and folder in clean.columns:
             clean = clean.filter(F.col(folder) == wanted)
+    if quarter is not None and "month" in clean.columns:
+        clean = clean.filter(F.col("month").between(3 * quarter - 2, 3 * quarter))
     return clean
 
 
@@ -97,13 +99,16 @@ def borough_revenue(
     clean: DataFrame, zones: DataFrame, exclude: Sequence[str] = UNKNOWN_BOROUGHS
 ) -> DataFrame:
     """Trips and revenue per borough, summed per zone id before the join."""
+    amount = F.col("total_amount")
     per_zone = clean.groupBy("pickup_location_id").agg(
-        F.count("*").alias("_trips"), exact_sum(F.col("total_amount")).alias("_revenue")
+        F.count("*").alias("_trips"),
+        exact_sum(amount).alias("_revenue"),
+        F.sum(without_cents(amount)).alias("_rest"),
     )
     named = per_zone.join(known_zones(zones, exclude), "pickup_location_id")
     return named.groupBy("borough").agg(
         F.sum("_trips").alias("total_trips"),
-        F.sum("_revenue").cast("double").alias("total_revenue"),
+        with_rest(F.sum("_revenue"), F.sum("_rest")).alias("total_revenue"),
     )
 
 

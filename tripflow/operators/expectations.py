@@ -1,16 +1,16 @@
 """Expectation tests on a model: each counts the rows that fail it.
 
-A suite reads its model once. Row-wise tests are conditional counts in a single
-aggregation. The first uniqueness test rides along: rows are grouped by its
-column, the conditional counts are taken per group, then summed over groups, while
-groups of more than one row are the uniqueness failures. Per-group counts are
-partial aggregates, so a repeated value does not concentrate rows on one task.
+All row-wise tests of a suite are conditional counts in one global aggregation, a row per
+task. A uniqueness test reads its column alone and groups by it, so only keys and
+counts are shuffled; counts are combined first, so a repeated value does not
+concentrate rows on one task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -67,28 +67,13 @@ def failing_rows(df: DataFrame, check: Check) -> DataFrame:
 
 def run_suite(df: DataFrame, model: str, checks: Sequence[Check]) -> DataFrame:
     """One row per test: model, column, test, failures and whether it passed."""
-    keys = list(dict.fromkeys(c.column for c in checks if c.test == "unique"))
     row_wise = [c for c in checks if c.test != "unique"]
-    if not keys:
-        return _report(df.agg(*_failure_counts(row_wise)), model, row_wise)
-    folded = _with_unique(df, model, row_wise, keys[0])
-    for key in keys[1:]:
-        folded = folded.unionByName(_with_unique(df, model, [], key))
-    return folded
-
-
-def _failure_counts(checks: Sequence[Check]) -> list[Column]:
-    return [F.count_if(c.failing()).alias(f"_{i}") for i, c in enumerate(checks)]
-
-
-def _with_unique(df: DataFrame, model: str, row_wise: Sequence[Check], key: str) -> DataFrame:
-    per_key = df.groupBy(key).agg(F.count("*").alias("_rows"), *_failure_counts(row_wise))
-    repeated = F.count_if((F.col("_rows") > 1) & F.col(key).isNotNull())
-    counted = per_key.agg(
-        *[F.coalesce(F.sum(f"_{i}"), F.lit(0)).alias(f"_{i}") for i in range(len(row_wise))],
-        repeated.alias(f"_{len(row_wise)}"),
-    )
-    return _report(counted, model, [*row_wise, unique(key)])
+    counts = [F.count_if(c.failing()).alias(f"_{i}") for i, c in enumerate(row_wise)]
+    parts = [_report(df.agg(*counts), model, row_wise)] if row_wise else []
+    for key in dict.fromkeys(c.column for c in checks if c.test == "unique"):
+        repeated = failing_rows(df, unique(key)).agg(F.count("*").alias("_0"))
+        parts.append(_report(repeated, model, [unique(key)]))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _report(counted: DataFrame, model: str, checks: Sequence[Check]) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripflow.functions import epoch
-from tripflow.functions.numeric import cent_millionths, cents, join_parts
+from tripflow.functions.numeric import cent_millionths, cents, join_parts, with_rest, without_cents
 from tripflow.operators.marts import name_zones
 from tripflow.operators.zones import UNKNOWN_BOROUGHS
 
@@ -35,12 +35,14 @@ def _parts(name: str) -> list[Column]:
     return [
         F.sum(cents(value)).alias(f"{name}_cents"),
         F.sum(cent_millionths(value)).alias(f"{name}_millionths"),
+        F.sum(without_cents(value)).alias(f"{name}_rest"),
         F.count(value).alias(f"{name}_known"),
     ]
 
 
 def _total(name: str) -> Column:
-    return join_parts(F.sum(f"{name}_cents"), F.sum(f"{name}_millionths")).cast("double")
+    exact = join_parts(F.sum(f"{name}_cents"), F.sum(f"{name}_millionths"))
+    return with_rest(exact, F.sum(f"{name}_rest"))
 
 
 def _mean(name: str) -> Column:

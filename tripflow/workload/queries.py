@@ -195,7 +195,17 @@ def _one_pass_mart(operator: Callable[[DataFrame], DataFrame]) -> Query:
     return _over_clean(PROFILE_A, lambda df: operator(one_pass.mart_aggregates(df)))
 
 
+def _with_odd_amounts(raw: DataFrame) -> DataFrame:
+    """Some trips of no number and some of infinite amount, as a broken meter reports them."""
+    second = F.pmod(F.expr("tpep_pickup_datetime div 1000000"), F.lit(997))
+    odd = F.when(second == 3, float("nan")).when(second == 5, float("inf"))
+    return raw.withColumn("total_amount", odd.otherwise(F.col("total_amount")))
+
+
 MARTS: dict[str, Query] = {
+    "nonfinite_amounts": _over_raw(
+        lambda raw: marts.daily_summary(cleaning.clean(_with_odd_amounts(raw), PROFILE_A))
+    ),
     "daily_summary": _over_clean(PROFILE_A, marts.daily_summary),
     "zone_analysis": _over_clean_and_zones(lambda t, z: marts.zone_analysis(t, z, EXCLUDED)),
     "hourly_patterns": _over_clean(PROFILE_A, marts.hourly_patterns),
