@@ -17,7 +17,7 @@ from tripflow.session import shared_dir
 from tripflow.sources import trips as src
 from tripflow.sources.conform import conform, evolve, merged_schema
 from tripflow.sources.layers import layer_path, materialize
-from tripflow.sources.zones import load_zones
+from tripflow.sources.zones import load_zones, write_zones
 from tripflow.streaming.ingest import ingest_incremental
 
 PICKUP = micros("2024-01-05 10:00:00")
@@ -308,3 +308,196 @@ def test_unusual_file_names_are_remembered(spark, tmp_path):
         "trips_2024-02 50%25.parquet": 2,
         "trips_2024-03=x.parquet": 2,
     }
+
+
+def test_loads_keep_columns_no_schema_knows(spark, tmp_path):
+    landing, target = f"{tmp_path}/landing", f"{tmp_path}/raw"
+    land(landing, "2024-01")
+    src.load_new_files(spark, landing, target)
+    land(landing, "2024-02", brand_new_fee=pa.array([1, 2], pa.int32()))
+    src.load_new_files(spark, landing, target)
+    rows = src.read_raw(spark, target)
+    assert rows.schema["brand_new_fee"].dataType == T.DoubleType()
+    assert rows.columns == [*RAW_TRIP_SCHEMA.names, "brand_new_fee"]
+    fees = sorted((r._source_file, r.brand_new_fee or 0) for r in rows.collect())
+    assert [f for _, f in fees] == [0, 0, 1, 2]
+
+
+def test_late_parts_are_loaded_and_recorded_one_by_one(spark, tmp_path):
+    month, target = f"{tmp_path}/landing/trips_2024-01.parquet", f"{tmp_path}/raw"
+    os.makedirs(month)
+    one = pa.table({"VendorID": pa.array([1], pa.int32())})
+    for part in ("part-0", "part-1", "part-1"):
+        pq.write_table(one, f"{month}/{part}.parquet")
+        src.load_new_files(spark, f"{tmp_path}/landing", target)
+    assert counts(src.read_raw(spark, target)) == {"trips_2024-01.parquet": 2}
+    log = src.LoadLog(spark, target).entries().filter("part IS NOT NULL")
+    assert sorted(r.part for r in log.collect()) == ["part-0.parquet", "part-1.parquet"]
+
+
+def test_a_load_cut_off_before_its_record_is_repeated(spark, tmp_path, monkeypatch):
+    landing, target = f"{tmp_path}/landing", f"{tmp_path}/raw"
+    land(landing, "2024-01", rows=4)
+    record = src.LoadLog.record
+
+    def broken(log, parts, columns):
+        if parts:
+            raise OSError("cut off")
+        record(log, parts, columns)
+
+    monkeypatch.setattr(src.LoadLog, "record", broken)
+    with pytest.raises(OSError, match="cut off"):
+        src.load_new_files(spark, landing, target)
+    monkeypatch.undo()
+    assert spark.read.parquet(target).count() == 4
+    assert len(src.load_new_files(spark, landing, target).loaded) == 1
+    assert spark.read.parquet(target).count() == src.read_raw(spark, target).count() == 4
+
+
+def test_half_written_parts_are_no_rows_of_the_table(spark, tmp_path):
+    landing, target = f"{tmp_path}/landing", f"{tmp_path}/raw"
+    land(landing, "2024-01")
+    src.load_new_files(spark, landing, target)
+    half = f"{target}/_source_file=trips_2024-02.parquet/_part=trips_2024-02.parquet"
+    os.makedirs(half)
+    pq.write_table(pa.table({"VendorID": pa.array([7], pa.int32())}), f"{half}/left.parquet")
+    assert src.read_raw(spark, target).count() == 2
+    land(landing, "2024-02", rows=6)
+    src.load_new_files(spark, landing, target)
+    assert counts(src.read_raw(spark, target)) == {"trips_2024-01.parquet": 2, "trips_2024-02.parquet": 6}
+
+
+def test_finding_new_files_does_not_read_raw(spark, tmp_path):
+    landing, target = f"{tmp_path}/landing", f"{tmp_path}/raw"
+    land(landing, "2024-01")
+    src.load_new_files(spark, landing, target)
+    land(landing, "2024-02")
+    fresh = src.fresh_parts(spark, landing, src.LoadLog(spark, target))
+    assert [r.part for r in fresh.collect()] == ["trips_2024-02.parquet"]
+    places = [x for x in plan(fresh).splitlines() if x.startswith("Location") and "raw" in x]
+    assert places and all("raw/_load_log]" in x for x in places)
+
+
+def test_another_layout_is_refused(spark, tmp_path):
+    raw_trips(spark, {}).write.parquet(f"{tmp_path}/raw")
+    for work in (
+        lambda: src.write_raw(raw_trips(spark, {}), f"{tmp_path}/raw"),
+        lambda: src.load_new_files(spark, f"{tmp_path}", f"{tmp_path}/raw"),
+    ):
+        with pytest.raises(ValueError, match="not laid out"):
+            work()
+
+
+def test_rows_appended_to_a_loaded_table_are_seen(spark, tmp_path):
+    landing, target = f"{tmp_path}/landing", f"{tmp_path}/raw"
+    land(landing, "2024-01", rows=4)
+    src.load_new_files(spark, landing, target)
+    src.write_raw(raw_trips(spark, {}, {}, {}).withColumn("new_fee", F.lit(2)), target)
+    rows = src.read_raw(spark, target)
+    assert rows.count() == 7
+    assert rows.agg(F.sum("new_fee")).first()[0] == 6.0
+    assert src.load_new_files(spark, landing, target) == src.LoadReport([], [])
+
+
+def test_an_error_that_names_no_file_is_raised(spark, tmp_path, monkeypatch):
+    landing, target = f"{tmp_path}/landing", f"{tmp_path}/raw"
+    land(landing, "2024-01")
+    land(landing, "2024-02")
+    conform_rows = src.conform
+    monkeypatch.setattr(
+        src, "conform", lambda df, s: conform_rows(df, s).filter(F.raise_error(F.lit("foreign")).isNull())
+    )
+    with pytest.raises(Exception, match="foreign"):
+        src.load_new_files(spark, landing, target, on_error="skip")
+
+
+def test_read_can_skip_damaged_pages(spark, tmp_path):
+    land(tmp_path, "2024-01", rows=500)
+    land(tmp_path, "2024-02", rows=500)
+    _spoil_pages(f"{tmp_path}/trips_2024-02.parquet")
+    found = src.read_trips(spark, f"{tmp_path}/*.parquet", on_error="skip")
+    assert counts(found) == {"trips_2024-01.parquet": 500}
+
+
+def jobs_of(spark, work):
+    group = os.urandom(8).hex()
+    spark.sparkContext.setJobGroup(group, "")
+    result = work()
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return result, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_alternating_types_cost_no_more_jobs(spark, tmp_path):
+    for n in range(32):
+        land(tmp_path / "same", f"20{n:02d}-01")
+        land(tmp_path / "mixed", f"20{n:02d}-01", pa.int64() if n % 2 else pa.int32())
+    same, jobs = jobs_of(spark, lambda: src.schema_groups(spark, [str(tmp_path / "same")]))
+    mixed, more = jobs_of(spark, lambda: src.schema_groups(spark, [str(tmp_path / "mixed")]))
+    assert [len(p) for p, _ in same.groups] == [32]
+    assert [len(p) for p, _ in mixed.groups] == [16, 16]
+    assert 0 < more == jobs
+
+
+def test_files_are_loaded_in_batches_of_whole_months(spark, tmp_path):
+    landing, target = f"{tmp_path}/landing", f"{tmp_path}/raw"
+    for month in ("2024-01", "2024-02", "2024-03"):
+        land(landing, month)
+    src.load_new_files(spark, landing, target, batch_files=1)
+    assert len(counts(src.read_raw(spark, target))) == 3
+    log = src.LoadLog(spark, target).entries().filter("part IS NOT NULL")
+    assert log.select("loaded_at").distinct().count() == 3
+
+
+def test_types_meet_where_values_survive():
+    def merged(a, b):
+        one, two = (T.StructType([T.StructField("x", k)]) for k in (a, b))
+        return merged_schema([one, two])["x"].dataType
+
+    assert merged(T.DecimalType(10, 2), T.DoubleType()) == T.DoubleType()
+    assert merged(T.DecimalType(10, 2), T.DecimalType(8, 4)) == T.DecimalType(12, 4)
+    assert merged(T.TimestampNTZType(), T.LongType()) == T.LongType()
+    with pytest.raises(ValueError, match="no common type"):
+        merged(T.StringType(), T.LongType())
+
+
+def test_footer_types_are_those_spark_reads(spark, tmp_path):
+    moment = dt.datetime(2024, 1, 5)
+    table = pa.table(
+        {
+            "a": pa.array([1], pa.uint32()),
+            "b": pa.array([moment], pa.timestamp("us")),
+            "c": pa.array([moment], pa.timestamp("us", "UTC")),
+            "d": pa.array(["x"]).dictionary_encode(),
+            "e": pa.array([[1]], pa.list_(pa.int32())),
+            "f": pa.array([1.5], pa.float32()),
+            "g": pa.array([dt.date(2024, 1, 1)]),
+            "h": pa.array([True]),
+            "i": pa.array([b"x"]),
+        }
+    )
+    path = f"{tmp_path}/trips_2024-01.parquet"
+    pq.write_table(table, path)
+    (_, found), = src.schema_groups(spark, [path]).groups
+    assert found.simpleString() == src.spark_schema(spark, path).simpleString()
+    pq.write_table(pa.table({"t": pa.array([moment], pa.timestamp("us"))}), path, use_deprecated_int96_timestamps=True)
+    (_, found), = src.schema_groups(spark, [path]).groups
+    assert found.simpleString() == src.spark_schema(spark, path).simpleString() == "struct<t:timestamp>"
+
+
+def test_zones_replace_the_former_ones(spark, tmp_path):
+    header = '"LocationID","Borough","Zone","service_zone"\n'
+    path = tmp_path / "zones.csv"
+    for rows in ('1,"A","a","x"\n2,"B","b","x"\n', '3,"C","c","x"\n'):
+        path.write_text(header + rows)
+        written = write_zones(spark, str(path), f"{tmp_path}/raw/zones")
+    assert [r.LOCATION_ID for r in written.collect()] == [3]
+
+
+def test_stored_layers_prune_months_and_quarters(spark, tmp_path):
+    raw = raw_trips(spark, {}, {"payment_type": 2})
+    panels = build_dashboard(raw, str(tmp_path), year=2024, quarter=2)
+    assert panels["kpis"].first().total_trips == 2
+    folders = next(x for x in plan(panels["kpis"]).splitlines() if x.startswith("PartitionFilters"))
+    assert "= 2024" in folders and ">= 4" in folders and "<= 6" in folders
+    build_views(raw, str(tmp_path))
+    assert os.path.isdir(f"{tmp_path}/staging/billing_trips/year=2024/month=5")

@@ -31,6 +31,14 @@ class Built:
     tests: DataFrame
 
 
+def _staged(raw: DataFrame, profile: Profile, root: str, name: str) -> DataFrame:
+    """Clean trips stored by pickup year and month."""
+    trips = clean(raw, profile)
+    day = F.col("pickup_date") if "pickup_date" in trips.columns else F.to_date("pickup_datetime")
+    laid_out = trips.withColumns({"year": F.year(day), "month": F.month(day)})
+    return materialize(laid_out, root, "staging", name, partition_by=["year", "month"])
+
+
 def build(
     raw: DataFrame,
     zones: DataFrame,
@@ -45,10 +53,7 @@ def build(
     monthly files, so each writing task meets few months and no shuffle is needed.
     A failing step raises, so no mart is built on a missing staging table.
     """
-    staged = clean(raw, profile or mart_profile()).withColumns(
-        {"year": F.year("pickup_date"), "month": F.month("pickup_date")}
-    )
-    staging = materialize(staged, root, "staging", "clean_trips", partition_by=["year", "month"])
+    staging = _staged(raw, profile or mart_profile(), root, "clean_trips")
     groups = materialize(one_pass.mart_aggregates(staging), root, "staging", "mart_aggregates")
     daily = materialize(one_pass.daily_summary(groups), root, "final", "daily_summary")
     zone = materialize(
@@ -71,9 +76,7 @@ def build_views(
 
     The views are lazy; storing the trips spares each of them the deduplication.
     """
-    staging = materialize(
-        clean(raw, profile or billing_profile()), root, "staging", "billing_trips"
-    )
+    staging = _staged(raw, profile or billing_profile(), root, "billing_trips")
     views = {
         "v_daily_metrics": marts.daily_metrics,
         "v_avg_payments": marts.payment_metrics,
@@ -86,12 +89,11 @@ def build_views(
 
 
 def build_dashboard(
-    raw: DataFrame, root: str, profile: Profile | None = None
+    raw: DataFrame, root: str, profile: Profile | None = None, **period: int
 ) -> dict[str, DataFrame]:
-    """Store the dashboard trips and give its five questions over them."""
-    staging = materialize(
-        clean(raw, profile or dashboard_profile()), root, "staging", "dashboard_trips"
-    )
+    """Store the dashboard trips and give its five questions over them, for a period if given."""
+    stored = _staged(raw, profile or dashboard_profile(), root, "dashboard_trips")
+    staging = dashboards.slice_period(stored, **period)
     return {
         "kpis": dashboards.kpis(staging),
         "trips_per_day": dashboards.trips_per_day(staging),

@@ -30,6 +30,7 @@ BUSINESS_COLUMNS = [f.name for f in BUSINESS_FIELDS]
 
 SOURCE_FILE = "_source_file"
 INGESTION_DATE = "_ingestion_date"
+PART = "_part"  # part file of a monthly file, in raw's folder layout only
 
 RAW_TRIP_SCHEMA = T.StructType(
     BUSINESS_FIELDS

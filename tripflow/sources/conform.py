@@ -52,7 +52,11 @@ def evolve(existing: DataFrame, new: DataFrame) -> DataFrame:
 _NUMERIC = [T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType(), T.FloatType(), T.DoubleType()]
 
 
+_TIMES = (T.TimestampType, T.TimestampNTZType, T.LongType)
+
+
 def _wider(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The narrower of two types' common type; times and BIGINT meet in BIGINT microseconds."""
     if a == b or isinstance(b, T.NullType):
         return a
     if isinstance(a, T.NullType):
@@ -61,7 +65,16 @@ def _wider(a: T.DataType, b: T.DataType) -> T.DataType:
         wide = _NUMERIC[max(_NUMERIC.index(a), _NUMERIC.index(b))]
         # FLOAT cannot hold every INT or BIGINT
         return T.DoubleType() if isinstance(wide, T.FloatType) else wide
-    return T.StringType()
+    if isinstance(a, _TIMES) and isinstance(b, _TIMES):
+        return T.LongType()
+    if isinstance(a, T.DecimalType) and isinstance(b, T.DecimalType):
+        scale = max(a.scale, b.scale)
+        whole = max(a.precision - a.scale, b.precision - b.scale)
+        if whole + scale <= 38:
+            return T.DecimalType(whole + scale, scale)
+    if all(isinstance(x, T.DecimalType) or x in _NUMERIC for x in (a, b)):
+        return T.DoubleType()
+    raise ValueError(f"no common type of {a.simpleString()} and {b.simpleString()}")
 
 
 def merged_schema(schemas: list[T.StructType]) -> T.StructType:

@@ -1,31 +1,43 @@
 """Loading monthly trip files into the raw layer.
 
-A monthly file is the unit of loading: a Parquet file, or a folder of part files whose
-name ends in ``.parquet``. Raw is partitioned by that
-name, so replacing a partition is atomic per file and a retried load cannot add its
-rows twice.
+A monthly file is a Parquet file, or a folder of part files whose name ends in
+``.parquet``. Raw is partitioned by the monthly file and the part, and a load replaces the
+folders of its own parts, so a load that is run again cannot add its rows twice. What is
+loaded is what the load log says, not which folders exist.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+import json
+import re
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
+from urllib.parse import unquote
+from uuid import uuid4
 
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException, PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripflow.schemas import INGESTION_DATE, RAW_TRIP_SCHEMA, SOURCE_FILE
-from tripflow.sources.conform import conform, merged_schema
+from tripflow.schemas import INGESTION_DATE, PART, RAW_TRIP_SCHEMA, SOURCE_FILE
+from tripflow.sources.conform import conform, evolved_schema, merged_schema
+from tripflow.sources.footers import footers, spark_schema
+from tripflow.sources.load_log import LoadLog
 
 # File naming of the published monthly files.
 MONTHLY_PATTERN = "yellow_tripdata_{year}-{month}.parquet"
 _MONTHS = "{01,02,03,04,05,06,07,08,09,10,11,12}"
 
 _SPARK_ERRORS = (PySparkException, Py4JJavaError)
+# The conditions by which Spark names a file it cannot read.
+_DAMAGED = ("FAILED_READ_FILE.NO_HINT", "FAILED_READ_FILE.CANNOT_READ_FILE_FOOTER")
+
+
+class DamagedFileError(ValueError):
+    """A file that is no readable Parquet file."""
 
 
 def monthly_paths(base: str, years: Iterable[int], pattern: str = MONTHLY_PATTERN) -> str:
@@ -67,82 +79,65 @@ def with_lineage(df: DataFrame) -> DataFrame:
 
 @dataclass
 class FileGroups:
-    """Files by common footer schema, and files that could not be read."""
+    """Files by common columns and types, and files that could not be read."""
 
     groups: list[tuple[list[str], T.StructType]] = field(default_factory=list)
     unreadable: list[str] = field(default_factory=list)
 
-    def add(self, paths: Sequence[str], schema: T.StructType) -> None:
+    def add(self, path: str, schema: T.StructType) -> None:
         """Join a group of the same columns and types, or open a new one."""
         kinds = {f.name.lower(): f.dataType for f in schema.fields}
         for known, existing in self.groups:
             if kinds == {f.name.lower(): f.dataType for f in existing.fields}:
-                known.extend(paths)
+                known.append(path)
                 return
-        self.groups.append((list(paths), schema))
+        self.groups.append(([path], schema))
 
 
-def _footer_schema(spark: SparkSession, paths: Sequence[str]) -> T.StructType:
-    return spark.read.option("mergeSchema", "true").parquet(*paths).schema
+def _grouped(spark: SparkSession, files: Iterable[Row], on_error: str) -> FileGroups:
+    found = FileGroups()
+    for file in files:
+        if file["damage"] is not None:
+            if on_error != "skip":
+                raise DamagedFileError(f"{file['path']}: {file['damage']}")
+            found.unreadable.append(file["path"])
+        elif file["columns"] is not None:
+            found.add(file["path"], T.StructType.fromJson(json.loads(file["columns"])))
+        else:
+            found.add(file["path"], spark_schema(spark, file["path"]))
+    return found
 
 
 def schema_groups(spark: SparkSession, paths: Sequence[str], on_error: str = "abort") -> FileGroups:
-    """Group files whose footers merge.
+    """Files of the given paths by their columns and types.
 
-    Spark reads the footers of a whole list in one distributed pass. Only when they do
-    not merge is the list halved and retried, so a type change between two months costs
-    a logarithmic number of passes. Unreadable files raise, or with ``skip`` are
-    isolated the same way and reported.
+    All footers are read in one distributed pass, however the types alternate. A damaged
+    footer raises, or with ``skip`` is reported.
     """
-    found = FileGroups()
-
-    def visit(part: Sequence[str]) -> None:
-        try:
-            found.add(part, _footer_schema(spark, part))
-        except _SPARK_ERRORS as error:
-            if on_error != "skip" and "CANNOT_MERGE_SCHEMAS" not in str(error):
-                raise
-            if len(part) == 1:
-                part = _monthly_paths_below(spark, part[0])
-            if len(part) == 1:
-                if on_error != "skip":
-                    raise
-                found.unreadable.extend(part)
-                return
-            middle = len(part) // 2
-            visit(part[:middle])
-            visit(part[middle:])
-
-    visit(sorted(paths))
-    return found
-
-
-def _monthly_paths_below(spark: SparkSession, path: str) -> list[str]:
-    """Monthly files a glob or folder stands for; a monthly file stands for itself."""
-    below = sorted(row.path for row in monthly_files(spark, path).collect())
-    return below if len(below) > 1 else [path]
+    return _grouped(spark, footers(list_files(spark, paths)).orderBy("path").collect(), on_error)
 
 
-def list_files(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet files below a path; only the listing is used, contents are not read."""
+def list_files(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """Parquet files below paths; only the listing is used, contents are not read."""
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.parquet")
-        .load(path)
+        .load(path if isinstance(path, str) else list(path))
         .select("path")
     )
 
 
-def monthly_files(spark: SparkSession, landing: str) -> DataFrame:
-    """Monthly files of a landing folder: name and path."""
+def landing_parts(spark: SparkSession, landing: str) -> DataFrame:
+    """Part files of a landing folder: path, monthly file, part, and the unit they belong to."""
     path = F.col("path")
     folder = F.regexp_replace(path, "/[^/]*$", "")
-    located = list_files(spark, landing).select(
-        source_name(path).alias(SOURCE_FILE),
-        F.when(folder.endswith(".parquet"), folder).otherwise(path).alias("path"),
+    return list_files(spark, landing).select(
+        "path",
+        source_name(path).alias("source_file"),
+        F.substring_index(path, "/", -1).alias("part"),
+        F.when(folder.endswith(".parquet"), folder).otherwise(path).alias("unit"),
     )
-    return located.distinct()
 
 
 def infer_trip_schema(spark: SparkSession, paths: Sequence[str]) -> T.StructType:
@@ -153,7 +148,12 @@ def infer_trip_schema(spark: SparkSession, paths: Sequence[str]) -> T.StructType
 def _read_group(
     spark: SparkSession, paths: Sequence[str], files: T.StructType, target: T.StructType
 ) -> DataFrame:
-    return conform(with_lineage(spark.read.schema(files).parquet(*paths)), target)
+    read = with_lineage(spark.read.schema(files).parquet(*paths))
+    part = _decoded(F.substring_index(F.col("_metadata.file_path"), "/", -1))
+    return conform(read.select("*", part.alias(PART)), T.StructType([*target, _PART_FIELD]))
+
+
+_PART_FIELD = T.StructField(PART, T.StringType())
 
 
 def read_trips(
@@ -162,20 +162,125 @@ def read_trips(
     on_error: str = "abort",
     schema: T.StructType = RAW_TRIP_SCHEMA,
 ) -> DataFrame:
-    """Trips of the given files, directories or globs in one schema, with lineage."""
+    """Trips of the given files, directories or globs in one schema, with lineage.
+
+    With ``skip`` damaged files are left out whole. To find damaged pages all files are
+    then read once in advance.
+    """
     listed = [paths] if isinstance(paths, str) else list(paths)
     found = schema_groups(spark, listed, on_error)
-    if not found.groups:
+    frames = []
+    for part, files in found.groups:
+        if on_error == "skip":
+            part, _ = _without_damaged(spark, part, files, _read_all(spark, files))
+        if part:
+            frames.append(_read_group(spark, part, files, schema).drop(PART))
+    if not frames:
         raise ValueError("none of the files could be read")
-    frames = [_read_group(spark, part, files, schema) for part, files in found.groups]
     return reduce(DataFrame.unionByName, frames)
 
 
+def _read_all(spark: SparkSession, files: T.StructType):
+    def read(paths: Sequence[str]) -> None:
+        spark.read.schema(files).parquet(*paths).write.format("noop").mode("overwrite").save()
+
+    return read
+
+
+def _plain(path: str) -> str:
+    return re.sub(r"^file:/+", "/", path)
+
+
+def damaged_path(error: Exception) -> str | None:
+    """Path of the file that Spark names as unreadable, None for any other error."""
+    cause = getattr(error, "java_exception", None) or getattr(error, "_origin", None)
+    while cause is not None:
+        if hasattr(cause, "getCondition") and "SparkThrowable" in _interfaces(cause):
+            if cause.getCondition() in _DAMAGED:
+                return _plain(unquote(dict(cause.getMessageParameters())["path"]))
+        cause = cause.getCause()
+    return None
+
+
+def _interfaces(java_object) -> str:
+    kind, names = java_object.getClass(), ""
+    while kind is not None:
+        names += " ".join(i.getSimpleName() for i in kind.getInterfaces())
+        kind = kind.getSuperclass()
+    return names
+
+
+def _without_damaged(
+    spark: SparkSession, paths: Sequence[str], files: T.StructType, work
+) -> tuple[list[str], list[str]]:
+    """Do ``work`` on the paths, leaving out files that prove damaged: paths done, paths left out.
+
+    Only the file an error names is left out, and only if reading it by itself fails in the
+    same way. Every other error is raised.
+    """
+    good, bad = list(paths), []
+    while good:
+        try:
+            work(good)
+            return good, bad
+        except _SPARK_ERRORS as error:
+            named = damaged_path(error)
+            suspects = [p for p in good if _plain(p) == named]
+            if not suspects or _reads(spark, suspects, files):
+                raise
+            good = [p for p in good if p not in suspects]
+            bad += suspects
+    return good, bad
+
+
+def _reads(spark: SparkSession, paths: Sequence[str], files: T.StructType) -> bool:
+    try:
+        _read_all(spark, files)(paths)
+    except _SPARK_ERRORS as error:
+        return damaged_path(error) is None
+    return True
+
+
+def _write_parts(rows: DataFrame, target: str) -> None:
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(SOURCE_FILE, PART).parquet(target)
+
+
 def write_raw(df: DataFrame, path: str, mode: str = "append") -> None:
-    """``append`` adds rows, ``overwrite`` reloads the whole table."""
+    """``append`` adds rows, ``overwrite`` reloads the whole table and forgets former loads.
+
+    Rows are laid out like loaded files, as a part of their own. Columns the table does not
+    have are added to it. A folder of another layout is refused.
+    """
     if mode not in ("append", "overwrite"):
         raise ValueError(f"unknown write mode: {mode}")
-    df.write.mode(mode).option("partitionOverwriteMode", "static").parquet(path)
+    spark = df.sparkSession
+    log = LoadLog(spark, path)
+    log.begin()
+    known = log.columns() if mode == "append" else None
+    columns = evolved_schema(known, df.schema) if known else df.schema
+    part = f"rows-{uuid4().hex}"
+    rows = conform(df, columns).withColumn(PART, F.lit(part))
+    if mode == "append":
+        _write_parts(rows, path)
+    else:
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        writer.partitionBy(SOURCE_FILE, PART).parquet(path)
+    log.record([(None, part, None)], columns)
+
+
+def read_raw(spark: SparkSession, target: str) -> DataFrame:
+    """Rows of all recorded loads in the table's columns; older rows hold NULL in newer ones."""
+    log = LoadLog(spark, target)
+    columns = log.columns()
+    if columns is None:
+        raise ValueError(f"{target} holds no load")
+    rows = spark.read.schema(T.StructType([*columns, _PART_FIELD])).parquet(target)
+    loaded = log.entries().select(F.col("source_file").alias("_file"), F.col("part").alias("_recorded")).distinct()
+    of_load = (F.col(PART) == F.col("_recorded")) & (
+        F.col("_file").isNull() | (F.col("_file") == F.col(SOURCE_FILE))
+    )
+    return rows.join(loaded, of_load, "left_semi").select(*columns.names)
 
 
 @dataclass(frozen=True)
@@ -184,14 +289,31 @@ class LoadReport:
     skipped: list[str]
 
 
-def loaded_files(spark: SparkSession, target: str) -> DataFrame:
-    """Names of the files a raw table already holds."""
-    try:
-        return spark.read.parquet(target).select(SOURCE_FILE).distinct()
-    except AnalysisException as error:
-        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
-        return spark.createDataFrame([], T.StructType([T.StructField(SOURCE_FILE, T.StringType())]))
+def fresh_parts(spark: SparkSession, landing: str, log: LoadLog) -> DataFrame:
+    """Landing parts the log does not record."""
+    known = log.entries().filter("unit IS NOT NULL").select("source_file", "part").distinct()
+    return landing_parts(spark, landing).join(known, ["source_file", "part"], "left_anti")
+
+
+def _refuse_shared_names(fresh: DataFrame, log: LoadLog) -> None:
+    units = fresh.select("source_file", "unit").unionByName(
+        log.entries().filter("unit IS NOT NULL").select("source_file", "unit")
+    )
+    shared = units.groupBy("source_file").agg(F.min("unit").alias("a"), F.max("unit").alias("z"))
+    if not shared.filter("a <> z").isEmpty():
+        raise ValueError("two landing files share a name, which must identify a file")
+
+
+def _batches(files: Iterator[Row], size: int) -> Iterator[list[Row]]:
+    """Whole monthly files together, at least ``size`` parts a batch but for the last."""
+    batch: list[Row] = []
+    for file in files:
+        if len(batch) >= size and batch[-1]["source_file"] != file["source_file"]:
+            yield batch
+            batch = []
+        batch.append(file)
+    if batch:
+        yield batch
 
 
 def load_new_files(
@@ -200,45 +322,40 @@ def load_new_files(
     target: str,
     on_error: str = "abort",
     schema: T.StructType = RAW_TRIP_SCHEMA,
+    batch_files: int = 1000,
 ) -> LoadReport:
-    """Load the landing files that raw does not hold yet; a rerun adds nothing.
+    """Load the landing parts that raw does not hold yet; a rerun adds nothing.
 
-    Files may differ in column types, case and presence. With ``skip`` a file that
-    fails to load is left out whole and tried again on the next run: a failed write
-    commits nothing, and the list is halved until the bad file stands alone.
+    Files may differ in column types, case and presence; a column the table does not have
+    is added to it as DOUBLE. Parts that arrive later in a folder already loaded are loaded
+    too. Batches of months are written and recorded one after another, so neither the
+    driver nor a failed run has more than a batch in hand. With ``skip`` a damaged file is
+    left out whole and tried again on the next run; any other error is raised.
     """
-    known = loaded_files(spark, target)
-    fresh = monthly_files(spark, landing).join(known, SOURCE_FILE, "left_anti")
-    files_to_load = fresh.collect()
-    if not files_to_load:
-        return LoadReport([], [])
-    paths = [row.path for row in files_to_load]
-    if len({row[SOURCE_FILE] for row in files_to_load}) < len(paths):
-        raise ValueError("two landing files share a name, which must identify a file")
-    found = schema_groups(spark, paths, on_error)
-    loaded: list[str] = []
-    skipped: list[str] = list(found.unreadable)
-
-    def load(part: list[str], files: T.StructType) -> None:
-        try:
-            rows = _read_group(spark, part, files, schema)
-            (
-                rows.write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy(SOURCE_FILE)
-                .parquet(target)
-            )
-            loaded.extend(part)
-        except _SPARK_ERRORS:
-            if on_error != "skip":
-                raise
-            if len(part) == 1:
-                skipped.extend(part)
-                return
-            middle = len(part) // 2
-            load(part[:middle], files)
-            load(part[middle:], files)
-
-    for part, files in found.groups:
-        load(part, files)
+    log = LoadLog(spark, target)
+    log.begin()
+    fresh = fresh_parts(spark, landing, log)
+    _refuse_shared_names(fresh, log)
+    columns = log.columns() or schema
+    loaded: set[str] = set()
+    skipped: list[str] = []
+    ordered = footers(fresh).orderBy("source_file", "part")
+    for batch in _batches(ordered.toLocalIterator(), batch_files):
+        found = _grouped(spark, batch, on_error)
+        skipped += found.unreadable
+        by_path = {file["path"]: file for file in batch}
+        for paths, files in found.groups:
+            columns = evolved_schema(columns, files)
+
+            def load(part: Sequence[str], files=files, columns=columns) -> None:
+                _write_parts(_read_group(spark, part, files, columns), target)
+
+            if on_error == "skip":
+                paths, bad = _without_damaged(spark, paths, files, load)
+                skipped += bad
+            else:
+                load(paths)
+            done = [by_path[p] for p in paths]
+            log.record([(f["source_file"], f["part"], f["unit"]) for f in done], columns)
+            loaded |= {f["unit"] for f in done}
     return LoadReport(sorted(loaded), sorted(skipped))

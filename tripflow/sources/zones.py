@@ -16,3 +16,9 @@ def load_zones(spark: SparkSession, csv: str) -> DataFrame:
         .option("nullValue", "N/A")
         .csv(csv)
     )
+
+
+def write_zones(spark: SparkSession, csv: str, target: str) -> DataFrame:
+    """Replace the raw zone table by the CSV's zones; the table as written."""
+    load_zones(spark, csv).write.mode("overwrite").parquet(target)
+    return spark.read.schema(ZONE_SCHEMA).parquet(target)

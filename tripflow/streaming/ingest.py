@@ -8,11 +8,11 @@ neither loses nor repeats rows. Folders with drifting types go through
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tripflow.schemas import RAW_TRIP_SCHEMA, SOURCE_FILE
-from tripflow.sources.conform import conform
+from tripflow.sources.conform import conform, evolved_schema
 from tripflow.sources.trips import with_lineage
 
 
@@ -28,7 +28,9 @@ def ingest_incremental(
     """Append all new files of ``landing`` to ``target``.
 
     ``files`` is the schema of the landing files, e.g. from ``infer_trip_schema``.
-    The stream stops once the files present at its start are loaded.
+    Columns that ``schema`` does not know are added as DOUBLE; ``read_streamed`` gives rows
+    loaded before them NULL there. The stream stops once the files present at its start are
+    loaded.
     """
     reader = (
         spark.readStream.schema(files)
@@ -38,7 +40,7 @@ def ingest_incremental(
     if max_files_per_batch:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
     query = (
-        conform(with_lineage(reader.parquet(landing)), schema)
+        conform(with_lineage(reader.parquet(landing)), evolved_schema(schema, files))
         .writeStream.format("parquet")
         .option("path", target)
         .option("checkpointLocation", checkpoint)
@@ -47,3 +49,8 @@ def ingest_incremental(
         .start()
     )
     query.awaitTermination()
+
+
+def read_streamed(spark: SparkSession, target: str) -> DataFrame:
+    """Rows of all batches, in the columns of all of them."""
+    return spark.read.option("mergeSchema", "true").parquet(target)

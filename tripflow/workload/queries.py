@@ -23,11 +23,12 @@ from tripflow.sources.trips import (
     infer_trip_schema,
     load_new_files,
     monthly_paths,
+    read_raw,
     read_trips,
     write_raw,
 )
-from tripflow.sources.zones import load_zones
-from tripflow.streaming.ingest import ingest_incremental
+from tripflow.sources.zones import write_zones
+from tripflow.streaming.ingest import ingest_incremental, read_streamed
 from tripflow.workload.tables import EXCLUDED, PERIOD, trips_raw, zones
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -361,7 +362,7 @@ def load_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     _land(_as_second_half(raw), landing)
     load_new_files(spark, landing, target)
     load_new_files(spark, landing, target)
-    return _without_load_time(spark.read.parquet(target))
+    return _without_load_time(read_raw(spark, target))
 
 
 def stream_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -385,7 +386,7 @@ def overwrite_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_raw(raw.filter("payment_type = 1"), target, "append")
     write_raw(raw.filter("payment_type = 2"), target, "append")
     write_raw(raw, target, "overwrite")
-    return profiling.frequency(spark.read.parquet(target), "payment_type")
+    return profiling.frequency(read_raw(spark, target), "payment_type")
 
 
 def append_load(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -393,7 +394,70 @@ def append_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = trips_raw(spark, sf_dir)
     write_raw(raw.filter("payment_type <= 3"), target, "append")
     write_raw(raw.filter("payment_type > 3"), target, "append")
-    return profiling.frequency(spark.read.parquet(target), "payment_type")
+    return profiling.frequency(read_raw(spark, target), "payment_type")
+
+
+def append_after_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows appended to a table that files were loaded into, and files loaded after that."""
+    work = shared_dir(spark, "append-after-load")
+    landing, target = f"{work}/landing", layer_path(work, "raw", "trips")
+    raw = trips_raw(spark, sf_dir)
+    files = raw.drop("_ingestion_date")
+    _land(files.filter(F.col(SOURCE_FILE) < "trips_1995"), landing)
+    load_new_files(spark, landing, target)
+    write_raw(raw.filter("payment_type = 1"), target, "append")
+    _land(files.filter(F.col(SOURCE_FILE) >= "trips_1995"), landing)
+    load_new_files(spark, landing, target)
+    return profiling.frequency(read_raw(spark, target), "payment_type")
+
+
+def ingest_late_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Month folders that receive further part files after they were loaded."""
+    work = shared_dir(spark, "late-parts")
+    landing, target = f"{work}/landing", layer_path(work, "raw", "trips")
+    files = trips_raw(spark, sf_dir).drop("_ingestion_date")
+    for chosen in ("payment_type <= 2", "payment_type > 2", "false"):
+        _land(files.filter(chosen), landing)
+        load_new_files(spark, landing, target)
+    return _without_load_time(read_raw(spark, target))
+
+
+def ingest_skip_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file that is no Parquet file among the landing files: all others are loaded."""
+    work = shared_dir(spark, "skip-bad")
+    landing, target = f"{work}/landing", layer_path(work, "raw", "trips")
+    _land(trips_raw(spark, sf_dir).drop("_ingestion_date"), landing)
+    damaged = spark._jvm.org.apache.hadoop.fs.Path(f"{landing}/trips_2050-01.parquet")
+    out = damaged.getFileSystem(spark._jsc.hadoopConfiguration()).create(damaged)
+    out.writeBytes("not a parquet file")
+    out.close()
+    report = load_new_files(spark, landing, target, on_error="skip")
+    skipped = F.lit(len(report.skipped)).cast("bigint")
+    return _without_load_time(read_raw(spark, target)).withColumn("skipped_files", skipped)
+
+
+def _generations(raw: DataFrame) -> list[DataFrame]:
+    """Trips of an exporter with a fee no schema knows, then of one with a second such fee."""
+    files = raw.drop("_ingestion_date").withColumn("night_fee", F.col("VendorID") * 0.25)
+    first = files.filter(F.col(SOURCE_FILE) < "trips_1999").drop("cbd_congestion_fee")
+    second = files.filter(F.col(SOURCE_FILE) >= "trips_1999")
+    return [first, second.withColumn("port_fee", (F.col("PULocationID") + 1).cast("int"))]
+
+
+def ingest_evolving(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns that appear from one landing to the next, in batch and as a stream."""
+    work = shared_dir(spark, "evolving")
+    landing, target, sink = f"{work}/landing", layer_path(work, "raw", "trips"), f"{work}/sink"
+    for generation in [*_generations(trips_raw(spark, sf_dir)), None]:
+        if generation is not None:
+            _land(generation, landing)
+        load_new_files(spark, landing, target)
+        files = infer_trip_schema(spark, [f"{landing}/*"])
+        ingest_incremental(spark, landing, sink, f"{work}/checkpoint", files)
+    batch = read_raw(spark, target).withColumn("via", F.lit("batch"))
+    stream = read_streamed(spark, sink).withColumn("via", F.lit("stream"))
+    both = batch.unionByName(stream)
+    return both.drop("_ingestion_date").withColumnRenamed(SOURCE_FILE, "source_file")
 
 
 def lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -408,14 +472,16 @@ def lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def zones_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Zones through CSV: one borough is written as N/A and must come back as NULL."""
-    path = shared_dir(spark, "zones")
+    """Zones loaded into raw twice: the second load replaces the first; N/A comes back as NULL."""
+    work = shared_dir(spark, "zones")
+    path, target = f"{work}/csv", layer_path(work, "raw", "zones")
     marked = zones(spark, sf_dir).withColumn(
         "BOROUGH", F.when(F.col("BOROUGH") == "AFRICA", "N/A").otherwise(F.col("BOROUGH"))
     )
     renamed = marked.toDF("LocationID", "Borough", "Zone", "service_zone")
     renamed.write.option("header", "true").csv(path)
-    return load_zones(spark, path)
+    write_zones(spark, path, target)
+    return write_zones(spark, path, target)
 
 
 def read_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -437,12 +503,12 @@ def _view(name: str) -> Query:
     return run
 
 
-def _panel(name: str) -> Query:
+def _panel(name: str, **period: int) -> Query:
     """A dashboard question over the stored dashboard trips."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         root = shared_dir(spark, "dashboard")
-        return build_dashboard(trips_raw(spark, sf_dir), root, PROFILE_C)[name]
+        return build_dashboard(trips_raw(spark, sf_dir), root, PROFILE_C, **period)[name]
 
     return run
 
@@ -466,6 +532,10 @@ INGESTION: dict[str, Query] = {
     "ingest_stream": stream_incremental,
     "overwrite_reload": overwrite_reload,
     "append_load": append_load,
+    "append_after_load": append_after_load,
+    "ingest_late_parts": ingest_late_parts,
+    "ingest_skip_bad": ingest_skip_bad,
+    "ingest_evolving": ingest_evolving,
     "lineage": lineage,
     "zones_csv": zones_csv,
     "read_monthly": read_monthly,
@@ -473,6 +543,7 @@ INGESTION: dict[str, Query] = {
     "staged_daily_view": _view("v_daily_metrics"),
     "staged_route_view": _view("v_top_zones"),
     "staged_kpis": _panel("kpis"),
+    "staged_kpis_sliced": _panel("kpis", year=1998, quarter=2),
     "staged_top_zones": _panel("top_zones"),
     "pipeline_tests": pipeline_tests,
 }
