@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import random
 import zlib
 
@@ -41,7 +42,7 @@ def odd(spark):
 @given(st.text(max_size=200))
 @settings(max_examples=300, deadline=None)
 def test_own_ids_are_the_librarys(text):
-    ids = OWN.encode(text)
+    ids = next(OWN.encode([text])).tolist()
     assert ids == ids_of(BYTE, text)
     assert OWN.decode(ids) == LIBRARY[BYTE].decode(ids, skip_special_tokens=False) == text
 
@@ -54,17 +55,18 @@ def test_decoding_any_ids(ids):
 
 def test_no_merge_crosses_a_forced_boundary():
     vocabulary = OWN.vocabulary
-    assert vocabulary.fragments(b"a\xffb") == [b"a", b"\xff", b"b"]
-    joined = b"".join(vocabulary.fragments("naïve größe".encode()))
-    assert joined == "naïve größe".encode()
+    words = [b"a\xffb", b"one", "größe".encode(), b"x\xff"]
+    found = vocabulary.fragments(words)
+    assert found[0] == [b"a", b"\xff", b"b"] and found[1] == [b"one"] and found[3] == [b"x", b"\xff"]
+    assert [b"".join(f) for f in found] == words
     assert 0 < vocabulary.inside.sum() < 1 << 15
 
 
 @pytest.mark.parametrize("text", ODD)
 def test_odd_texts(text):
-    assert OWN.encode(text) == ids_of(BYTE, text)
+    assert next(OWN.encode([text])).tolist() == ids_of(BYTE, text)
     for path in (BYTE, WORD):
-        assert Encoder(path).encode([text, text])[1].tolist() == ids_of(path, text)
+        assert list(Encoder(path).encode([text, text]))[1].tolist() == ids_of(path, text)
 
 
 @given(st.lists(st.text(alphabet=st.characters(max_codepoint=0x2FF), max_size=60), max_size=5))
@@ -77,6 +79,28 @@ def test_words_encoded_once_are_the_librarys(texts):
 ENCODERS = {p: Encoder(p) for p in (BYTE, WORD)}
 
 
+@pytest.mark.parametrize("path", [BYTE, WORD])
+def test_every_token_is_what_its_letters_merge_to(path):
+    """The condition under which ranks of tokens and of pairs give the same ids."""
+    with open(path, encoding="utf-8") as file:
+        model = json.load(file)["model"]
+    ending = model.get("end_of_word_suffix") or ""
+    pairs = [tuple(p.split(" ") if isinstance(p, str) else p) for p in model["merges"]]
+    rank = {p: i for i, p in enumerate(pairs)}
+    assert len({a + b for a, b in pairs}) == len(pairs)
+    assert not any(ending and a.endswith(ending) for a, _ in pairs)
+    for left, right in pairs:
+        token = left + right
+        ends = bool(ending) and token.endswith(ending)
+        parts = list(token[: -len(ending)] if ends else token)
+        parts[-1] += ending if ends else ""
+        while len(parts) > 1:
+            i = min(range(len(parts) - 1), key=lambda i: rank.get((parts[i], parts[i + 1]), len(rank)))
+            assert (parts[i], parts[i + 1]) in rank
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+        assert parts == [token]
+
+
 def test_long_fragments_merge_alike():
     rng = random.Random(1)
     for _ in range(20):
