@@ -5,7 +5,10 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
-from collections.abc import Iterable, Sequence
+import re
+import struct
+from collections.abc import Iterable, Iterator, Sequence
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -14,16 +17,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripflow.llm.common import map_batches
-from tripflow.llm.encoders import BYTE_LEVEL, WORDS_KEPT
+from tripflow.llm.encoders import BYTE_LEVEL_WORDS, byte_letters
 
-_SHORT = 48
+#: Distinct words kept per task, some 200 bytes each, and texts worked on at a time.
+WORDS_KEPT = 500_000
+TEXTS_AT_ONCE = 512
 
-
-def _byte_letters() -> dict[str, int]:
-    """Letters byte-level vocabularies write for bytes: printable ones for themselves, the rest from 256 on."""
-    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    others = [b for b in range(256) if b not in set(own)]
-    return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(others)}
+_WORD = regex.compile(BYTE_LEVEL_WORDS)
+# The same cuts, faster, for texts of these characters alone.
+_COMMON = re.compile("[\t\n\r\x20-\x7e\xa1-ɏ]*")
+_COMMON_WORD = re.compile(
+    r" ?[^\W\d_²³¹¼½¾]+|'s|'t|'re|'ve|'m|'ll|'d| ?[\d²³¹¼½¾]+| ?(?:[^\w\s]|_)+|\s+(?!\S)|\s+"
+)
+_SHORT = 256
 
 
 class Vocabulary:
@@ -32,7 +38,7 @@ class Vocabulary:
     def __init__(self, path: str) -> None:
         with open(path, encoding="utf-8") as file:
             definition = json.load(file)
-        letters = _byte_letters()
+        letters = byte_letters()
         model = definition["model"]
         self.special = {t["content"]: t["id"] for t in definition["added_tokens"]}
         self.tokens: dict[int, bytes] = {
@@ -40,118 +46,125 @@ class Vocabulary:
         }
         ids = {t: i for i, t in self.tokens.items()}
         self.byte_ids = [ids[bytes([b])] for b in range(256)]
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
+        self.ranks: dict[int, int] = {}  # of a pair of ids, packed in one number
+        self.joined: list[int] = []  # by rank
         for rank, pair in enumerate(model["merges"]):
             left, right = pair.split(" ") if isinstance(pair, str) else pair
             a, b = (bytes(letters[c] for c in x) for x in (left, right))
-            self.merges[ids[a], ids[b]] = rank, ids[a + b]
+            self.ranks[ids[a] << 32 | ids[b]] = rank
+            self.joined.append(ids[a + b])
         self.inside = np.zeros(1 << 16, dtype=bool)
         for token in self.tokens.values():
             self.inside[[x << 8 | y for x, y in zip(token, token[1:], strict=False)]] = True
         self.tokens |= {i: t.encode() for t, i in self.special.items()}
 
-    def fragments(self, data: bytes) -> list[bytes]:
-        """Cuts between bytes no token holds side by side; no merge can cross one."""
-        if len(data) < 2:
-            return [data]
-        octets = np.frombuffer(data, np.uint8).astype(np.uint16)
+    def fragments(self, words: Sequence[bytes]) -> list[list[bytes]]:
+        """Each word cut between bytes no token holds side by side; no merge can cross there."""
+        if not words:
+            return []
+        octets = np.frombuffer(b"".join(words), np.uint8).astype(np.uint16)
         cuts = np.flatnonzero(~self.inside[octets[:-1] << 8 | octets[1:]]) + 1
-        if not len(cuts):
-            return [data]
-        edges = [0, *cuts.tolist(), len(data)]
-        return [data[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
+        ends = np.cumsum([len(w) for w in words])
+        owner = np.searchsorted(ends, cuts, side="right")
+        starts = ends - np.array([len(w) for w in words])
+        found = [[w] for w in words]
+        inner = cuts > starts[owner]  # the others are the words' own ends
+        cuts, owner = cuts[inner], owner[inner]
+        opens = np.flatnonzero(np.diff(owner, prepend=-1)).tolist()
+        for first, last in pairwise([*opens, len(cuts)]):
+            word = words[owner[first]]
+            edges = [0, *(cuts[first:last] - starts[owner[first]]).tolist(), len(word)]
+            found[owner[first]] = [word[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
+        return found
 
     def merge(self, fragment: bytes) -> list[int]:
+        """Ids of a fragment: the lowest-ranked pair first, of equal ones the leftmost."""
         ids = [self.byte_ids[b] for b in fragment]
         return self._merge_short(ids) if len(ids) <= _SHORT else self._merge_long(ids)
 
     def _merge_short(self, ids: list[int]) -> list[int]:
-        """Lowest-ranked pair first, all its occurrences from the left."""
-        none = (len(self.merges), -1)
-        while len(ids) > 1:
-            rank, joined, pair = min(
-                (*self.merges.get(pair, none), pair) for pair in zip(ids, ids[1:], strict=False)
-            )
-            if joined < 0:
+        rank, none = self.ranks.get, len(self.joined)
+        ranks = [rank(a << 32 | b, none) for a, b in zip(ids, ids[1:], strict=False)]
+        while ranks:
+            least = min(ranks)
+            if least == none:
                 break
-            out, i = [], 0
-            while i < len(ids):
-                if i + 1 < len(ids) and (ids[i], ids[i + 1]) == pair:
-                    out.append(joined)
-                    i += 2
-                else:
-                    out.append(ids[i])
-                    i += 1
-            ids = out
+            i = ranks.index(least)
+            ids[i] = self.joined[least]
+            del ids[i + 1], ranks[i]
+            if i < len(ranks):
+                ranks[i] = rank(ids[i] << 32 | ids[i + 1], none)
+            if i:
+                ranks[i - 1] = rank(ids[i - 1] << 32 | ids[i], none)
         return ids
 
     def _merge_long(self, ids: list[int]) -> list[int]:
         """The same with a heap over a linked list, in n log n steps."""
         count = len(ids)
         after, ahead = list(range(1, count + 1)), list(range(-1, count - 1))
-        heap = []
+        heap: list[tuple[int, int, int, int]] = []
+
+        def offer(i: int, j: int) -> None:
+            rank = self.ranks.get(ids[i] << 32 | ids[j])
+            if rank is not None:
+                heapq.heappush(heap, (rank, i, ids[i], ids[j]))
+
         for i in range(count - 1):
-            if found := self.merges.get((ids[i], ids[i + 1])):
-                heap.append((found[0], i, ids[i], ids[i + 1], found[1]))
-        heapq.heapify(heap)
+            offer(i, i + 1)
         while heap:
-            _, i, left, right, joined = heapq.heappop(heap)
+            rank, i, left, right = heapq.heappop(heap)
             j = after[i]
             if ids[i] != left or j >= count or ids[j] != right:
                 continue
-            ids[i], ids[j] = joined, -1
+            ids[i], ids[j] = self.joined[rank], -1
             after[i] = after[j]
             if after[i] < count:
                 ahead[after[i]] = i
-                if found := self.merges.get((joined, ids[after[i]])):
-                    heapq.heappush(heap, (found[0], i, joined, ids[after[i]], found[1]))
-            if ahead[i] >= 0 and (found := self.merges.get((ids[ahead[i]], joined))):
-                heapq.heappush(heap, (found[0], ahead[i], ids[ahead[i]], joined, found[1]))
+                offer(i, after[i])
+            if ahead[i] >= 0:
+                offer(ahead[i], i)
         return [x for x in ids if x >= 0]
 
 
-class _Words(dict):
-    """Ids of words met lately, encoded on first use."""
-
-    def __init__(self, vocabulary: Vocabulary) -> None:
-        self.vocabulary = vocabulary
-        self.pieces: dict[bytes, list[int]] = {}
-
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        ids: list[int] = []
-        for fragment in self.vocabulary.fragments(word.encode()):
-            found = self.pieces.get(fragment)
-            if found is None:
-                found = self.vocabulary.merge(fragment)
-                if len(fragment) <= _SHORT:
-                    self.pieces[fragment] = found
-            ids += found
-        if len(word) > _SHORT:
-            return tuple(ids)
-        self[word] = tuple(ids)
-        return self[word]
+class Bpe:
+    """Texts are cut into words and these at forced boundaries; each fragment is merged by itself.
 
+    Distinct words of a slice of texts are encoded once, and remembered for the next.
+    """
 
-class Bpe:
     def __init__(self, path: str) -> None:
         self.vocabulary = Vocabulary(path)
-        self.words = _Words(self.vocabulary)
-        self.pattern = regex.compile(BYTE_LEVEL)
+        self.words: dict[str, bytes] = {}
         special = sorted(self.vocabulary.special, key=len, reverse=True)
         self.special = regex.compile("(" + "|".join(map(regex.escape, special)) + ")") if special else None
 
-    def encode(self, text: str) -> list[int]:
-        if len(self.words) + len(self.words.pieces) > 2 * WORDS_KEPT:
-            self.words = _Words(self.vocabulary)
-        parts = self.special.split(text) if self.special else [text]
-        ids: list[int] = []
-        for at, part in enumerate(parts):
-            if at % 2:
-                ids.append(self.vocabulary.special[part])
-            else:
-                for found in map(self.words.__getitem__, self.pattern.findall(part)):
-                    ids += found
-        return ids
+    def encode(self, texts: Sequence[str]) -> Iterator[np.ndarray]:
+        for at in range(0, len(texts), TEXTS_AT_ONCE):
+            cut = [self._cut(t) for t in texts[at : at + TEXTS_AT_ONCE]]
+            if len(self.words) > WORDS_KEPT:
+                self.words = {}
+            met: set[str] = set()
+            met.update(*cut)
+            self._learn(list(met.difference(self.words)))
+            known = self.words.__getitem__
+            for words in cut:
+                yield np.frombuffer(b"".join(map(known, words)), "<u4")
+
+    def _cut(self, text: str) -> list[str]:
+        """Words, and special tokens, which stand alone."""
+        if not any(s in text for s in self.vocabulary.special):
+            return _COMMON_WORD.findall(text) if _COMMON.fullmatch(text) else _WORD.findall(text)
+        found: list[str] = []
+        for at, part in enumerate(self.special.split(text)):
+            found += [part] if at % 2 else _WORD.findall(part)
+        return found
+
+    def _learn(self, new: list[str]) -> None:
+        merge = self.vocabulary.merge
+        for word, fragments in zip(new, self.vocabulary.fragments([w.encode() for w in new]), strict=True):
+            special = self.vocabulary.special.get(word)
+            ids = [i for f in fragments for i in merge(f)] if special is None else [special]
+            self.words[word] = struct.pack(f"<{len(ids)}I", *ids)
 
     def decode(self, ids: Iterable[int]) -> str:
         """Bytes of all ids together; what is no UTF-8 becomes replacement characters."""
@@ -174,7 +187,8 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
         bpe = Bpe(path)
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            ids = pa.array([bpe.encode(t) for t in batch.column(1).to_pylist()], pa.list_(pa.int32()))
+            found = [i.astype(np.int32) for i in bpe.encode(batch.column(1).to_pylist())]
+            ids = pa.array(found, pa.list_(pa.int32()))
             return pa.RecordBatch.from_arrays([batch.column(0), ids], ["doc_id", "ids"])
 
         return step
@@ -208,13 +222,13 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
         bpe = Bpe(path)
         names = [str(i) for i in range(max(bpe.vocabulary.tokens) + 1)]
 
-        def digests(text: str) -> tuple[int, str, str]:
-            ids = bpe.encode(text)
+        def digests(found: np.ndarray) -> tuple[int, str, str]:
+            ids = found.tolist()
             listed = ",".join(map(names.__getitem__, ids))
             return len(ids), _sha256(listed), _sha256(bpe.decode(ids))
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            found: Sequence[tuple[int, str, str]] = [digests(t) for t in batch.column(1).to_pylist()]
+            found: Sequence[tuple[int, str, str]] = [digests(ids) for ids in bpe.encode(batch.column(1).to_pylist())]
             columns = [
                 pa.array([f[0] for f in found], pa.int64()),
                 pa.array([f[1] for f in found], pa.string()),
