@@ -223,12 +223,15 @@ def predict(
         number = {w: i for i, w in enumerate(chain.vocabulary)} if chain else {}
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            found = [words(t) for t in batch.column(1).to_pylist()]
-            values = np.zeros((len(found), len(names)))
-            if chain and len(found):
-                data = _sparse([[number[w] for w in f if w in number] for f in found], chain.scale)
-                values = chain.probabilities(data)
-                values[[not f for f in found]] = 0
+            rows, silent = [], []
+            for text in batch.column(1):  # one at a time: a batch's words would fill the memory
+                found = words(text.as_py())
+                rows.append([number[w] for w in found if w in number])
+                silent.append(not found)
+            values = np.zeros((len(rows), len(names)))
+            if chain and rows:
+                values = chain.probabilities(_sparse(rows, chain.scale))
+                values[silent] = 0
             columns = [pa.array(values[:, i]) for i in range(len(names))]
             flags = [pa.array(values[:, i] >= threshold) for i in range(len(names))]
             return pa.RecordBatch.from_arrays(
