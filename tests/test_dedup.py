@@ -4,8 +4,8 @@ import pytest
 from helpers import plan, raw_trips
 from pyspark.sql import functions as F
 
-from tripflow.operators.cleaning import billing_profile, clean
-from tripflow.operators.dedup import SUSPECT_LIMIT, dedup_keep_first, duplicate_report
+from tripflow.operators.cleaning import billing_profile, clean, keep_good
+from tripflow.operators.dedup import dedup_keep_first, duplicate_report
 from tripflow.schemas import BUSINESS_COLUMNS, SOURCE_FILE
 
 
@@ -41,8 +41,8 @@ def test_hot_key_is_cut_before_the_shuffle(spark):
     assert kept.filter("k = -1").first().v == 0
 
 
-@pytest.mark.parametrize("suspect_limit", [SUSPECT_LIMIT, 0])
-def test_report_counts_per_file_and_keeps_nulls_equal(spark, suspect_limit):
+@pytest.mark.parametrize("buckets", [1 << 16, 64])
+def test_report_counts_per_file_and_keeps_nulls_equal(spark, buckets):
     raw = raw_trips(
         spark,
         *[{"passenger_count": None}] * 3,
@@ -50,7 +50,7 @@ def test_report_counts_per_file_and_keeps_nulls_equal(spark, suspect_limit):
         {"tip_amount": 1.0},
         {"_source_file": "trips_2024-06.parquet"},
     )
-    found = duplicate_report(raw, BUSINESS_COLUMNS, SOURCE_FILE, suspect_limit).collect()
+    found = duplicate_report(raw, BUSINESS_COLUMNS, SOURCE_FILE, buckets).collect()
     assert [tuple(r) for r in found] == [("trips_2024-05.parquet", 2, 5, 3)]
 
 
@@ -59,3 +59,46 @@ def test_shared_fingerprint_is_no_duplicate(spark):
     df = spark.createDataFrame([("f", None, 1), ("f", 1, None)], "file string, a int, b int")
     assert df.select(F.xxhash64("file", "a", "b")).distinct().count() == 1
     assert duplicate_report(df, ["a", "b"], "file").count() == 0
+
+
+@pytest.mark.parametrize("buckets", [1 << 16, 64])
+def test_bitmap_size_does_not_change_the_answer(spark, buckets):
+    df = spark.range(3000).selectExpr("if(id % 7 = 0, id div 70, id) AS k", "id AS v")
+    found = dedup_keep_first(df, ["k"], ["v"], buckets=buckets).collect()
+    first = {}
+    for v in range(3000):
+        first.setdefault(v // 70 if v % 7 == 0 else v, v)
+    assert sorted((r.k, r.v) for r in found) == sorted(first.items())
+
+
+def test_definition_runs_no_job(spark):
+    raw = raw_trips(spark, {}, {})
+    spark.sparkContext.setJobGroup("definition", "")
+    duplicate_report(raw, BUSINESS_COLUMNS, SOURCE_FILE)
+    clean(raw, billing_profile())
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("definition")
+
+
+def test_only_suspects_are_sorted_and_shuffled(spark, tmp_path):
+    """Rows whose key is not repeated reach neither the sort nor the shuffle of whole rows."""
+    raw = raw_trips(spark, *[{"PULocationID": n} for n in range(500)], *[{"tip_amount": 2.0}] * 2)
+    raw.write.parquet(f"{tmp_path}/raw")
+    found = clean(spark.read.parquet(f"{tmp_path}/raw"), billing_profile())
+    found.write.parquet(f"{tmp_path}/out")
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 500
+    text = plan(found)
+    tree = text.split("(1) ")[0]
+    main = tree.split("Subqueries")[0]
+    assert main.count("Window (") == 1 and main.count("Union") == 1
+    passing, sorted_ = main.split("Scan parquet")[0], main.split("Scan parquet")[1]
+    assert "Exchange" not in passing and "Sort" not in passing
+    assert "Sort" in main
+
+
+def test_file_month_is_parsed_once_per_row(spark, tmp_path):
+    raw_trips(spark, {}).write.parquet(f"{tmp_path}/raw")
+    staged = billing_profile().layout(keep_good(spark.read.parquet(f"{tmp_path}/raw"), billing_profile()))
+    assert plan(staged).count("regexp_extract(") == 1
+    pushed = next(x for x in plan(staged).splitlines() if x.startswith("PushedFilters"))
+    assert "fare_amount" in pushed and "total_amount" in pushed

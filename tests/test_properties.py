@@ -98,7 +98,7 @@ def test_dedup_keeps_the_least_row_of_each_key(spark, rows):
 @few
 @given(
     st.lists(st.tuples(st.sampled_from("xy"), small, small), min_size=1, max_size=60),
-    st.sampled_from([0, dedup.SUSPECT_LIMIT]),
+    st.sampled_from([64, 1 << 14]),
 )
 def test_duplicate_report_counts(spark, rows, limit):
     df = shuffled(spark.createDataFrame(rows, "f string, a int, b int"))

@@ -34,6 +34,8 @@ class Profile:
     layout: Callable[[DataFrame], DataFrame]
     unique_by: tuple[str, ...] = ()
     first_by: tuple[str, ...] = ()
+    derived: tuple[str, ...] = ()  # columns that follow from others, so they break no tie
+    prepare: Callable[[DataFrame], DataFrame] = lambda raw: raw  # adds what several rules or columns use
 
 
 def _pickup_within(start: str, end: str) -> Column:
@@ -80,7 +82,7 @@ def billing_profile() -> Profile:
             Rule("fare", F.col("fare_amount") >= 2.5),
             Rule("distance", F.col("trip_distance").between(0.1, 100.0)),
             Rule("passengers", F.col("passenger_count").between(1, 5)),
-            Rule("file_month", file_month_ok(pickup_date, epoch.file_month(F.col(SOURCE_FILE)))),
+            Rule("file_month", file_month_ok(pickup_date, F.col(std.FILE_MONTH))),
         ]
 
     return Profile(
@@ -98,6 +100,8 @@ def billing_profile() -> Profile:
             "total_amount",
         ),
         first_by=("source_file",),
+        derived=("file_target_date",),
+        prepare=std.with_file_month,
     )
 
 
@@ -122,8 +126,8 @@ def passes(profile: Profile) -> Column:
 
 
 def keep_good(raw: DataFrame, profile: Profile) -> DataFrame:
-    """Raw rows that satisfy every rule, in raw columns."""
-    return raw.filter(passes(profile))
+    """Raw rows that satisfy every rule, in raw columns and those the profile prepares."""
+    return profile.prepare(raw).filter(passes(profile))
 
 
 def clean(raw: DataFrame, profile: Profile) -> DataFrame:
@@ -131,7 +135,9 @@ def clean(raw: DataFrame, profile: Profile) -> DataFrame:
     staged = profile.layout(keep_good(raw, profile))
     if not profile.unique_by:
         return staged
-    return dedup_keep_first(staged, profile.unique_by, profile.first_by)
+    settled = {*profile.unique_by, *profile.first_by, *profile.derived}
+    ties = [c for c in staged.columns if c not in settled]
+    return dedup_keep_first(staged, profile.unique_by, profile.first_by, ties)
 
 
 def ratecode_policy(

@@ -1,13 +1,41 @@
-"""Duplicate removal and duplicate reports."""
+"""Duplicate removal and duplicate reports.
+
+Both first count 64-bit fingerprints, which is all that is shuffled for every row, and mark
+the buckets of repeated ones in a bitmap of fixed size. A row whose bucket is not marked has
+no duplicate and passes by; only the others are sorted or grouped on whole rows. A row
+that shares a bucket by chance is merely looked at, so the answer does not depend on the
+bitmap's size. Should repeats fill the bitmap, all rows are looked at. The input is read
+more than once, so it must be the same each time, as files and stored tables are.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripflow.session import shared_dir
+BUCKETS = 1 << 22  # bits of the bitmap, 512 KB for every task
+
+
+def _may_repeat(df: DataFrame, columns: Sequence[str], buckets: int) -> Column:
+    """Whether another row may equal this one in ``columns``; a scalar subquery holds the bitmap."""
+    fingerprint = F.xxhash64(*columns)
+    bucket = F.pmod(F.col("_print"), F.lit(buckets))
+    repeated = df.groupBy(fingerprint.alias("_print")).agg(F.count("*").alias("_rows"))
+    words = (
+        repeated.filter("_rows > 1")
+        .select(F.shiftright(bucket, 6).alias("_word"), bucket.bitwiseAND(63).cast("int").alias("_bit"))
+        .groupBy("_word")
+        .agg(F.expr("bit_or(shiftleft(1L, _bit))").alias("_bits"))
+    )
+    whole = df.sparkSession.range(buckets // 64).join(words, F.col("id") == F.col("_word"), "left")
+    listed = F.collect_list(F.struct("id", F.coalesce("_bits", F.lit(0).cast("bigint")).alias("_bits")))
+    bitmap = whole.agg(F.transform(F.array_sort(listed), lambda x: x["_bits"]).alias("bitmap")).scalar()
+    place = F.pmod(fingerprint, F.lit(buckets))
+    word = F.get(bitmap, F.shiftright(place, 6).cast("int"))
+    bit = F.call_function("shiftright", word, place.bitwiseAND(63).cast("int"))
+    return bit.bitwiseAND(1) == 1
 
 
 def dedup_keep_first(
@@ -15,11 +43,13 @@ def dedup_keep_first(
     keys: Sequence[str],
     order: Sequence[str],
     tie_breakers: Sequence[str] | None = None,
+    buckets: int = BUCKETS,
 ) -> DataFrame:
     """One row per key, the first by ``order``.
 
     ``order`` alone may tie, so the remaining columns break ties and reruns agree;
-    pass ``tie_breakers`` to name them. NULL keys form one group. ``row_number() = 1``
+    pass ``tie_breakers`` to name them. NULL keys form one group. Rows of a key that cannot
+    repeat take no part in the sort and its shuffle. For the others ``row_number() = 1``
     becomes a partial window group limit: every map task keeps a single row per key
     before the shuffle, so a key holding much of the data cannot overload one task.
     """
@@ -28,37 +58,21 @@ def dedup_keep_first(
     first = Window.partitionBy(*keys).orderBy(
         *[F.col(c).asc_nulls_first() for c in (*order, *tie_breakers)]
     )
-    return df.withColumn("_rank", F.row_number().over(first)).filter("_rank = 1").drop("_rank")
-
-
-SUSPECT_LIMIT = 4_000_000  # 8-byte fingerprints, a broadcast of about 100 MB
+    suspect = _may_repeat(df, keys, buckets)
+    ranked = df.filter(suspect).withColumn("_rank", F.row_number().over(first))
+    return df.filter(~suspect).unionByName(ranked.filter("_rank = 1").drop("_rank"))
 
 
 def duplicate_report(
-    df: DataFrame, columns: Sequence[str], by: str, suspect_limit: int = SUSPECT_LIMIT
+    df: DataFrame, columns: Sequence[str], by: str, buckets: int = BUCKETS
 ) -> DataFrame:
     """Per ``by`` value: groups of identical rows, rows in them, rows to remove.
 
-    Grouping on whole rows shuffles the whole table. So a first pass groups on a 64-bit
-    fingerprint alone, and only rows with a repeated fingerprint, found by a second
-    read, are grouped on all their columns: rows that merely share a fingerprint part
-    there, so the report is exact. The fingerprints are stored, counted and broadcast
-    if few; if duplicates abound, whole rows are grouped after all. Either way copies
-    are counted before the shuffle, so a row repeated very often does no harm.
+    Rows are grouped on all their columns, so those that merely share a fingerprint part.
+    Copies are counted before the shuffle, so a row repeated very often does no harm.
     """
-    fingerprint = F.xxhash64(by, *columns)
-    stored = shared_dir(df.sparkSession, "fingerprints")
-    repeated = df.groupBy(fingerprint.alias("_print")).agg(F.count("*").alias("_rows"))
-    repeated.filter("_rows > 1").select("_print").write.parquet(stored)
-    suspects = df.sparkSession.read.schema("_print bigint").parquet(stored)
-    if suspects.count() <= suspect_limit:
-        marked = df.withColumn("_print", fingerprint)
-        df = marked.join(F.broadcast(suspects), "_print", "left_semi")
-    return _report_on_rows(df, columns, by)
-
-
-def _report_on_rows(df: DataFrame, columns: Sequence[str], by: str) -> DataFrame:
-    groups = df.groupBy(by, *columns).agg(F.count("*").alias("_copies")).filter("_copies > 1")
+    suspects = df.filter(_may_repeat(df, [by, *columns], buckets))
+    groups = suspects.groupBy(by, *columns).agg(F.count("*").alias("_copies")).filter("_copies > 1")
     return groups.groupBy(by).agg(
         F.count("*").alias("identical_groups"),
         F.sum("_copies").alias("affected_rows"),

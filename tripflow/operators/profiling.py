@@ -97,7 +97,7 @@ def co_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def violations(raw: DataFrame, profile: Profile) -> DataFrame:
     """Rows breaking each rule of a profile; all rules share one scan."""
     rules = profile.rules()
-    counted = raw.agg(
+    counted = profile.prepare(raw).agg(
         *[F.count_if(~F.coalesce(r.good, F.lit(False))).alias(r.name) for r in rules]
     )
     pairs = [F.struct(F.lit(r.name).alias("rule"), F.col(r.name).alias("rows")) for r in rules]
@@ -106,7 +106,7 @@ def violations(raw: DataFrame, profile: Profile) -> DataFrame:
 
 def retention(raw: DataFrame, profile: Profile) -> DataFrame:
     """Rows before and after the profile's rules, counted in one scan."""
-    counted = raw.agg(
+    counted = profile.prepare(raw).agg(
         F.count("*").alias("raw_rows"), F.count_if(passes(profile)).alias("clean_rows")
     )
     share = F.try_divide(F.col("clean_rows") * 100.0, F.col("raw_rows"))

@@ -114,13 +114,28 @@ def enriched(raw: DataFrame) -> DataFrame:
     )
 
 
+FILE_MONTH = "_file_month"
+
+
+def with_file_month(raw: DataFrame) -> DataFrame:
+    """Adds the month of the source file, parsed once per row.
+
+    A generator of one row holds it: the optimizer would repeat a plain expression in the
+    filter and in the output, while filters on other columns still pass through to the scan.
+    """
+    month = F.explode(F.array(epoch.file_month(F.col(SOURCE_FILE))))
+    return raw.select("*", month.alias(FILE_MONTH))
+
+
 def billing(raw: DataFrame) -> DataFrame:
     """Metric-view input: every charge, surcharges filled, the file's month."""
+    if FILE_MONTH not in raw.columns:
+        raw = with_file_month(raw)
     return raw.select(
         *renamed(BILLING_NAMES),
         *_times(),
         *[fill_zero(F.col(raw_name)).alias(n) for raw_name, n in BILLING_SURCHARGES.items()],
-        epoch.file_month(F.col(SOURCE_FILE)).alias("file_target_date"),
+        F.col(FILE_MONTH).alias("file_target_date"),
     )
 
 
