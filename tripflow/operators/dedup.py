@@ -18,11 +18,23 @@ from pyspark.sql import functions as F
 BUCKETS = 1 << 22  # bits of the bitmap, 512 KB for every task
 
 
+_PLACE = "_place"
+
+
+def _placed(df: DataFrame, columns: Sequence[str], buckets: int) -> DataFrame:
+    """Adds the bucket of the fingerprint of ``columns``.
+
+    A generator of one row holds it, since the optimizer would repeat the expression, and
+    all that the columns are computed from, wherever the bucket is used.
+    """
+    place = F.pmod(F.xxhash64(*columns), F.lit(buckets))
+    return df.select("*", F.explode(F.array(place)).alias(_PLACE))
+
+
 def _may_repeat(df: DataFrame, columns: Sequence[str], buckets: int) -> Column:
-    """Whether another row may equal this one in ``columns``; a scalar subquery holds the bitmap."""
-    fingerprint = F.xxhash64(*columns)
+    """Whether another row may equal a placed one in ``columns``; a scalar subquery holds the bitmap."""
     bucket = F.pmod(F.col("_print"), F.lit(buckets))
-    repeated = df.groupBy(fingerprint.alias("_print")).agg(F.count("*").alias("_rows"))
+    repeated = df.groupBy(F.xxhash64(*columns).alias("_print")).agg(F.count("*").alias("_rows"))
     words = (
         repeated.filter("_rows > 1")
         .select(F.shiftright(bucket, 6).alias("_word"), bucket.bitwiseAND(63).cast("int").alias("_bit"))
@@ -32,9 +44,8 @@ def _may_repeat(df: DataFrame, columns: Sequence[str], buckets: int) -> Column:
     whole = df.sparkSession.range(buckets // 64).join(words, F.col("id") == F.col("_word"), "left")
     listed = F.collect_list(F.struct("id", F.coalesce("_bits", F.lit(0).cast("bigint")).alias("_bits")))
     bitmap = whole.agg(F.transform(F.array_sort(listed), lambda x: x["_bits"]).alias("bitmap")).scalar()
-    place = F.pmod(fingerprint, F.lit(buckets))
-    word = F.get(bitmap, F.shiftright(place, 6).cast("int"))
-    bit = F.call_function("shiftright", word, place.bitwiseAND(63).cast("int"))
+    word = F.get(bitmap, F.shiftright(_PLACE, 6).cast("int"))
+    bit = F.call_function("shiftright", word, F.col(_PLACE).bitwiseAND(63).cast("int"))
     return bit.bitwiseAND(1) == 1
 
 
@@ -58,9 +69,10 @@ def dedup_keep_first(
     first = Window.partitionBy(*keys).orderBy(
         *[F.col(c).asc_nulls_first() for c in (*order, *tie_breakers)]
     )
-    suspect = _may_repeat(df, keys, buckets)
-    ranked = df.filter(suspect).withColumn("_rank", F.row_number().over(first))
-    return df.filter(~suspect).unionByName(ranked.filter("_rank = 1").drop("_rank"))
+    suspect, placed = _may_repeat(df, keys, buckets), _placed(df, keys, buckets)
+    ranked = placed.filter(suspect).withColumn("_rank", F.row_number().over(first))
+    kept = placed.filter(~suspect).unionByName(ranked.filter("_rank = 1").drop("_rank"))
+    return kept.drop(_PLACE)
 
 
 def duplicate_report(
@@ -71,7 +83,8 @@ def duplicate_report(
     Rows are grouped on all their columns, so those that merely share a fingerprint part.
     Copies are counted before the shuffle, so a row repeated very often does no harm.
     """
-    suspects = df.filter(_may_repeat(df, [by, *columns], buckets))
+    every = [by, *columns]
+    suspects = _placed(df, every, buckets).filter(_may_repeat(df, every, buckets))
     groups = suspects.groupBy(by, *columns).agg(F.count("*").alias("_copies")).filter("_copies > 1")
     return groups.groupBy(by).agg(
         F.count("*").alias("identical_groups"),
