@@ -3,7 +3,7 @@
 Counts and exact sums add up, so marts of any date range follow from the rollup
 without reading trips again. It has at most days x 24 x zones rows, but its key is far
 finer than a mart's, so building it shuffles more; ``one_pass`` is the cheaper way to
-the full marts.
+the full marts. ``pipeline.period_marts`` answers from it.
 """
 
 from __future__ import annotations

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -18,7 +19,7 @@ from tripflow.operators.cleaning import (
 )
 from tripflow.operators.expectations import run_suite
 from tripflow.operators.zones import UNKNOWN_BOROUGHS
-from tripflow.plans import one_pass, suites
+from tripflow.plans import cube, one_pass, suites
 from tripflow.sources.layers import materialize
 
 
@@ -101,3 +102,24 @@ def build_dashboard(
         "top_zones": dashboards.top_zones(staging),
         "payment_mix": dashboards.payment_mix(staging),
     }
+
+
+def build_rollup(raw: DataFrame, root: str, profile: Profile | None = None) -> DataFrame:
+    """Store the rollup of the clean trips by pickup date, hour and zone."""
+    return materialize(cube.trip_cube(clean(raw, profile or mart_profile())), root, "final", "trip_cube")
+
+
+def period_marts(
+    rollup: DataFrame,
+    zones: DataFrame,
+    first: dt.date,
+    last: dt.date,
+    exclude: Sequence[str] = UNKNOWN_BOROUGHS,
+) -> dict[str, DataFrame]:
+    """The three marts of any range of days, from the stored rollup alone."""
+    days = rollup.filter(F.col("pickup_date").between(first, last))
+    return {
+        "daily_summary": cube.daily_summary(days),
+        "zone_analysis": cube.zone_analysis(days, zones, exclude),
+        "hourly_patterns": cube.hourly_patterns(days),
+    }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,7 +15,13 @@ from tripflow.operators import cleaning, dashboards, dedup, expectations, marts,
 from tripflow.operators import standardize as std
 from tripflow.operators.zones import enrich_zones
 from tripflow.plans import cube, one_pass, suites
-from tripflow.plans.pipeline import build, build_dashboard, build_views
+from tripflow.plans.pipeline import (
+    build,
+    build_dashboard,
+    build_rollup,
+    build_views,
+    period_marts,
+)
 from tripflow.schemas import BUSINESS_COLUMNS, RAW_TRIP_SCHEMA, SOURCE_FILE
 from tripflow.session import shared_dir
 from tripflow.sources.conform import evolve
@@ -513,6 +520,17 @@ def _panel(name: str, **period: int) -> Query:
     return run
 
 
+def _of_period(mart: str) -> Query:
+    """A mart of half a year from the stored rollup."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rollup = build_rollup(trips_raw(spark, sf_dir), shared_dir(spark, "rollup"), PROFILE_A)
+        half = (dt.date(1996, 4, 1), dt.date(1996, 9, 30))
+        return period_marts(rollup, zones(spark, sf_dir), *half, EXCLUDED)[mart]
+
+    return run
+
+
 def pipeline_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw to marts through stored layers; the outcome of all suites."""
     built = build(
@@ -545,6 +563,9 @@ INGESTION: dict[str, Query] = {
     "staged_kpis": _panel("kpis"),
     "staged_kpis_sliced": _panel("kpis", year=1998, quarter=2),
     "staged_top_zones": _panel("top_zones"),
+    "period_daily_summary": _of_period("daily_summary"),
+    "period_zone_analysis": _of_period("zone_analysis"),
+    "period_hourly_patterns": _of_period("hourly_patterns"),
     "pipeline_tests": pipeline_tests,
 }
 
