@@ -53,10 +53,27 @@ def even_sample(rows: DataFrame, by: str, deal: str, each: int, classes: int) ->
     return ranked.filter(F.col("_place") <= each).drop("_place")
 
 
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 8 << 20
+
+
+def _hold_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batches to ``BATCH_BYTES``.
+
+    Long texts make batches of many rows large, and each is held several times over, in
+    the JVM, in Arrow and as Python objects. The setting is read when a plan runs, so it
+    must stay for the session.
+    """
+    now = spark.conf.get(_BATCH_BYTES, None)
+    if now is None or not now.rstrip("b").isdigit() or not 0 < int(now.rstrip("b")) <= BATCH_BYTES:
+        spark.conf.set(_BATCH_BYTES, str(BATCH_BYTES))
+
+
 def map_batches(
     df: DataFrame, schema: str, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]]
 ) -> DataFrame:
     """Run ``make`` once per task and its result on each Arrow batch."""
+    _hold_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = make()
