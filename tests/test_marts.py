@@ -173,3 +173,6 @@ def test_frequency_share_reads_the_data_once(spark, tmp_path):
     assert {r.RatecodeID: r.share_pct for r in shares.collect()} == {1: 50.0, 99: 25.0, None: 25.0}
     tree = plan(shares)
     assert "Cartesian" not in tree and "NestedLoop" not in tree
+    executed = shares._jdf.queryExecution()
+    executed.executedPlan().executeCollect()
+    assert "ReusedExchange" in executed.executedPlan().toString()
