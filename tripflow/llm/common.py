@@ -36,6 +36,9 @@ def dropped(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+SAMPLE_FILES = 8  # of a sample, which is of bounded size
+
+
 def even_sample(rows: DataFrame, by: str, deal: str, each: int, classes: int) -> DataFrame:
     """Up to ``each`` rows for every value of ``by``, the same ones on every run.
 

@@ -8,16 +8,23 @@ from pyspark.sql import functions as F
 from tripflow.llm.common import dropped, stored
 
 
-def _nearest(pairs: DataFrame) -> DataFrame:
-    """Pairs (u, v) with the smallest of u and its neighbours as m.
+ROWS_PER_FILE = 100_000
+
+
+def joined_apart(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Join on ``key`` so that adaptive execution can split a hot key's rows.
 
-    The minimum is combined before its shuffle and stored, so that adaptive execution
-    can split the rows of a hub in the join with it.
+    It splits only where both sides are shuffled for the join itself. A side that was
+    aggregated by the key would not be, so the join also compares a bit of the key.
     """
-    least = stored(
-        pairs.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")), "star-minimum"
-    )
-    return pairs.join(least, "u")
+    bit = F.col(key).bitwiseAND(1).alias("_bit")
+    return left.select("*", bit).join(right.select("*", bit), [key, "_bit"], how).drop("_bit")
+
+
+def _nearest(pairs: DataFrame) -> DataFrame:
+    """Pairs (u, v) with the smallest of u and its neighbours as m."""
+    least = pairs.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
+    return joined_apart(pairs, least, "u")
 
 
 def _both_ways(edges: DataFrame) -> DataFrame:
@@ -25,26 +32,31 @@ def _both_ways(edges: DataFrame) -> DataFrame:
     return edges.unionByName(turned)
 
 
+def _round(edges: DataFrame) -> DataFrame:
+    """A large-star and a small-star step."""
+    large = _nearest(_both_ways(edges)).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    large = large.filter("u <> v").distinct()
+    small = _nearest(large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")))
+    kept = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
+        small.select("u", F.col("m").alias("v"))
+    )
+    return kept.filter("u <> v").distinct()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Smallest node each linked node reaches: columns ``node`` and ``root``.
 
     ``edges`` has the columns ``u`` and ``v`` without nulls. Large-star and small-star
     steps alternate (Kiveris et al., 2014): a node's larger, then its smaller neighbours
     are joined to its smallest one. The number of edges never grows and the rounds are
-    logarithmic in the longest path, so nothing is gathered for a whole component.
+    logarithmic in the longest path, so nothing is gathered for a whole component. Each
+    round is stored, in files of about ``ROWS_PER_FILE`` edges.
     """
     edges = stored(edges.filter("u <> v").distinct(), "star-edges")
     while True:
-        large = _nearest(_both_ways(edges)).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        grown = stored(large.filter("u <> v").distinct(), "star-large")
-        down = grown.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        small = _nearest(down)
-        kept = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
-            small.select("u", F.col("m").alias("v"))
-        )
-        after = stored(kept.filter("u <> v").distinct(), "star-small")
+        files = max(1, -(-edges.count() // ROWS_PER_FILE))
+        after = stored(_round(edges).coalesce(files), "star-edges")
         dropped(edges)
-        dropped(grown)
         edges = after
         roots = edges.select(F.col("v").alias("u")).distinct()
         counts = edges.agg(F.count("*").alias("rows"), F.count_distinct("u").alias("nodes")).first()

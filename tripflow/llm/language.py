@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripflow.llm.common import even_sample, map_batches, stored
+from tripflow.llm.common import SAMPLE_FILES, even_sample, map_batches, stored
 
 UNDETERMINED = "und"
 LONGEST = 4  # n-grams of 1 to so many characters
@@ -128,7 +128,7 @@ def fit(
     if not languages:
         return None
     chosen = even_sample(rows, "lang", "deal", max(1, train_rows // len(languages)), landmarks)
-    sample = stored(chosen.filter("text <> ''"), "language-sample")
+    sample = stored(chosen.filter("text <> ''").coalesce(SAMPLE_FILES), "language-sample")
     order = Window.partitionBy("lang").orderBy("deal", "text")
 
     def presence():

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripflow.llm.common import key_runs, map_batches, run_starts, stored
-from tripflow.llm.components import components
+from tripflow.llm.components import components, joined_apart
 
 SHINGLE_WORDS = 3
 MAX_BITS = 2
@@ -232,16 +232,16 @@ def near_duplicates(
     table gives an empty result, and other columns are not read.
     """
     prints = stored(fingerprints(docs, id_col, text_col, width), "prints")
-    distinct = stored(prints.groupBy("print").agg(F.min("doc_id").alias("least_id")), "distinct-prints")
-    member = components(links(distinct.select("print"), limit))
-    linked = distinct.join(member, distinct["print"] == member["node"]).select("print", "root", "least_id")
+    distinct = prints.groupBy("print").agg(F.min("doc_id").alias("least_id"))
+    member = components(links(prints.select("print").distinct(), limit)).withColumnRenamed("node", "print")
+    linked = distinct.join(member, "print")
     least = linked.groupBy("root").agg(F.min("least_id").alias("linked_id"))
-    named = linked.join(least, "root").select("print", "linked_id")
-    component = stored(
-        distinct.join(named, "print", "left").select("print", F.coalesce("linked_id", "least_id").alias("component_id")),
-        "print-components",
+    named = joined_apart(member, least, "root").select("print", "linked_id")
+    component = distinct.join(named, "print", "left").select(
+        "print", F.coalesce("linked_id", "least_id").alias("component_id")
     )
-    return prints.join(component, "print").select("doc_id", hex_print("print").alias("fingerprint"), "component_id")
+    found = joined_apart(prints, component, "print")
+    return found.select("doc_id", hex_print("print").alias("fingerprint"), "component_id")
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -250,5 +250,5 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     Rows without an id cannot be told apart and are all kept.
     """
     found = near_duplicates(docs, id_col, text_col)
-    first = found.filter("doc_id IS NULL OR doc_id = component_id").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(first, docs[id_col].eqNullSafe(F.col("_kept_id")), "left_semi")
+    first = found.filter("doc_id IS NULL OR doc_id = component_id").select("doc_id").distinct()
+    return docs.join(first, docs[id_col].eqNullSafe(first["doc_id"]), "left_semi")

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripflow.llm.common import even_sample, map_batches, stored
+from tripflow.llm.common import SAMPLE_FILES, even_sample, map_batches, stored
 
 #: Categories in chain order, as conditions on the labels table.
 CATEGORIES = {
@@ -156,7 +156,7 @@ def fit(
     joined = texts.filter("text <> ''").join(F.broadcast(chosen), "_id").select("text", "_marks", "_deal")
     texts_once = joined.groupBy("text").agg(F.max(F.struct("_deal", "_marks")).alias("_one"))
     texts_once = texts_once.select("text", "_one._marks", "_one._deal").orderBy("_deal", "text").limit(train_rows)
-    sample = stored(texts_once, "toxicity-sample")
+    sample = stored(texts_once.repartition(SAMPLE_FILES), "toxicity-sample")
 
     def distinct_words():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
