@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import re
+from array import array
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -17,8 +18,8 @@ _WORD_END = "\x01"  # not among the characters above
 # How the two kinds of tokenizer cut a text into words.
 BYTE_LEVEL_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 BLANKLESS_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-# The latter for the characters above, letters first.
-_BLANKLESS = re.compile(r"[^\W\d_²³¹¼½¾]+|'s|'t|'re|'ve|'m|'ll|'d|[\d²³¹¼½¾]|(?:[^\w\s]|_)+")
+# The latter for lower-cased text of the characters above, letters first.
+_BLANKLESS = re.compile(r"[a-zß-öø-ʯⱥⱦªµº]+|'(?:s|t|re|ve|m|ll|d)|[\d²³¹¼½¾]|(?:[^\w\s]|_)+")
 
 
 def byte_letters() -> dict[str, int]:
@@ -69,7 +70,7 @@ def _fast(definition: dict) -> Callable[[str], np.ndarray] | None:
         if not pre["use_regex"] or pre["add_prefix_space"]:
             return None
         encoding, ids = _ranked(model, "", BYTE_LEVEL_WORDS)
-        return lambda text: ids[encoding.encode_to_numpy(text)]
+        return lambda text: ids[_ranks(encoding, text)]
     steps = pre.get("pretokenizers", [])
     if not ending or pre["type"] != "Sequence" or [s["type"] for s in steps] != ["Split", "ByteLevel"]:
         return None
@@ -90,11 +91,15 @@ def _fast(definition: dict) -> Callable[[str], np.ndarray] | None:
         words = _BLANKLESS.findall(text.lower())
         if not words:
             return np.zeros(0, dtype="<u4")
-        return ids[encoding.encode_to_numpy(_WORD_END.join(words) + _WORD_END)]
+        return ids[_ranks(encoding, _WORD_END.join(words) + _WORD_END)]
 
     return encode
 
 
+def _ranks(encoding, text: str) -> np.ndarray:
+    return np.frombuffer(array("I", encoding.encode_ordinary(text)), "<u4")
+
+
 def _ranked(model: dict, ending: str, words: str):
     """tiktoken encoding of the vocabulary, and its ids by rank.
 
