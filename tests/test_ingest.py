@@ -501,3 +501,25 @@ def test_stored_layers_prune_months_and_quarters(spark, tmp_path):
     assert "= 2024" in folders and ">= 4" in folders and "<= 6" in folders
     build_views(raw, str(tmp_path))
     assert os.path.isdir(f"{tmp_path}/staging/billing_trips/year=2024/month=5")
+
+
+def test_spoilt_footers_are_damage_too(spark, tmp_path, monkeypatch):
+    for month in ("2024-01", "2024-02", "2024-03"):
+        land(tmp_path, month)
+    for month, cut in (("2024-02", slice(-200, -8)), ("2024-03", slice(-8, -4))):
+        path = tmp_path / f"trips_{month}.parquet"
+        data = bytearray(path.read_bytes())
+        data[cut] = b"\xff" * len(data[cut])
+        path.write_bytes(data)
+    paths = [f"{tmp_path}/*.parquet"]
+    found = src.schema_groups(spark, paths, on_error="skip")
+    assert [p[-15:-8] for p in found.unreadable] == ["2024-02", "2024-03"]
+    with pytest.raises(src.DamagedFileError):
+        src.schema_groups(spark, paths)
+    # the same where only Spark opens files
+    blind = lambda files: files.selectExpr("*", "CAST(NULL AS STRING) columns", "CAST(NULL AS STRING) damage")
+    monkeypatch.setattr(src, "footers", blind)
+    again = src.schema_groups(spark, paths, on_error="skip")
+    assert again.unreadable == found.unreadable and [len(p) for p, _ in again.groups] == [1]
+    with pytest.raises(Exception, match="(?i)footer"):
+        src.schema_groups(spark, paths)

@@ -71,7 +71,10 @@ def footers(files: DataFrame) -> DataFrame:
                     with file:
                         try:
                             found = _schema(file).json()
-                        except pa.ArrowInvalid as error:
+                        except (pa.ArrowInvalid, OSError) as error:
+                            # an OSError is a failed read, unless the bytes read make no sense
+                            if isinstance(error, OSError) and "deserialize" not in str(error):
+                                raise
                             wrong = str(error)
                 columns.append(found)
                 damage.append(wrong)

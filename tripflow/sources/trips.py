@@ -104,7 +104,13 @@ def _grouped(spark: SparkSession, files: Iterable[Row], on_error: str) -> FileGr
         elif file["columns"] is not None:
             found.add(file["path"], T.StructType.fromJson(json.loads(file["columns"])))
         else:
-            found.add(file["path"], spark_schema(spark, file["path"]))
+            try:
+                found.add(file["path"], spark_schema(spark, file["path"]))
+            except _SPARK_ERRORS:
+                # a scan names the file where the inference of its schema may not
+                if on_error != "skip" or _reads(spark, [file["path"]], T.StructType([_PART_FIELD])):
+                    raise
+                found.unreadable.append(file["path"])
     return found
 
 
