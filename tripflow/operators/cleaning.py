@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from tripflow.functions import epoch
 from tripflow.operators import standardize as std
 from tripflow.operators.dedup import dedup_keep_first
-from tripflow.schemas import SOURCE_FILE
 
 
 @dataclass(frozen=True)
