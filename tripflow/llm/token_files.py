@@ -20,7 +20,6 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -73,7 +72,6 @@ def _open_fs(path: str):
     return pyarrow.fs.FileSystem.from_uri(path)
 
 
-@lru_cache(maxsize=4)
 def _dictionary(folder: str) -> bytes:
     fs, path = _open_fs(folder)
     with fs.open_input_file(f"{path}/dictionary") as file:
