@@ -145,7 +145,7 @@ def fit(
     marks = map_batches(first, "grams array<int>", presence).collect()
     if not marks:
         return None
-    kernel_marks = sorted((np.array(r.grams, dtype=np.int64) for r in marks), key=lambda g: (len(g), g.tobytes()))
+    kernel_marks = sorted((np.array(r.grams, dtype=np.int32) for r in marks), key=lambda g: (len(g), g.tobytes()))
 
     def values():
         kernel = Kernel(kernel_marks)
