@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from tripflow.llm import language, lines, packing, secrets, simhash
 from tripflow.llm.common import read, stored
 
-#: Below this no learned language resembles a text; clean texts of two characters reach 0.28.
-MIN_LANGUAGE_SCORE = 0.25
+#: Share of a text's 3- and 4-grams its language's training texts must hold; the README says how it was set.
+MIN_FAMILIAR = 0.4
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
@@ -30,7 +30,7 @@ def _counted(docs: DataFrame) -> DataFrame:
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts without a letter and texts like none of the learned languages."""
-    return language.keep_identified(docs, language.fit(docs), min_score=MIN_LANGUAGE_SCORE)
+    return language.keep_identified(docs, language.fit(docs), min_familiar=MIN_FAMILIAR)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -17,12 +19,15 @@ BUCKETS = 1 << 18
 LANDMARKS = 96
 TRAIN_ROWS = 6_000
 RIDGE = 1e-3
+FAMILIAR_ROWS = 200  # texts of a language whose longer n-grams count as familiar
+_PRIOR = 2  # familiar n-grams every text is given, so that too few of them prove nothing
 _STRETCH = 1 << 20
 _ROWS = 32
+_WORD = re.compile(r"[^\W\d_]+")
 
 
-def grams(text: str, seen: np.ndarray) -> np.ndarray:
-    """Buckets of all n-grams of the whole lower-cased text, each once, rising.
+def grams(text: str, seen: np.ndarray, shortest: int = 1) -> np.ndarray:
+    """Buckets of all n-grams of the whole lower-cased text from ``shortest`` up, each once, rising.
 
     ``seen`` is a cleared array of ``BUCKETS`` flags to work in, and is cleared again. Texts go
     through in stretches that overlap by an n-gram, so memory does not grow with them.
@@ -36,12 +41,27 @@ def grams(text: str, seen: np.ndarray) -> np.ndarray:
             if len(part) <= n:
                 break
             rolled = rolled[: len(part) - n] * np.uint32(0x01000193) + part[n:] + np.uint32(n + 1)
-            seen[(rolled * np.uint32(0x9E3779B1)) >> shift] = True
+            if n + 1 >= shortest:
+                seen[(rolled * np.uint32(0x9E3779B1)) >> shift] = True
     found = np.flatnonzero(seen)
     seen[found] = False
     return found
 
 
+def spelling(text: str, seen: np.ndarray) -> np.ndarray:
+    """Buckets of the 3- and 4-grams of the text's words, all other characters being one space.
+
+    Shorter n-grams are alike in every language of a script and in random letters.
+    """
+    return grams(" ".join(_WORD.findall(text)), seen, LONGEST - 1)
+
+
+def familiarity(found: np.ndarray, known: np.ndarray) -> float:
+    """Share of a text's ``spelling`` among the packed flags ``known``; near 1 for very short texts."""
+    held = np.count_nonzero(known[found >> 3] >> (7 - (found & 7)).astype(np.uint8) & 1)
+    return (held + _PRIOR) / (len(found) + _PRIOR)
+
+
 class Kernel:
     """Normalized presence kernel against the landmarks: shared n-grams over the root of both counts."""
 
@@ -76,6 +96,16 @@ class Model:
     languages: list[str]
     landmarks: list[np.ndarray]
     weights: np.ndarray  # landmarks and a constant by languages
+    known: np.ndarray  # per language, packed flags of the spellings of its training texts
+    usual: np.ndarray  # per language, the median familiarity of one half of them with the other
+
+    def floors(self, least: float) -> np.ndarray:
+        """Least familiarity a text of each language must have.
+
+        Half the usual one if that is less than ``least``, as where a language has few
+        texts; a language of a single text rejects nothing. No other language counts.
+        """
+        return np.minimum(least, self.usual / 2)
 
     def scores(self, values: np.ndarray) -> np.ndarray:
         return np.column_stack([values, np.ones(len(values))]) @ self.weights
@@ -164,7 +194,48 @@ def fit(
     labels = np.array([languages.index(r.lang) for r in found])
     within = Kernel(kernel_marks).of_grams(kernel_marks)
     weights = solve(within, np.array([r.k for r in found]), labels, len(languages), ridge)
-    return Model(languages, kernel_marks, weights)
+    some = sample.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= FAMILIAR_ROWS)
+    return Model(languages, kernel_marks, weights, *_familiar(some.select("lang", "place", "text"), languages))
+
+
+def _familiar(sample: DataFrame, languages: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """``known`` and ``usual`` of a model; texts are halved by the parity of their place."""
+
+    def spellings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(BUCKETS, dtype=bool)
+        sets: dict[tuple[str, int], np.ndarray] = {}
+        for batch in batches:
+            for lang, place, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                own = sets.setdefault((lang, place % 2), np.zeros(BUCKETS // 8, dtype=np.uint8))
+                found = spelling(text, seen)
+                np.bitwise_or.at(own, found >> 3, np.uint8(128) >> (found & 7).astype(np.uint8))
+        for (lang, half), own in sets.items():
+            yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([half], pa.int32()), pa.array([own.tobytes()])], ["lang", "half", "own"])
+
+    number = {lang: i for i, lang in enumerate(languages)}
+    halves = np.zeros((len(languages), 2, BUCKETS // 8), dtype=np.uint8)
+    for row in sample.mapInArrow(spellings, "lang string, half int, own binary").toLocalIterator():
+        halves[number[row.lang], row.half] |= np.frombuffer(row.own, dtype=np.uint8)
+
+    def compare():
+        seen = np.zeros(BUCKETS, dtype=bool)
+
+        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+            rows = list(zip(*[c.to_pylist() for c in batch.columns], strict=True))
+            shares = [familiarity(spelling(text, seen), halves[number[lang], 1 - place % 2]) for lang, place, text in rows]
+            return pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(shares, pa.float64())], ["lang", "share"])
+
+        return step
+
+    met = [halves[i].any(axis=1).all() for i in range(len(languages))]
+    usual = np.zeros(len(languages))
+    shares: dict[str, list[float]] = {}
+    for row in map_batches(sample, "lang string, share double", compare).collect():
+        shares.setdefault(row.lang, []).append(row.share)
+    for lang, found in shares.items():
+        if met[number[lang]]:
+            usual[number[lang]] = np.median(found)
+    return halves[:, 0] | halves[:, 1], usual
 
 
 def has_letter(text: str | None) -> bool:
@@ -207,21 +278,29 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
 
 
 def keep_identified(
-    docs: DataFrame, model: Model | None, text_col: str = "text", min_score: float = 0.0
+    docs: DataFrame, model: Model | None, text_col: str = "text", min_familiar: float = 0.0
 ) -> DataFrame:
-    """Rows in a language the model knows, all columns; ``und`` and scores below ``min_score`` go."""
+    """Rows in a language the model knows, all columns; ``und`` and unfamiliar texts go.
+
+    A text is unfamiliar if its ``familiarity`` with the training texts of the language
+    predicted for it is below ``min_familiar`` (``Model.floors`` says when less will do).
+    The score would not tell: scores of all languages sum to 1 whatever the text, so the
+    best is never below one over their number.
+    """
     place = docs.columns.index(text_col)
 
     def make():
         kernel = Kernel(model.landmarks) if model else None
+        seen = np.zeros(BUCKETS, dtype=bool)
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             texts = batch.column(place).to_pylist()
             keep = np.array([has_letter(t) for t in texts], dtype=bool)
             at = np.flatnonzero(keep)
-            if model and min_score > 0 and len(at):
-                values = model.scores(kernel.rows([texts[i] for i in at]))
-                keep[at] = (values.max(axis=1) + 1) / 2 >= min_score
+            if model and min_familiar > 0 and len(at):
+                floors = model.floors(min_familiar)
+                best = model.scores(kernel.rows([texts[i] for i in at])).argmax(axis=1)
+                keep[at] = [familiarity(spelling(texts[i], seen), model.known[b]) >= floors[b] for i, b in zip(at, best, strict=True)]
             return batch.filter(pa.array(keep))
 
         return step
