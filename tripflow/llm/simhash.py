@@ -47,18 +47,25 @@ def fingerprint(text: str | None, width: int = SHINGLE_WORDS) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE_WORDS) -> DataFrame:
-    """``doc_id`` and ``print`` (the fingerprint's bits as a signed long) per row."""
+def _printed(rows: DataFrame, width: int) -> DataFrame:
+    """The column ``text``, the last one, replaced by ``print``, the fingerprint's bits as a signed long."""
 
     def make():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            bits = np.array([fingerprint(t, width) for t in batch.column(1).to_pylist()], dtype=np.uint64)
-            return pa.RecordBatch.from_arrays([batch.column(0), pa.array(bits.view(np.int64))], ["doc_id", "print"])
+            bits = np.array([fingerprint(t, width) for t in batch.column("text").to_pylist()], dtype=np.uint64)
+            columns = [*batch.columns[:-1], pa.array(bits.view(np.int64))]
+            return pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:-1], "print"])
 
         return step
 
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema[:-1])
+    return map_batches(rows, f"{schema}, print bigint", make)
+
+
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE_WORDS) -> DataFrame:
+    """``doc_id`` and ``print`` (the fingerprint's bits as a signed long) per row."""
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return map_batches(rows, "doc_id bigint, print bigint", make)
+    return _printed(rows, width)
 
 
 def gray_rank(bits: np.ndarray) -> np.ndarray:
@@ -252,3 +259,39 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     found = near_duplicates(docs, id_col, text_col)
     first = found.filter("doc_id IS NULL OR doc_id = component_id").select("doc_id").distinct()
     return docs.join(first, docs[id_col].eqNullSafe(first["doc_id"]), "left_semi")
+
+
+def keep_one(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    width: int = SHINGLE_WORDS,
+    limit: int = MAX_BITS,
+) -> DataFrame:
+    """One row of each near-duplicate component, all columns.
+
+    It is the row of the smallest id, nulls last; among rows of one id the smallest row
+    hash decides, and among rows repeated in full their place. Rows are stored with a
+    number first, so that the choice names one row whatever ids they carry. The best row
+    of each fingerprint and then of each component is found in the map task first, so a
+    hot id, or many rows without one, reach no task together.
+    """
+    number = "_number"
+    while number in docs.columns:
+        number += "_"
+    numbered = stored(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
+    hashed = [F.col(f"`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString()]
+    rows = numbered.select(
+        F.col(number).alias("number"),
+        F.col(f"`{id_col}`").cast("bigint").alias("id"),
+        F.xxhash64(*hashed).alias("hash"),
+        F.col(f"`{text_col}`").cast("string").alias("text"),
+    )
+    rows = stored(_printed(rows, width), "prints")
+    place = F.struct(F.col("id").isNull().alias("none"), "id", "hash", "number")
+    best = rows.groupBy("print").agg(F.min(place).alias("best"))
+    member = components(links(rows.select("print").distinct(), limit)).withColumnRenamed("node", "print")
+    root = F.coalesce("root", "print").alias("root")
+    first = best.join(member, "print", "left").select(root, "best").groupBy("root").agg(F.min("best").alias("best"))
+    kept = first.select(F.col("best.number").alias(number))
+    return numbered.join(kept, number, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
