@@ -41,8 +41,15 @@ HEX = re.compile(r"[0-9a-f]{24,}")  # runs are maximal, so shorter ones may be p
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(r"\\u[0-9a-fA-F]{4}|\\U[0-9a-fA-F]{8}|\\x[0-9a-fA-F]{2}")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
-_WRAPPED = re.compile(r"(?:[A-Za-z0-9+/]{60,76}\r?\n)+[A-Za-z0-9+/]{1,76}={0,2}")
-_PLAIN = re.compile(r"[\x00-\x08\x0e-\x1f\x7f]")
+_WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:\r?\n[\x20\t]*+[A-Za-z0-9+/_-]++)++={0,2}")
+_BLANK = re.compile(r"[\r\n\t\x20=]+")
+#: A secret has twelve ASCII characters at least, as have its encodings, so shorter stretches hold none.
+_READABLE = re.compile(
+    rb"(?:[\t-\r\x20-~]|[\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|[\xe1-\xec\xee\xef][\x80-\xbf]{2}"
+    rb"|\xed[\x80-\x9f][\x80-\xbf]|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3}|\xf4[\x80-\x8f][\x80-\xbf]{2}){12,}+"
+)
+_WIDE = re.compile(rb"(?:[\t-\r\x20-~]\x00){11,}+[\t-\r\x20-~]?")  # UTF-16 of either byte order
+_COMPRESSED = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00|\x28\xb5\x2f\xfd")
 
 #: Bytes one compressed layer may unfold to; a larger one is counted, not entered.
 MAX_UNFOLDED = 64 << 20
@@ -80,12 +87,20 @@ def find(text: str) -> Iterator[Span]:
         yield match.start(), 2, match.end()
 
 
-def _readable(data: bytes) -> str | None:
-    try:
-        text = data.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    return None if not text or _PLAIN.search(text) else text
+def _stretches(data: bytes) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
+    """Maximal readable stretches, as UTF-8 and as UTF-16, with first and last byte of each code point."""
+    for match in _READABLE.finditer(data):
+        text = match.group().decode("utf-8")
+        yield text, *_char_stretches(text, np.arange(match.start(), match.end()))
+    for match in _WIDE.finditer(data):
+        at = np.arange(match.start(), match.end(), 2)
+        yield match.group()[::2].decode("ascii"), at, at
+
+
+def _runs(text: str) -> list[tuple[int, int]]:
+    """Base64 runs; lines that are runs are also joined, whatever their widths, as foreign lines only shift the rest."""
+    runs = [m.span() for m in _BASE64.finditer(text)]
+    return runs + [m.span() for m in _WRAPPED.finditer(text) if len(_BLANK.sub("", m.group())) >= 16]
 
 
 class TooLarge(Exception):
@@ -159,8 +174,9 @@ class Scanner:
         return base, sorted(spans), entered, self._too_large
 
     def _unwrap(self, outer: Layer, original: bool) -> Iterator[Layer]:
+        runs = _runs(outer.text)
         if original:  # places in the original are its own; arrays only if something is encoded
-            if "%" not in outer.text and "\\" not in outer.text and not _BASE64.search(outer.text):
+            if "%" not in outer.text and "\\" not in outer.text and not runs:
                 return
             places = np.arange(len(outer.text) + 1)
             outer = Layer(outer.text, outer.at, places[:-1], places[1:])
@@ -168,7 +184,7 @@ class Scanner:
             yield from self._percent(outer)
         if "\\" in outer.text:
             yield from self._escapes(outer)
-        yield from self._base64(outer)
+        yield from self._base64(outer, runs)
 
     def _replaced(self, outer: Layer, parts: list[tuple[int, int, str, np.ndarray, np.ndarray]]) -> Layer:
         """The text with stretches replaced; a part's arrays count code points of ``outer``."""
@@ -197,6 +213,12 @@ class Scanner:
         for match in _PERCENT.finditer(outer.text):
             data = binascii.unhexlify(match.group().replace("%", ""))
             yield from self._compressed(outer, data, match.start(), match.end())
+            for wide in _WIDE.finditer(data):
+                at = match.start() + 3 * np.arange(wide.start(), wide.end(), 2)
+                if outer.starts is None:
+                    yield Layer(wide.group()[::2].decode("ascii"), outer.at)
+                else:
+                    yield Layer(wide.group()[::2].decode("ascii"), outer.at, outer.starts[at], outer.ends[at + 2])
             try:
                 new = data.decode("utf-8")
             except UnicodeDecodeError:
@@ -229,30 +251,29 @@ class Scanner:
         if parts:
             yield self._replaced(outer, parts)
 
-    def _base64(self, outer: Layer) -> Iterator[Layer]:
-        runs = [m.span() for m in _BASE64.finditer(outer.text)]
-        runs += [m.span() for m in _WRAPPED.finditer(outer.text)]
+    def _base64(self, outer: Layer, runs: list[tuple[int, int]]) -> Iterator[Layer]:
         for first, last in runs:
-            places = [i for i in range(first, last) if outer.text[i] not in "\r\n="]
-            symbols = "".join([outer.text[i] for i in places]).replace("-", "+").replace("_", "/")
-            for skip in range(4):  # a run may begin with up to three foreign symbols
+            run = outer.text[first:last].rstrip("=")
+            places = np.arange(first, first + len(run))
+            if _BLANK.search(run):
+                places = np.array([i for i in range(first, first + len(run)) if outer.text[i] not in "\r\n\t "])
+            symbols = _BLANK.sub("", run).replace("-", "+").replace("_", "/")
+            for skip in range(4):  # foreign symbols before or after the encoded part only add unreadable bytes
                 body = symbols[skip:]
                 body = body[: len(body) - (len(body) % 4 == 1)]
-                if len(body) < 12:
+                if len(body) < 16:
                     break
                 data = base64.b64decode(body + "=" * (-len(body) % 4))
-                yield from self._compressed(outer, data, first, last)
-                new = _readable(data)
-                if new is None:
-                    continue
-                if outer.starts is None:
-                    yield Layer(new, outer.at)
-                    continue
-                at = np.array(places[skip:])
-                byte = np.arange(len(data))  # of eight bits, six to a symbol
-                low, _ = _char_stretches(new, at[byte * 8 // 6])
-                _, high = _char_stretches(new, at[(byte * 8 + 7) // 6])
-                yield Layer(new, outer.at, outer.starts[low], outer.ends[high])
+                at = places[skip:]
+                for match in _COMPRESSED.finditer(data):
+                    start = int(at[match.start() * 8 // 6])
+                    yield from self._compressed(outer, data[match.start() :], start, last)
+                for new, low, high in _stretches(data):
+                    if outer.starts is None:
+                        yield Layer(new, outer.at)
+                        continue
+                    low, high = at[low * 8 // 6], at[(high * 8 + 7) // 6]  # a byte has eight bits, a symbol six
+                    yield Layer(new, outer.at, outer.starts[low], outer.ends[high])
 
     def _compressed(self, outer: Layer, data: bytes, first: int, last: int) -> Iterator[Layer]:
         try:
@@ -262,7 +283,7 @@ class Scanner:
             return
         if inner:
             place = outer.origin(first, last)
-            yield Layer(inner.decode("utf-8", "replace"), place)
+            yield from self._texts(inner, place)
             again = self._again(inner, place)
             yield from again
 
@@ -278,7 +299,12 @@ class Scanner:
             if not data or data in met:
                 return
             met.add(data)
-            yield Layer(data.decode("utf-8", "replace"), place)
+            yield from self._texts(data, place)
+
+    def _texts(self, data: bytes, place: tuple[int, int]) -> Iterator[Layer]:
+        yield Layer(data.decode("utf-8", "replace"), place)
+        for wide in _WIDE.finditer(data):
+            yield Layer(wide.group()[::2].decode("ascii"), place)
 
 
 _SPAN = "array<struct<kind:string,start:bigint,end:bigint>>"
