@@ -1,11 +1,21 @@
 from __future__ import annotations
 
 import base64
+import bz2
 import gzip
+import json
+import lzma
+import random
+import tracemalloc
+import zlib
+from urllib.parse import quote, quote_plus
 
 import pytest
+import zstandard
 from test_secrets import SECRET, b64, spans
 
+from tripflow.llm.secrets import Scanner
+
 INNER = 'user "name": 1, password=hunter2hunter2, more'
 
 
@@ -45,6 +55,67 @@ def test_utf16_in_percent_and_compressed_layers():
 
 
 def test_plain_words_have_no_layers():
-    from tripflow.llm.secrets import Scanner
-
     assert Scanner().scan("word\nword\nanother/one_more-long_word_here\nthe end")[1:3] == ([], 0)
+
+
+COMPRESSORS = {
+    "gzip": gzip.compress,
+    "zlib": zlib.compress,
+    "bzip2": bz2.compress,
+    "xz": lzma.compress,
+    "zstd": zstandard.ZstdCompressor().compress,
+}
+
+
+def kinds(found):
+    return {k for _, k, _ in found}
+
+
+@pytest.mark.parametrize("name", COMPRESSORS)
+def test_a_layer_beyond_the_limit_is_searched_to_its_end(name):
+    rng = random.Random(3)
+    filler = "".join(f"{rng.randrange(10**9)} filler\n" for _ in range(12_000)).encode()
+    data = filler + b" " + b64(SECRET).encode() + b" " + filler + b"AKIA" + b"Z" * 16 + b" " + filler
+    for inner in (data, COMPRESSORS["gzip"](data)):
+        for limit in (20_000, 100_000):
+            scanner = Scanner(limit=limit)
+            found = scanner.scan(b64(COMPRESSORS[name](inner)))
+            assert kinds(found[1]) >= {0, 1} and found[3] >= 1
+    scanner = Scanner(limit=4_000)  # a secret across every place where a window may end
+    for before in range(3_970, 4_010):
+        assert kinds(scanner.scan(b64(COMPRESSORS[name](b" " * before + SECRET.encode() + b" " * 9_000)))[1]) >= {0}
+
+
+@pytest.mark.parametrize("name", COMPRESSORS)
+def test_all_members_of_joined_streams(name):
+    pack = COMPRESSORS[name]
+    joined = pack(b"nothing here at all, but enough of it") + pack(SECRET.encode()) + gzip.compress(b"AKIA" + b"Z" * 16)
+    assert kinds(spans(f"a {b64(joined)} z")) >= {0, 1}
+
+
+@pytest.mark.parametrize("name", COMPRESSORS)
+def test_compressed_bytes_behind_escapes(name):
+    data = COMPRESSORS[name]((SECRET + " and some more text, and more of it").encode())
+    every = {
+        "x": "".join(f"\\x{b:02x}" for b in data),
+        "u": "".join(f"\\u{b:04x}" for b in data),
+        "repr": repr(data),
+        "json": json.dumps(data.decode("latin-1")),
+        "quote": quote(data),
+        "quote_plus": quote_plus(data),
+    }
+    for how, text in every.items():
+        found = [s for s in spans(f"before {text} after") if s[1] == 0]
+        assert found, how
+        assert all(7 <= start < end <= 13 + len(text) for start, _, end in found)
+        assert [s for s in spans(b64(f"before {text} after")) if s[1] == 0], how
+
+
+def test_a_large_bomb_is_searched_in_little_memory():
+    pack = zlib.compressobj(9, zlib.DEFLATED, 31)
+    bomb = b"".join([pack.compress(b" " * (1 << 20)) for _ in range(200)] + [pack.compress(SECRET.encode()), pack.flush()])
+    tracemalloc.start()
+    found = Scanner(limit=4 << 20).scan(b64(bomb))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert kinds(found[1]) == {0} and found[3] == 1 and peak < 60 << 20

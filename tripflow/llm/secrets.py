@@ -1,7 +1,7 @@
 """Secret scans through nested encodings.
 
 Each text is searched as it stands. A worklist then unwraps every encoded layer in it:
-percent escapes, Unicode escapes, base64 runs, and compressed data inside either. Each
+percent escapes, Unicode escapes, base64 runs, and compressed data inside any of them. Each
 new layer is searched and unwrapped in turn until nothing new appears; a layer already
 seen at the same place is not entered again, so self-reproducing archives end. What is
 found in a layer is reported at the place in the original text it was unwrapped from.
@@ -16,7 +16,7 @@ import hashlib
 import lzma
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -39,6 +39,11 @@ ACCESS_LENGTH = 20
 HEX = re.compile(r"[0-9a-f]{24,}")  # runs are maximal, so shorter ones may be passed over
 
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
+_QUOTED = re.compile(r"(?<![!-~])[!-~]*?%[0-9A-Fa-f]{2}[!-~]*+")  # with the unquoted characters between
+_QUOTED_BYTE = re.compile(r"%[0-9A-Fa-f]{2}|.", re.DOTALL)
+_ESCAPED = re.compile(r"[^\n\r\u0100-\U0010ffff]++")
+_ESCAPED_BYTE = re.compile(r"\\x[0-9a-fA-F]{2}|\\u00[0-9a-fA-F]{2}|\\U000000[0-9a-fA-F]{2}|\\[abfnrtv0\\'\"/]|.", re.DOTALL)
+_NAMED = dict(zip("abfnrtv0", b"\a\b\f\n\r\t\v\0", strict=True))
 _ESCAPE = re.compile(r"\\u[0-9a-fA-F]{4}|\\U[0-9a-fA-F]{8}|\\x[0-9a-fA-F]{2}")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 _WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:\r?\n[\x20\t]*+[A-Za-z0-9+/_-]++)++={0,2}")
@@ -51,8 +56,13 @@ _READABLE = re.compile(
 _WIDE = re.compile(rb"(?:[\t-\r\x20-~]\x00){11,}+[\t-\r\x20-~]?")  # UTF-16 of either byte order
 _COMPRESSED = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00|\x28\xb5\x2f\xfd")
 
-#: Bytes one compressed layer may unfold to; a larger one is counted, not entered.
+#: Bytes of unfolded data searched at a time; a layer of more is counted and searched in overlapping windows.
 MAX_UNFOLDED = 64 << 20
+_OVERLAP = 1 << 20
+_RUN_END = re.compile(rb"(?<![A-Za-z0-9+/_=%\\\r\n-])[A-Za-z0-9+/_=%\\\r\n-]++\Z")
+_PIECE = 1 << 20  # of unfolded bytes at a time
+_ZSTD_INPUT = 256  # its streams unfold to 128 KB for every four bytes at most, without a limit on output
+_BROKEN = (zlib.error, OSError, EOFError, ValueError, lzma.LZMAError, zstandard.ZstdError)
 
 Span = tuple[int, int, int]  # start, kind, end
 
@@ -103,35 +113,99 @@ def _runs(text: str) -> list[tuple[int, int]]:
     return runs + [m.span() for m in _WRAPPED.finditer(text) if len(_BLANK.sub("", m.group())) >= 16]
 
 
-class TooLarge(Exception):
-    pass
-
-
-def _unfold(data: bytes, limit: int) -> bytes | None:
-    """Contents of a compressed stream, or None if it is none."""
-    try:
-        if data[:2] == b"\x1f\x8b":
-            stream = zlib.decompressobj(31)
-        elif len(data) > 2 and data[0] == 0x78 and (data[0] << 8 | data[1]) % 31 == 0:
-            stream = zlib.decompressobj()
-        elif data[:3] == b"BZh":
-            stream = bz2.BZ2Decompressor()
-        elif data[:6] == b"\xfd7zXZ\x00":
-            stream = lzma.LZMADecompressor()
-        elif data[:4] == b"\x28\xb5\x2f\xfd":
-            with zstandard.ZstdDecompressor().stream_reader(data) as reader:
-                out = reader.read(limit + 1)
-            if len(out) > limit:
-                raise TooLarge
-            return out
+def _opened(head: bytes):
+    """A decompressor for a stream that begins so, or None."""
+    if head[:2] == b"\x1f\x8b":
+        return zlib.decompressobj(31)
+    if len(head) > 2 and head[0] == 0x78 and (head[0] << 8 | head[1]) % 31 == 0:
+        return zlib.decompressobj()
+    if head[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    if head[:6] == b"\xfd7zXZ\x00":
+        return lzma.LZMADecompressor()
+    if head[:4] == b"\x28\xb5\x2f\xfd":
+        return zstandard.ZstdDecompressor().decompressobj()
+    return None
+
+
+def _drained(stream, data: bytes) -> Iterator[bytes]:
+    """What the stream gives for more input, in pieces; returns input beyond its end."""
+    if hasattr(stream, "needs_input"):  # bzip2 and xz
+        yield stream.decompress(data, _PIECE)
+        while not stream.eof and not stream.needs_input:
+            yield stream.decompress(b"", _PIECE)
+        return stream.unused_data
+    if isinstance(stream, type(zlib.decompressobj())):
+        while True:
+            out = stream.decompress(data, _PIECE)
+            yield out
+            data = stream.unconsumed_tail
+            if stream.eof or not data and len(out) < _PIECE:
+                return stream.unused_data
+    for at in range(0, len(data), _ZSTD_INPUT):
+        yield stream.decompress(data[at : at + _ZSTD_INPUT])
+        if stream.eof:
+            return stream.unused_data + data[at + _ZSTD_INPUT :]
+    return b""
+
+
+def _unfold(pieces: Iterable[bytes]) -> Iterator[bytes]:
+    """Contents of the compressed streams at the start, one after another, up to what is broken or none."""
+    pieces = iter(pieces)
+    held, stream = b"", None
+    while True:
+        if stream is None:
+            while len(held) < 6 and (more := next(pieces, None)) is not None:
+                held = (held + more).lstrip(b"\0")  # streams may be padded
+            stream = _opened(held)
+            if stream is None:
+                return
+        try:
+            held = yield from _drained(stream, held)
+        except _BROKEN:
+            return
+        if stream.eof:
+            held, stream = held.lstrip(b"\0"), None
         else:
-            return None
-        out = stream.decompress(data, limit + 1)
-    except (zlib.error, OSError, EOFError, ValueError, lzma.LZMAError, zstandard.ZstdError):
-        return None
-    if len(out) > limit:
-        raise TooLarge
-    return out
+            held = next(pieces, None)
+            if held is None:
+                return
+
+
+def _windows(pieces: Iterable[bytes], limit: int) -> Iterator[tuple[bytes, int]]:
+    """The data in windows of about ``limit`` bytes, and how many bytes of each are new.
+
+    A window begins in the one before by ``_OVERLAP``, or by as much as reaches back to the
+    start of the encoded run that is cut, up to half a window.
+    """
+    held, old = bytearray(), 0
+    for piece in pieces:
+        held += piece
+        if len(held) > limit:
+            yield bytes(held), len(held) - old
+            keep = min(_OVERLAP, limit // 2)
+            back = bytes(held[-(limit // 2) :])
+            run = _RUN_END.search(back)
+            keep = max(keep, len(back) - run.start()) if run else keep
+            held, old = held[-keep:], keep
+    if len(held) > old:
+        yield bytes(held), len(held) - old
+
+
+def _byte_form(pattern: re.Pattern, text: str, value: Callable[[str], int]) -> tuple[bytes, list[int]]:
+    """Bytes of a stretch with escapes, and the place of each."""
+    found = [(m.start(), value(m.group())) for m in pattern.finditer(text)]
+    return bytes(v for _, v in found), [p for p, _ in found]
+
+
+def _quoted_value(unit: str) -> int:
+    return int(unit[1:], 16) if len(unit) == 3 else ord(unit)
+
+
+def _escaped_value(unit: str) -> int:
+    if len(unit) == 1:
+        return ord(unit)
+    return int(unit[2:], 16) if len(unit) > 2 else _NAMED.get(unit[1], ord(unit[1]))
 
 
 def _char_stretches(text: str, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -142,35 +216,37 @@ def _char_stretches(text: str, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Scanner:
-    """Scans one text after another; ``limit`` bounds a compressed layer's size."""
+    """Scans one text after another; ``limit`` bounds how much of a compressed layer is held."""
 
     def __init__(self, limit: int = MAX_UNFOLDED) -> None:
         self.limit = limit
 
     def scan(self, text: str) -> tuple[list[Span], list[Span], int, int]:
-        """Base spans, all spans, number of layers unwrapped, number too large to enter."""
+        """Base spans, all spans, number of layers unwrapped, number of more than ``limit`` bytes."""
         base = sorted(find(text))
         spans = set(base)
         self._too_large = 0
-        work = [Layer(text, (0, len(text)))]
+        work = [self._unwrap(Layer(text, (0, len(text))), True)]  # depth first, so few layers are held
         seen: set[bytes] = set()
         entered = 0
         while work:
-            outer = work.pop()
-            for layer in self._unwrap(outer, outer.text is text):
-                if layer.starts is None:
-                    place = layer.at
-                else:
-                    place = (int(layer.starts[0]), int(layer.ends[-1]))
-                mark = hashlib.sha256(f"{place}".encode() + layer.text.encode()).digest()
-                if mark in seen:
-                    continue
-                seen.add(mark)
-                entered += 1
-                for start, kind, end in find(layer.text):
-                    first, last = layer.origin(start, end)
-                    spans.add((first, kind, last))
-                work.append(layer)
+            layer = next(work[-1], None)
+            if layer is None:
+                work.pop()
+                continue
+            if layer.starts is None:
+                place = layer.at
+            else:
+                place = (int(layer.starts[0]), int(layer.ends[-1]))
+            mark = hashlib.sha256(f"{place}".encode() + layer.text.encode()).digest()
+            if mark in seen:
+                continue
+            seen.add(mark)
+            entered += 1
+            for start, kind, end in find(layer.text):
+                first, last = layer.origin(start, end)
+                spans.add((first, kind, last))
+            work.append(self._unwrap(layer, False))
         return base, sorted(spans), entered, self._too_large
 
     def _unwrap(self, outer: Layer, original: bool) -> Iterator[Layer]:
@@ -210,9 +286,9 @@ class Scanner:
 
     def _percent(self, outer: Layer) -> Iterator[Layer]:
         parts = []
+        yield from self._compressed_form(outer, _QUOTED, _QUOTED_BYTE, _quoted_value)
         for match in _PERCENT.finditer(outer.text):
             data = binascii.unhexlify(match.group().replace("%", ""))
-            yield from self._compressed(outer, data, match.start(), match.end())
             for wide in _WIDE.finditer(data):
                 at = match.start() + 3 * np.arange(wide.start(), wide.end(), 2)
                 if outer.starts is None:
@@ -231,6 +307,7 @@ class Scanner:
             yield self._replaced(outer, parts)
 
     def _escapes(self, outer: Layer) -> Iterator[Layer]:
+        yield from self._compressed_form(outer, _ESCAPED, _ESCAPED_BYTE, _escaped_value)
         units: list[tuple[int, int, int]] = []
         for match in _ESCAPE.finditer(outer.text):
             code = int(match.group()[2:], 16)
@@ -276,35 +353,38 @@ class Scanner:
                     yield Layer(new, outer.at, outer.starts[low], outer.ends[high])
 
     def _compressed(self, outer: Layer, data: bytes, first: int, last: int) -> Iterator[Layer]:
-        try:
-            inner = _unfold(data, self.limit)
-        except TooLarge:
-            self._too_large += 1
-            return
-        if inner:
-            place = outer.origin(first, last)
-            yield from self._texts(inner, place)
-            again = self._again(inner, place)
-            yield from again
-
-    def _again(self, data: bytes, place: tuple[int, int]) -> Iterator[Layer]:
-        """Compressed data directly inside compressed data; equal contents end the chain."""
-        met = {data}
+        """What the compressed data at the start unfold to, and compressed data directly inside; equal contents end the chain."""
+        place = outer.origin(first, last)
+        met, depth = {hashlib.sha256(data).digest()}, 0
         while True:
-            try:
-                data = _unfold(data, self.limit)
-            except TooLarge:
-                self._too_large += 1
-                return
-            if not data or data in met:
+            depth += 1
+            pieces: Iterable[bytes] = [data]
+            for _ in range(depth):
+                pieces = _unfold(pieces)
+            whole, size = hashlib.sha256(), 0
+            for window, new in _windows(pieces, self.limit):
+                whole.update(window[-new:])
+                self._too_large += size <= self.limit < size + new
+                size += new
+                if len(window) < 12:  # no room for a secret
+                    continue
+                yield Layer(window.decode("utf-8", "replace"), place)
+                for wide in _WIDE.finditer(window):
+                    yield Layer(wide.group()[::2].decode("ascii"), place)
+            if not size or whole.digest() in met:
                 return
-            met.add(data)
-            yield from self._texts(data, place)
-
-    def _texts(self, data: bytes, place: tuple[int, int]) -> Iterator[Layer]:
-        yield Layer(data.decode("utf-8", "replace"), place)
-        for wide in _WIDE.finditer(data):
-            yield Layer(wide.group()[::2].decode("ascii"), place)
+            met.add(whole.digest())
+
+    def _compressed_form(self, outer: Layer, stretches: re.Pattern, unit: re.Pattern, value: Callable[[str], int]) -> Iterator[Layer]:
+        """Compressed data in the byte form of stretches with escapes."""
+        for match in stretches.finditer(outer.text):
+            text = match.group()
+            if stretches is _ESCAPED and not _ESCAPE.search(text):
+                continue
+            for version in {text, text.replace("+", " ")} if stretches is _QUOTED else {text}:
+                data, places = _byte_form(unit, version, value)
+                for found in _COMPRESSED.finditer(data):
+                    yield from self._compressed(outer, data[found.start() :], match.start() + places[found.start()], match.end())
 
 
 _SPAN = "array<struct<kind:string,start:bigint,end:bigint>>"
