@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import corpus_pipeline as pipeline
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -44,3 +45,32 @@ def test_a_language_of_few_texts_keeps_them(spark):
     model = language.fit(docs)
     kept = language.keep_identified(docs, model, min_familiar=pipeline.MIN_FAMILIAR)
     assert kept.count() == docs.count()
+
+
+def test_every_one_of_many_languages_is_learned(spark):
+    rng = random.Random(4)
+    syllables = [a + b for a in "bcdfghjklmnpqrstvwxz" for b in "aeiouy"]
+    words = []
+    for _ in range(150):
+        own = rng.sample(syllables, 10)
+        words.append(["".join(rng.choices(own, k=rng.randint(2, 4))) for _ in range(40)])
+    rows = [(n, " ".join(rng.choices(words[n % 150], k=40)), f"l{n % 150:03}") for n in range(150 * 12)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, lang string")
+    model = language.fit(docs)
+    assert model.languages == [f"l{n:03}" for n in range(150)]
+    assert len(model.landmarks) >= 2 * 150
+    found = {r.doc_id: r.lang_pred for r in language.predict(docs, model).collect()}
+    assert sum(found[n] == lang for n, _, lang in rows) > 0.98 * len(rows)
+    assert set(found.values()) == set(model.languages)
+
+
+def test_kernel_of_many_landmarks_is_that_of_few():
+    rng = np.random.default_rng(1)
+    sets = [np.unique(rng.integers(0, 5_000, 300)).astype(np.int32) for _ in range(40)] + [np.array([], dtype=np.int32)]
+    few = language.Kernel(sets).of_grams(sets)
+    dense, language._DENSE = language._DENSE, 1
+    try:
+        many = language.Kernel(sets).of_grams(sets)
+    finally:
+        language._DENSE = dense
+    assert np.array_equal(few, many)

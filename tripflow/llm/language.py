@@ -11,18 +11,22 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripflow.llm.common import SAMPLE_FILES, even_sample, map_batches, stored
+from tripflow.llm.common import SAMPLE_FILES, map_batches, stored
 
 UNDETERMINED = "und"
 LONGEST = 4  # n-grams of 1 to so many characters
 BUCKETS = 1 << 18
 LANDMARKS = 96
 TRAIN_ROWS = 6_000
+LEAST_LANDMARKS = 2  # of each language, however many there are
+LEAST_ROWS = 16  # to train each language on, however many there are
+_DENSE = 256  # landmarks up to which a table of all n-grams by all landmarks is held
 RIDGE = 1e-3
 FAMILIAR_ROWS = 200  # texts of a language whose longer n-grams count as familiar
 _PRIOR = 2  # familiar n-grams every text is given, so that too few of them prove nothing
 _STRETCH = 1 << 20
 _ROWS = 32
+_BLOCK = 8_192
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -67,6 +71,12 @@ class Kernel:
 
     def __init__(self, landmarks: list[np.ndarray]) -> None:
         self.sizes = np.array([len(g) for g in landmarks], dtype=np.float64)
+        self.dense = len(landmarks) <= _DENSE
+        if not self.dense:  # landmarks of each n-gram, one after another
+            every = np.concatenate(landmarks)
+            self.marks = np.repeat(np.arange(len(landmarks)), [len(g) for g in landmarks])[np.argsort(every, kind="stable")]
+            self.opens = np.concatenate([[0], np.cumsum(np.bincount(every, minlength=BUCKETS))])
+            return
         present = np.zeros((BUCKETS, len(landmarks)), dtype=bool)
         for i, own in enumerate(landmarks):
             present[own, i] = True
@@ -83,6 +93,10 @@ class Kernel:
         out = np.zeros((len(found), len(self.sizes)))
         for at in range(0, len(found), _ROWS):
             some = found[at : at + _ROWS]
+            if not self.dense:
+                for i, g in enumerate(some):
+                    out[at + i] = self._shared(g)
+                continue
             known = [self.row[g] for g in some]
             known = [k[k >= 0] for k in known]
             for i, k in enumerate(known):  # presence row times table: the sum of its rows
@@ -90,6 +104,13 @@ class Kernel:
         sizes = np.array([len(g) for g in found], dtype=np.float64)
         return out / np.sqrt(np.maximum(np.outer(sizes, self.sizes), 1))
 
+    def _shared(self, found: np.ndarray) -> np.ndarray:
+        """N-grams of a text that each landmark holds."""
+        count = self.opens[found + 1] - self.opens[found]
+        begins = np.cumsum(count) - count
+        at = np.arange(count.sum()) - np.repeat(begins - self.opens[found], count)
+        return np.bincount(self.marks[at], minlength=len(self.sizes))
+
 
 @dataclass
 class Model:
@@ -120,13 +141,17 @@ def solve(within: np.ndarray, values: np.ndarray, labels: np.ndarray, classes: i
     spectrum, vectors = np.linalg.eigh(within)
     kept = spectrum > 1e-8 * max(spectrum.max(initial=0), 1e-300)
     onto = vectors[:, kept] / np.sqrt(spectrum[kept])
-    features = np.column_stack([values @ onto, np.ones(len(values))])
-    targets = np.where(labels[:, None] == np.arange(classes), 1.0, -1.0)
     weight = 1.0 / np.bincount(labels, minlength=classes)[labels]
-    gram = features.T @ (features * weight[:, None])
+    gram, sums = 0.0, 0.0
+    for at in range(0, len(values), _BLOCK):
+        part = slice(at, at + _BLOCK)
+        features = np.column_stack([values[part] @ onto, np.ones(len(values[part]))])
+        targets = np.where(labels[part, None] == np.arange(classes), 1.0, -1.0)
+        gram = gram + features.T @ (features * weight[part, None])
+        sums = sums + features.T @ (targets * weight[part, None])
     penalty = ridge * np.eye(len(gram))
     penalty[-1, -1] = 1e-9
-    inner = np.linalg.solve(gram + penalty, features.T @ (targets * weight[:, None]))
+    inner = np.linalg.solve(gram + penalty, sums)
     return np.vstack([onto @ inner[:-1], inner[-1:]])
 
 
@@ -134,6 +159,19 @@ def held_out(id_col: Column) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string")) % 3 == 1, F.lit(False))
 
 
+def _dealt(rows: DataFrame, each: int) -> DataFrame:
+    """Up to ``each`` rows of every language, as ``even_sample`` takes them.
+
+    Counts are joined to the rows instead of standing in the plan, so there may be many
+    languages.
+    """
+    counts = rows.groupBy("lang").agg(F.count("*").alias("count"))
+    thinned = counts.select("lang", F.greatest(F.lit(1), F.floor(F.col("count") / (2 * each))).alias("one_in"))
+    chosen = rows.join(F.broadcast(thinned), "lang").filter(F.pmod("deal", "one_in") == 0)
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("deal")).alias("place")
+    return chosen.select("text", "lang", "deal", place).filter(F.col("place") <= each).drop("place")
+
+
 def fit(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -143,10 +181,13 @@ def fit(
     train_rows: int = TRAIN_ROWS,
     ridge: float = RIDGE,
 ) -> Model | None:
-    """Model from at most ``train_rows`` labelled rows that are not held out, evenly by language.
+    """Model from about ``train_rows`` labelled rows that are not held out, evenly by language.
 
-    None if there are none. Landmarks are whole texts; only their n-gram sets and the
-    training rows' kernel values, both of bounded size, reach the driver.
+    None if there are none. Every language is learned: of each, at least ``LEAST_ROWS`` rows
+    and ``LEAST_LANDMARKS`` landmarks are taken if it has them, so both totals grow with the
+    number of languages once their shares are less. Landmarks are whole texts; only their
+    n-gram sets, the training rows' kernel values and a language's known n-grams reach the
+    driver, whatever the number of rows.
     """
     rows = docs.select(
         F.col(f"`{id_col}`").alias("id"),
@@ -154,10 +195,10 @@ def fit(
         F.col(f"`{lang_col}`").cast("string").alias("lang"),
     ).filter(F.col("id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("id")))
     rows = rows.select("text", "lang", F.xxhash64("id").alias("deal"))
-    languages = [r.lang for r in rows.select("lang").distinct().orderBy("lang").limit(landmarks).collect()]
+    languages = [r.lang for r in rows.select("lang").distinct().collect()]
     if not languages:
         return None
-    chosen = even_sample(rows, "lang", "deal", max(1, train_rows // len(languages)), landmarks)
+    chosen = _dealt(rows, max(LEAST_ROWS, train_rows // len(languages)))
     sample = stored(chosen.filter("text <> ''").coalesce(SAMPLE_FILES), "language-sample")
     order = Window.partitionBy("lang").orderBy("deal", "text")
 
@@ -170,7 +211,7 @@ def fit(
 
         return step
 
-    each = max(1, landmarks // len(languages))
+    each = max(LEAST_LANDMARKS, landmarks // len(languages))
     first = sample.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= each).select("text")
     marks = map_batches(first, "grams array<int>", presence).collect()
     if not marks:
@@ -181,19 +222,20 @@ def fit(
         kernel = Kernel(kernel_marks)
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            found = kernel.rows(batch.column("text").to_pylist())
+            found = [r.tobytes() for r in kernel.rows(batch.column("text").to_pylist())]
             return pa.RecordBatch.from_arrays(
-                [batch.column("lang"), batch.column("deal"), pa.array(list(found), pa.list_(pa.float64()))], ["lang", "deal", "k"]
+                [batch.column("lang"), batch.column("deal"), pa.array(found, pa.binary())], ["lang", "deal", "k"]
             )
 
         return step
 
-    found = map_batches(sample.select("text", "lang", "deal"), "lang string, deal bigint, k array<double>", values).collect()
+    found = map_batches(sample.select("text", "lang", "deal"), "lang string, deal bigint, k binary", values).collect()
     found.sort(key=lambda r: (r.deal, r.lang, r.k))
     languages = sorted({r.lang for r in found})
-    labels = np.array([languages.index(r.lang) for r in found])
+    number = {lang: i for i, lang in enumerate(languages)}
+    labels = np.array([number[r.lang] for r in found])
     within = Kernel(kernel_marks).of_grams(kernel_marks)
-    weights = solve(within, np.array([r.k for r in found]), labels, len(languages), ridge)
+    weights = solve(within, np.array([np.frombuffer(r.k) for r in found]), labels, len(languages), ridge)
     some = sample.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= FAMILIAR_ROWS)
     return Model(languages, kernel_marks, weights, *_familiar(some.select("lang", "place", "text"), languages))
 
