@@ -63,7 +63,7 @@ _BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 BATCH_BYTES = 8 << 20
 
 
-def _hold_batches(spark: SparkSession) -> None:
+def hold_batches(spark: SparkSession) -> None:
     """Lower the session's Arrow batches to ``BATCH_BYTES``.
 
     Long texts make batches of many rows large, and each is held several times over, in
@@ -79,7 +79,7 @@ def map_batches(
     df: DataFrame, schema: str, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]]
 ) -> DataFrame:
     """Run ``make`` once per task and its result on each Arrow batch."""
-    _hold_batches(df.sparkSession)
+    hold_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = make()

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tripflow.llm import (
     ball_tree,
     bpe,
+    exact,
     language,
     lines,
     multi_index,
@@ -72,6 +73,10 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs, language.fit(docs))
 
 
+def op13_golomb_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.digest_columns(exact.find_copies(read(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Query] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_simhash": op2_simhash,
@@ -83,9 +88,11 @@ QUERIES: dict[str, Query] = {
     "op8_toxicity": op8_toxicity,
     "op9_forced_bpe": op9_forced_bpe,
     "op10_language": op10_language,
+    "op13_golomb_dedup": op13_golomb_dedup,
 }
 
 ORACLE: dict[str, str] = {
     "op3_line_dedup": lines.ORACLE,
     "op6_ball_tree": ball_tree.ORACLE,
+    "op13_golomb_dedup": exact.ORACLE,
 }
