@@ -13,6 +13,7 @@ from tripflow.llm import (
     exact,
     language,
     lines,
+    merkle,
     multi_index,
     packing,
     secrets,
@@ -73,6 +74,10 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs, language.fit(docs))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(read(spark, sf_dir, "documents"))
+
+
 def op13_golomb_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.digest_columns(exact.find_copies(read(spark, sf_dir, "documents")))
 
@@ -88,6 +93,7 @@ QUERIES: dict[str, Query] = {
     "op8_toxicity": op8_toxicity,
     "op9_forced_bpe": op9_forced_bpe,
     "op10_language": op10_language,
+    "op11_merkle_manifest": op11_merkle_manifest,
     "op13_golomb_dedup": op13_golomb_dedup,
 }
 
