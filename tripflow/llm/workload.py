@@ -18,6 +18,7 @@ from tripflow.llm import (
     packing,
     secrets,
     simhash,
+    spelling,
     token_files,
     toxicity,
 )
@@ -78,6 +79,10 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(read(spark, sf_dir, "documents"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.find_variants(read(spark, sf_dir, "documents"))
+
+
 def op13_golomb_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.digest_columns(exact.find_copies(read(spark, sf_dir, "documents")))
 
@@ -94,6 +99,7 @@ QUERIES: dict[str, Query] = {
     "op9_forced_bpe": op9_forced_bpe,
     "op10_language": op10_language,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_spelling_variants": op12_spelling_variants,
     "op13_golomb_dedup": op13_golomb_dedup,
 }
 
