@@ -6,6 +6,7 @@ import gzip
 import json
 import lzma
 import random
+import time
 import tracemalloc
 import zlib
 from urllib.parse import quote, quote_plus
@@ -119,3 +120,68 @@ def test_a_large_bomb_is_searched_in_little_memory():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert kinds(found[1]) == {0} and found[3] == 1 and peak < 60 << 20
+
+
+def noise(rng, size):
+    return rng.randbytes(size)
+
+
+ENCODINGS = {
+    "base64": lambda data: base64.b64encode(data),
+    "wrapped": lambda data: base64.encodebytes(data),
+    "urlsafe": lambda data: base64.urlsafe_b64encode(data),
+    "percent": lambda data: "".join(f"%{b:02x}" for b in data).encode(),
+    "quote_plus": lambda data: quote_plus(data).encode(),
+    "repr": lambda data: repr(data).encode(),
+    "escapes": lambda data: "".join(f"\\u00{b:02x}" for b in data).encode(),
+    "plain": lambda data: data,
+}
+
+
+@pytest.mark.parametrize("how", ENCODINGS)
+@pytest.mark.parametrize("name", ["gzip", "xz"])
+def test_a_run_longer_than_a_window_keeps_its_secret(how, name):
+    rng = random.Random(11)
+    data = COMPRESSORS[name](noise(rng, 60_000) + b" " + SECRET.encode() + b" " + noise(rng, 30_000))
+    inner = b"some words. " * 40 + ENCODINGS[how](data) + b" and more words."
+    text = f"see {b64(COMPRESSORS['gzip'](inner))} there"
+    found = Scanner(limit=20_000).scan(text)
+    assert kinds(found[1]) >= {0} and all(4 <= s < e <= len(text) - 6 for s, _, e in found[1])
+
+
+def test_layers_beyond_the_limit_may_nest():
+    rng = random.Random(12)
+    data = SECRET.encode() + noise(rng, 40_000)
+    for _ in range(3):
+        data = noise(rng, 15_000) + b" " + base64.b64encode(gzip.compress(data)) + b" " + noise(rng, 15_000)
+    assert kinds(Scanner(limit=10_000).scan(b64(zlib.compress(data)))[1]) >= {0}
+
+
+def test_a_self_reproducing_stream_ends():
+    empty = gzip.compress(b"")
+    assert Scanner().scan(b64(empty * 50))[1] == []
+    data = SECRET.encode()
+    for _ in range(150):
+        data = zlib.compress(data)
+    assert kinds(spans(b64(data))) == {0}
+
+
+def test_long_runs_take_time_in_proportion():
+    rng = random.Random(13)
+    times = []
+    for size in (750_000, 3_000_000):
+        run = b64(noise(rng, size))
+        began = time.process_time()
+        Scanner().scan(run)
+        times.append(time.process_time() - began)
+    assert times[1] < 8 * times[0]
+
+
+@pytest.mark.parametrize("escape", ["\\x41", "\\u0041", "%41"])
+def test_a_long_line_with_one_escape_takes_little_memory(escape):
+    text = "a b" * 400_000 + escape + " " + SECRET
+    tracemalloc.start()
+    found = Scanner().scan(text)[1]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert kinds(found) == {0} and peak < 20 * len(text)

@@ -18,6 +18,7 @@ import re
 import zlib
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -40,11 +41,18 @@ HEX = re.compile(r"[0-9a-f]{24,}")  # runs are maximal, so shorter ones may be p
 
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _QUOTED = re.compile(r"(?<![!-~])[!-~]*?%[0-9A-Fa-f]{2}[!-~]*+")  # with the unquoted characters between
-_QUOTED_BYTE = re.compile(r"%[0-9A-Fa-f]{2}|.", re.DOTALL)
-_ESCAPED = re.compile(r"[^\n\r\u0100-\U0010ffff]++")
-_ESCAPED_BYTE = re.compile(r"\\x[0-9a-fA-F]{2}|\\u00[0-9a-fA-F]{2}|\\U000000[0-9a-fA-F]{2}|\\[abfnrtv0\\'\"/]|.", re.DOTALL)
-_NAMED = dict(zip("abfnrtv0", b"\a\b\f\n\r\t\v\0", strict=True))
+_QUOTED_BYTE = re.compile(rb"%[0-9A-Fa-f]{2}")
+_ESCAPED_BYTE = re.compile(rb"\\(?:x[0-9a-fA-F]{2}|u00[0-9a-fA-F]{2}|U000000[0-9a-fA-F]{2}|[abfnrtv0\\'\"/])")
+#: A piece of a stream may end within an escape, which then waits for the next piece.
+_QUOTED_HEAD = re.compile(rb"%[0-9A-Fa-f]?\Z")
+_ESCAPED_HEAD = re.compile(rb"(?:\\\\)*+(\\(?:x[0-9a-fA-F]?|u0?|u00[0-9a-fA-F]?|U0{0,6}|U000000[0-9a-fA-F]?)?)\Z")
+_NAMED = np.arange(256, dtype=np.uint8)  # what a letter behind a backslash stands for
+_NAMED[list(b"abfnrtv0")] = list(b"\a\b\f\n\r\t\v\0")
+_DIGIT = np.zeros(256, dtype=np.uint8)
+_DIGIT[list(b"0123456789abcdefABCDEF")] = [*range(16), *range(10, 16)]
 _ESCAPE = re.compile(r"\\u[0-9a-fA-F]{4}|\\U[0-9a-fA-F]{8}|\\x[0-9a-fA-F]{2}")
+_LINE = r"[^\n\r\u0100-\U0010ffff]"
+_ESCAPED = re.compile(rf"(?<!{_LINE}){_LINE}*?(?:{_ESCAPE.pattern}){_LINE}*+")  # with the other characters of the line
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 _WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:\r?\n[\x20\t]*+[A-Za-z0-9+/_-]++)++={0,2}")
 _BLANK = re.compile(r"[\r\n\t\x20=]+")
@@ -54,19 +62,39 @@ _READABLE = re.compile(
     rb"|\xed[\x80-\x9f][\x80-\xbf]|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3}|\xf4[\x80-\x8f][\x80-\xbf]{2}){12,}+"
 )
 _WIDE = re.compile(rb"(?:[\t-\r\x20-~]\x00){11,}+[\t-\r\x20-~]?")  # UTF-16 of either byte order
-_COMPRESSED = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00|\x28\xb5\x2f\xfd")
+#: Beginnings of compressed data; of bzip2 with what opens its first block.
+_COMPRESSED = re.compile(
+    rb"\x1f\x8b\x08[\x00-\x1f]|\x78[\x01\x5e\x9c\xda]|BZh[1-9](?:1AY&SY|\x17rE8P\x90)|\xfd7zXZ\x00|\x28\xb5\x2f\xfd"
+)
 
 #: Bytes of unfolded data searched at a time; a layer of more is counted and searched in overlapping windows.
-MAX_UNFOLDED = 64 << 20
+MAX_UNFOLDED = 16 << 20
 _OVERLAP = 1 << 20
-_RUN_END = re.compile(rb"(?<![A-Za-z0-9+/_=%\\\r\n-])[A-Za-z0-9+/_=%\\\r\n-]++\Z")
+_RUN_END = re.compile(rb"(?<![A-Za-z0-9+/_=%\\\r\n\t\x20-])[A-Za-z0-9+/_=%\\\r\n\t\x20-]++\Z")
+_LONG_RUN = re.compile(rb"(?<![A-Za-z0-9+/_\r\n\t\x20-])[A-Za-z0-9+/_\r\n\t\x20-]++\Z")
+_NO_SYMBOL = re.compile(rb"[^A-Za-z0-9+/_\r\n\t\x20-]")
 _PIECE = 1 << 20  # of unfolded bytes at a time
+_INPUT = 1 << 16  # of compressed bytes at a time
 _ZSTD_INPUT = 256  # its streams unfold to 128 KB for every four bytes at most, without a limit on output
 _BROKEN = (zlib.error, OSError, EOFError, ValueError, lzma.LZMAError, zstandard.ZstdError)
 
 Span = tuple[int, int, int]  # start, kind, end
 
 
+@dataclass
+class Stream:
+    """Bytes that can be read again and again, and the stretch of the original they came from.
+
+    ``cut`` is set when compressed data ended before their own end was reached; ``again``
+    marks another reading of a stream met before, which is not counted anew.
+    """
+
+    pieces: Callable[[], Iterator[bytes]]
+    at: tuple[int, int]
+    cut: bool = False
+    again: bool = False
+
+
 @dataclass
 class Layer:
     """A decoded text and, per code point, the stretch of the original it came from.
@@ -101,7 +129,7 @@ def _stretches(data: bytes) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
     """Maximal readable stretches, as UTF-8 and as UTF-16, with first and last byte of each code point."""
     for match in _READABLE.finditer(data):
         text = match.group().decode("utf-8")
-        yield text, *_char_stretches(text, np.arange(match.start(), match.end()))
+        yield text, *_char_stretches(text, np.arange(match.start(), match.end(), dtype=np.int32))
     for match in _WIDE.finditer(data):
         at = np.arange(match.start(), match.end(), 2)
         yield match.group()[::2].decode("ascii"), at, at
@@ -149,29 +177,74 @@ def _drained(stream, data: bytes) -> Iterator[bytes]:
     return b""
 
 
-def _unfold(pieces: Iterable[bytes]) -> Iterator[bytes]:
-    """Contents of the compressed streams at the start, one after another, up to what is broken or none."""
-    pieces = iter(pieces)
-    held, stream = b"", None
+def _chunks(data: bytes, start: int) -> Iterator[bytes]:
+    view = memoryview(data)
+    for at in range(start, len(data), _INPUT):
+        yield bytes(view[at : at + _INPUT])
+
+
+def _skipped(pieces: Iterator[bytes], count: int) -> Iterator[bytes]:
+    for piece in pieces:
+        if count < len(piece):
+            yield piece[count:]
+        count = max(count - len(piece), 0)
+
+
+def _unfold(stream: Stream, pieces: Iterator[bytes]) -> Iterator[bytes]:
+    """Contents of the compressed data at the start, one after another, up to what is broken or none."""
+    held, opened = b"", None
     while True:
-        if stream is None:
+        if opened is None:
             while len(held) < 6 and (more := next(pieces, None)) is not None:
                 held = (held + more).lstrip(b"\0")  # streams may be padded
-            stream = _opened(held)
-            if stream is None:
+            opened = _opened(held)
+            if opened is None:
                 return
         try:
-            held = yield from _drained(stream, held)
+            held = yield from _drained(opened, held)
         except _BROKEN:
             return
-        if stream.eof:
-            held, stream = held.lstrip(b"\0"), None
+        if opened.eof:
+            held, opened = held.lstrip(b"\0"), None
         else:
             held = next(pieces, None)
             if held is None:
+                stream.cut = True
                 return
 
 
+def _from_base64(pieces: Iterator[bytes], skip: int) -> Iterator[bytes]:
+    """Bytes of the run at the start without its first ``skip`` symbols; blanks in it do not count."""
+    held = b""
+    for piece in pieces:
+        end = _NO_SYMBOL.search(piece)
+        symbols = (piece[: end.start()] if end else piece).translate(_URL_SAFE, b"\r\n\t\x20")
+        symbols, skip = symbols[skip:], max(skip - len(symbols), 0)
+        held += symbols
+        ready = len(held) - len(held) % 4
+        yield base64.b64decode(held[:ready])
+        held = held[ready:]
+        if end:
+            break
+    if len(held) > 1:
+        yield base64.b64decode(held + b"=" * (-len(held) % 4))
+
+
+_URL_SAFE = bytes.maketrans(b"-_", b"+/")
+
+
+def _from_escapes(pieces: Iterator[bytes], unit: re.Pattern, head: re.Pattern) -> Iterator[bytes]:
+    """The bytes with every escape of the kind replaced by what it stands for."""
+    held = b""
+    for piece in pieces:
+        held += piece
+        tail = head.search(held[-12:])
+        waits = len(tail.group(tail.lastindex or 0)) if tail else 0
+        data, held = held[: len(held) - waits], held[len(held) - waits :]
+        yield _byte_form(unit, data)[0]
+    yield held
+
+
 def _windows(pieces: Iterable[bytes], limit: int) -> Iterator[tuple[bytes, int]]:
     """The data in windows of about ``limit`` bytes, and how many bytes of each are new.
 
@@ -192,26 +265,35 @@ def _windows(pieces: Iterable[bytes], limit: int) -> Iterator[tuple[bytes, int]]
         yield bytes(held), len(held) - old
 
 
-def _byte_form(pattern: re.Pattern, text: str, value: Callable[[str], int]) -> tuple[bytes, list[int]]:
-    """Bytes of a stretch with escapes, and the place of each."""
-    found = [(m.start(), value(m.group())) for m in pattern.finditer(text)]
-    return bytes(v for _, v in found), [p for p, _ in found]
-
-
-def _quoted_value(unit: str) -> int:
-    return int(unit[1:], 16) if len(unit) == 3 else ord(unit)
+def _byte_form(unit: re.Pattern, data: bytes) -> tuple[bytes, np.ndarray | None]:
+    """The data with each escape as one byte, and which of its bytes stay or begin an escape (None: all)."""
+    found = np.fromiter((m.start() << 4 | m.end() - m.start() for m in unit.finditer(data)), dtype=np.int64)
+    if not len(found):
+        return data, None
+    start, width = found >> 4, (found & 15).astype(np.int64)
+    octets = np.frombuffer(data, dtype=np.uint8)
+    last = start + width - 1
+    value = np.where(width == 2, _NAMED[octets[last]], _DIGIT[octets[last - 1]] << 4 | _DIGIT[octets[last]])
+    stays = np.ones(len(octets), dtype=bool)
+    for k in range(1, int(width.max())):
+        stays[start[width > k] + k] = False
+    octets = octets.copy()
+    octets[start] = value
+    return octets[stays].tobytes(), stays
 
 
-def _escaped_value(unit: str) -> int:
-    if len(unit) == 1:
-        return ord(unit)
-    return int(unit[2:], 16) if len(unit) > 2 else _NAMED.get(unit[1], ord(unit[1]))
+def _places(stays: np.ndarray | None, wanted: list[int]) -> list[int]:
+    """Where the wanted bytes of a byte form stood."""
+    if stays is None:
+        return wanted
+    return np.searchsorted(np.cumsum(stays, dtype=np.int32), np.array(wanted) + 1).tolist()
 
 
 def _char_stretches(text: str, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First and last byte of each code point, looked up in ``at``."""
-    widths = np.fromiter((len(c.encode()) for c in text), dtype=np.int64, count=len(text))
-    ends = np.cumsum(widths)
+    points = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
+    widths = 1 + (points > 0x7F).astype(np.int32) + (points > 0x7FF) + (points > 0xFFFF)
+    ends = np.cumsum(widths, dtype=np.int32)
     return at[ends - widths], at[ends - 1]
 
 
@@ -226,22 +308,22 @@ class Scanner:
         base = sorted(find(text))
         spans = set(base)
         self._too_large = 0
-        work = [self._unwrap(Layer(text, (0, len(text))), True)]  # depth first, so few layers are held
-        seen: set[bytes] = set()
+        self._seen: set[bytes] = set()
+        work: list[Iterator[Layer | Stream]] = [self._unwrap(Layer(text, (0, len(text))), True)]
         entered = 0
-        while work:
+        while work:  # depth first, so few layers are held
             layer = next(work[-1], None)
             if layer is None:
                 work.pop()
                 continue
-            if layer.starts is None:
-                place = layer.at
-            else:
-                place = (int(layer.starts[0]), int(layer.ends[-1]))
-            mark = hashlib.sha256(f"{place}".encode() + layer.text.encode()).digest()
-            if mark in seen:
+            if isinstance(layer, Stream):
+                work.append(self._search(layer))
+                continue
+            place = layer.at if layer.starts is None else (int(layer.starts[0]), int(layer.ends[-1]))
+            mark = hashlib.sha256(f"{place}".encode())
+            mark.update(layer.text.encode())
+            if not self._is_new(mark.digest()):
                 continue
-            seen.add(mark)
             entered += 1
             for start, kind, end in find(layer.text):
                 first, last = layer.origin(start, end)
@@ -249,19 +331,80 @@ class Scanner:
             work.append(self._unwrap(layer, False))
         return base, sorted(spans), entered, self._too_large
 
-    def _unwrap(self, outer: Layer, original: bool) -> Iterator[Layer]:
+    def _is_new(self, mark: bytes) -> bool:
+        new = mark not in self._seen
+        self._seen.add(mark)
+        return new
+
+    def _unwrap(self, outer: Layer, original: bool) -> Iterator[Layer | Stream]:
         runs = _runs(outer.text)
         if original:  # places in the original are its own; arrays only if something is encoded
             if "%" not in outer.text and "\\" not in outer.text and not runs:
                 return
-            places = np.arange(len(outer.text) + 1)
+            places = np.arange(len(outer.text) + 1, dtype=np.int32)
             outer = Layer(outer.text, outer.at, places[:-1], places[1:])
-        if "%" in outer.text:
+        if _PERCENT.search(outer.text):
             yield from self._percent(outer)
-        if "\\" in outer.text:
+        if _ESCAPE.search(outer.text):
             yield from self._escapes(outer)
         yield from self._base64(outer, runs)
 
+    def _search(self, stream: Stream) -> Iterator[Layer | Stream]:
+        """Texts in the bytes of a stream, and streams of compressed data in them.
+
+        Up to ``limit`` bytes are searched as a whole. Of more, each window is; what may
+        reach over a window's end is then read again from its start as a stream of its own:
+        compressed data that were cut, base64 runs longer than half a window, and, if there
+        are escapes, all bytes with these decoded. Content met before at its place is not
+        entered again.
+        """
+        place, whole, size = stream.at, hashlib.sha256(f"{stream.at}:".encode()), 0
+        again: list[Callable[[], Iterator[bytes]]] = []
+        cut: list[int] = []
+        run = None  # where the base64 run begins that is cut by the last window
+        quoted = escaped = False
+        for window, new in _windows(stream.pieces(), self.limit):
+            begins = size + new - len(window)
+            whole.update(memoryview(window)[-new:])
+            size += new
+            large = size > self.limit
+            self._too_large += large and size - new <= self.limit and not stream.again
+            if not large and not self._is_new(whole.digest()):
+                return
+            if len(window) >= 12:  # else no room for a secret
+                yield Layer(window.decode("utf-8", "replace"), place)
+                for wide in _WIDE.finditer(window):
+                    yield Layer(wide.group()[::2].decode("ascii"), place)
+            for found in _COMPRESSED.finditer(window):
+                start = found.start()
+                inner = Stream(lambda: iter(()), place)
+                inner.pieces = lambda inner=inner, data=window, start=start: _unfold(inner, _chunks(data, start))
+                yield inner
+                if inner.cut and large:
+                    cut.append(begins + start)
+            if large:
+                quoted = quoted or bool(_QUOTED_BYTE.search(window))
+                escaped = escaped or bool(_ESCAPED_BYTE.search(window))
+                tail = _LONG_RUN.search(window)
+                if tail is None:
+                    run = None
+                elif len(window) - tail.start() > self.limit // 2 and (run is None or tail.start()):
+                    run = begins + tail.start()
+                    again += [partial(_from_base64_at, stream.pieces, run, skip) for skip in range(4)]
+        if size <= self.limit or not self._is_new(whole.digest()):
+            return
+        for start in dict.fromkeys(cut):
+            inner = Stream(lambda: iter(()), place, again=True)
+            inner.pieces = lambda inner=inner, start=start: _unfold(inner, _skipped(stream.pieces(), start))
+            yield inner
+        if quoted:
+            again.append(lambda: _from_escapes(stream.pieces(), _QUOTED_BYTE, _QUOTED_HEAD))
+            again.append(lambda: _from_escapes((p.replace(b"+", b" ") for p in stream.pieces()), _QUOTED_BYTE, _QUOTED_HEAD))
+        if escaped:
+            again.append(lambda: _from_escapes(stream.pieces(), _ESCAPED_BYTE, _ESCAPED_HEAD))
+        for pieces in again:
+            yield Stream(pieces, place, again=True)
+
     def _replaced(self, outer: Layer, parts: list[tuple[int, int, str, np.ndarray, np.ndarray]]) -> Layer:
         """The text with stretches replaced; a part's arrays count code points of ``outer``."""
         text: list[str] = []
@@ -286,7 +429,7 @@ class Scanner:
 
     def _percent(self, outer: Layer) -> Iterator[Layer]:
         parts = []
-        yield from self._compressed_form(outer, _QUOTED, _QUOTED_BYTE, _quoted_value)
+        yield from self._compressed_form(outer, _QUOTED, _QUOTED_BYTE)
         for match in _PERCENT.finditer(outer.text):
             data = binascii.unhexlify(match.group().replace("%", ""))
             for wide in _WIDE.finditer(data):
@@ -307,7 +450,7 @@ class Scanner:
             yield self._replaced(outer, parts)
 
     def _escapes(self, outer: Layer) -> Iterator[Layer]:
-        yield from self._compressed_form(outer, _ESCAPED, _ESCAPED_BYTE, _escaped_value)
+        yield from self._compressed_form(outer, _ESCAPED, _ESCAPED_BYTE)
         units: list[tuple[int, int, int]] = []
         for match in _ESCAPE.finditer(outer.text):
             code = int(match.group()[2:], 16)
@@ -328,23 +471,21 @@ class Scanner:
         if parts:
             yield self._replaced(outer, parts)
 
-    def _base64(self, outer: Layer, runs: list[tuple[int, int]]) -> Iterator[Layer]:
+    def _base64(self, outer: Layer, runs: list[tuple[int, int]]) -> Iterator[Layer | Stream]:
         for first, last in runs:
             run = outer.text[first:last].rstrip("=")
-            places = np.arange(first, first + len(run))
-            if _BLANK.search(run):
-                places = np.array([i for i in range(first, first + len(run)) if outer.text[i] not in "\r\n\t "])
-            symbols = _BLANK.sub("", run).replace("-", "+").replace("_", "/")
+            octets = np.frombuffer(run.encode(), dtype=np.uint8)
+            places = first + np.flatnonzero(_IS_SYMBOL[octets]).astype(np.int32)
+            symbols = octets[_IS_SYMBOL[octets]].tobytes().translate(_URL_SAFE)
             for skip in range(4):  # foreign symbols before or after the encoded part only add unreadable bytes
-                body = symbols[skip:]
-                body = body[: len(body) - (len(body) % 4 == 1)]
-                if len(body) < 16:
+                size = len(symbols) - skip
+                size -= size % 4 == 1
+                if size < 16:
                     break
-                data = base64.b64decode(body + "=" * (-len(body) % 4))
+                data = base64.b64decode(symbols[skip : skip + size] + b"=" * (-size % 4))
                 at = places[skip:]
                 for match in _COMPRESSED.finditer(data):
-                    start = int(at[match.start() * 8 // 6])
-                    yield from self._compressed(outer, data[match.start() :], start, last)
+                    yield self._compressed(outer, data, match.start(), int(at[match.start() * 8 // 6]), last)
                 for new, low, high in _stretches(data):
                     if outer.starts is None:
                         yield Layer(new, outer.at)
@@ -352,39 +493,29 @@ class Scanner:
                     low, high = at[low * 8 // 6], at[(high * 8 + 7) // 6]  # a byte has eight bits, a symbol six
                     yield Layer(new, outer.at, outer.starts[low], outer.ends[high])
 
-    def _compressed(self, outer: Layer, data: bytes, first: int, last: int) -> Iterator[Layer]:
-        """What the compressed data at the start unfold to, and compressed data directly inside; equal contents end the chain."""
-        place = outer.origin(first, last)
-        met, depth = {hashlib.sha256(data).digest()}, 0
-        while True:
-            depth += 1
-            pieces: Iterable[bytes] = [data]
-            for _ in range(depth):
-                pieces = _unfold(pieces)
-            whole, size = hashlib.sha256(), 0
-            for window, new in _windows(pieces, self.limit):
-                whole.update(window[-new:])
-                self._too_large += size <= self.limit < size + new
-                size += new
-                if len(window) < 12:  # no room for a secret
-                    continue
-                yield Layer(window.decode("utf-8", "replace"), place)
-                for wide in _WIDE.finditer(window):
-                    yield Layer(wide.group()[::2].decode("ascii"), place)
-            if not size or whole.digest() in met:
-                return
-            met.add(whole.digest())
+    def _compressed(self, outer: Layer, data: bytes, start: int, first: int, last: int) -> Stream:
+        """What the compressed data at ``start`` unfold to."""
+        stream = Stream(lambda: iter(()), outer.origin(first, last))
+        stream.pieces = lambda: _unfold(stream, _chunks(data, start))
+        return stream
 
-    def _compressed_form(self, outer: Layer, stretches: re.Pattern, unit: re.Pattern, value: Callable[[str], int]) -> Iterator[Layer]:
+    def _compressed_form(self, outer: Layer, stretches: re.Pattern, unit: re.Pattern) -> Iterator[Stream]:
         """Compressed data in the byte form of stretches with escapes."""
         for match in stretches.finditer(outer.text):
             text = match.group()
-            if stretches is _ESCAPED and not _ESCAPE.search(text):
-                continue
             for version in {text, text.replace("+", " ")} if stretches is _QUOTED else {text}:
-                data, places = _byte_form(unit, version, value)
-                for found in _COMPRESSED.finditer(data):
-                    yield from self._compressed(outer, data[found.start() :], match.start() + places[found.start()], match.end())
+                data, stays = _byte_form(unit, version.encode("latin-1"))
+                found = [m.start() for m in _COMPRESSED.finditer(data)]
+                for start, place in zip(found, _places(stays, found), strict=True) if found else ():
+                    yield self._compressed(outer, data, start, match.start() + place, match.end())
+
+
+_IS_SYMBOL = np.ones(256, dtype=bool)
+_IS_SYMBOL[list(b"\r\n\t\x20=")] = False
+
+
+def _from_base64_at(pieces: Callable[[], Iterator[bytes]], start: int, skip: int) -> Iterator[bytes]:
+    return _from_base64(_skipped(pieces(), start), skip)
 
 
 _SPAN = "array<struct<kind:string,start:bigint,end:bigint>>"
@@ -432,7 +563,9 @@ def redact_secrets(
 ) -> DataFrame:
     """The same rows and columns with every span of the text replaced by ``mark``.
 
-    Overlapping spans are replaced together. A null text stays null.
+    Overlapping spans are replaced together. A null text stays null, an empty one empty.
+    Rows repeated in full stay and are changed alike, null ids do not matter, and an empty
+    table stays empty.
     """
     place = docs.columns.index(text_col)
 
