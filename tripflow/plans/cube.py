@@ -21,8 +21,9 @@ from tripflow.operators.zones import UNKNOWN_BOROUGHS
 MEASURES = ["total_amount", "trip_distance", "tip_rate", "avg_speed_mph"]
 
 
-def trip_cube(clean: DataFrame) -> DataFrame:
-    return clean.groupBy("pickup_date", "pickup_hour", "pickup_location_id").agg(
+def trip_cube(clean: DataFrame, apart: Sequence[str] = ()) -> DataFrame:
+    """The rollup; rows that differ in the columns ``apart`` are kept apart."""
+    return clean.groupBy("pickup_date", "pickup_hour", "pickup_location_id", *apart).agg(
         F.count("*").alias("trips"),
         F.sum("trip_duration_min").alias("minutes"),
         F.count("trip_duration_min").alias("minutes_known"),

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+from tripflow.sources.generations import read_table, replace_table
 
 LAYERS = ("raw", "staging", "final")
 
@@ -23,13 +25,20 @@ def materialize(
     kind: str = "table",
     partition_by: Sequence[str] = (),
 ) -> DataFrame:
-    """Store a model as Parquet (replacing it) or register it as a temporary view."""
+    """Store a model as Parquet (replacing it) or register it as a temporary view.
+
+    A table is written in full before it takes the place of the former one, so a build that
+    fails leaves that as it was; ``read_layer`` gives the last complete build.
+    """
     path = layer_path(root, layer, name)
     if kind == "view":
         df.createOrReplaceTempView(name)
         return df.sparkSession.table(name)
     if kind != "table":
         raise ValueError(f"unknown materialisation: {kind}")
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    writer.partitionBy(*partition_by).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return replace_table(df, path, partition_by)
+
+
+def read_layer(spark: SparkSession, root: str, layer: str, name: str) -> DataFrame:
+    """A stored model as of its last complete build."""
+    return read_table(spark, layer_path(root, layer, name))

@@ -2,7 +2,8 @@
 
 The log lies inside the table in a folder that readers of the table pass over. Only a
 part recorded here counts as loaded, so a load that breaks off between its files and
-its record is repeated; it then replaces the folders it left behind.
+its record is repeated; it then replaces the folders it left behind. A reload is a table of
+its own, with its own log, that takes the former one's place once both are complete.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tripflow.sources.generations import Folders, Generations
+
 LOG = "_load_log"
 LOG_SCHEMA = T.StructType(
     [T.StructField(name, T.StringType()) for name in ("source_file", "part", "unit", "columns")]
@@ -21,32 +24,23 @@ LOG_SCHEMA = T.StructType(
 )
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
-
-
-def _is_empty(spark: SparkSession, path: str) -> bool:
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return not len(place.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(place))
-
-
 class LoadLog:
     def __init__(self, spark: SparkSession, target: str) -> None:
         self.spark = spark
-        self.target = target.rstrip("/")
+        self.target = Generations(spark, target).current() or target.rstrip("/")
         self.path = f"{self.target}/{LOG}"
+        self._folders = Folders(spark, target)
 
     def begin(self) -> None:
         """Start the log of a new table; refuse a folder that holds anything else."""
-        if _exists(self.spark, self.path):
+        if self._folders.exists(self.path):
             return
-        if _exists(self.spark, self.target) and not _is_empty(self.spark, self.target):
+        if self._folders.names(self.target):
             raise ValueError(f"{self.target} is not laid out as a raw table")
         self.record([], None)
 
     def entries(self) -> DataFrame:
-        if not _exists(self.spark, self.path):
+        if not self._folders.exists(self.path):
             return self.spark.createDataFrame([], LOG_SCHEMA)
         return self.spark.read.schema(LOG_SCHEMA).parquet(self.path)
 

@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 from tripflow.schemas import INGESTION_DATE, PART, RAW_TRIP_SCHEMA, SOURCE_FILE
 from tripflow.sources.conform import conform, evolved_schema, merged_schema
 from tripflow.sources.footers import footers, spark_schema
+from tripflow.sources.generations import Generations
 from tripflow.sources.load_log import LoadLog
 
 # File naming of the published monthly files.
@@ -256,7 +257,9 @@ def write_raw(df: DataFrame, path: str, mode: str = "append") -> None:
     """``append`` adds rows, ``overwrite`` reloads the whole table and forgets former loads.
 
     Rows are laid out like loaded files, as a part of their own. Columns the table does not
-    have are added to it. A folder of another layout is refused.
+    have are added to it. A folder of another layout is refused. A reload is written and
+    recorded beside the table before it takes its place, so one that fails leaves all former
+    loads and their log as they were.
     """
     if mode not in ("append", "overwrite"):
         raise ValueError(f"unknown write mode: {mode}")
@@ -268,11 +271,15 @@ def write_raw(df: DataFrame, path: str, mode: str = "append") -> None:
     part = f"rows-{uuid4().hex}"
     rows = conform(df, columns).withColumn(PART, F.lit(part))
     if mode == "append":
-        _write_parts(rows, path)
-    else:
-        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
-        writer.partitionBy(SOURCE_FILE, PART).parquet(path)
-    log.record([(None, part, None)], columns)
+        _write_parts(rows, log.target)
+        log.record([(None, part, None)], columns)
+        return
+    table = Generations(spark, path)
+    folder = table.fresh()
+    _write_parts(rows, folder)
+    LoadLog(spark, folder).record([(None, part, None)], columns)
+    table.switch(folder)
+    table.forget()
 
 
 def read_raw(spark: SparkSession, target: str) -> DataFrame:
@@ -281,7 +288,7 @@ def read_raw(spark: SparkSession, target: str) -> DataFrame:
     columns = log.columns()
     if columns is None:
         raise ValueError(f"{target} holds no load")
-    rows = spark.read.schema(T.StructType([*columns, _PART_FIELD])).parquet(target)
+    rows = spark.read.schema(T.StructType([*columns, _PART_FIELD])).parquet(log.target)
     loaded = log.entries().select(F.col("source_file").alias("_file"), F.col("part").alias("_recorded")).distinct()
     of_load = (F.col(PART) == F.col("_recorded")) & (
         F.col("_file").isNull() | (F.col("_file") == F.col(SOURCE_FILE))
@@ -289,6 +296,22 @@ def read_raw(spark: SparkSession, target: str) -> DataFrame:
     return rows.join(loaded, of_load, "left_semi").select(*columns.names)
 
 
+def read_parts(spark: SparkSession, target: str, parts: Sequence[tuple[str | None, str]]) -> DataFrame:
+    """Rows of some recorded parts (source file or None for rows written directly, and part), with the part's name.
+
+    Spark is handed their folders only, so nothing else of the table is listed or read.
+    """
+    log = LoadLog(spark, target)
+    columns = log.columns()
+    escaped = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    paths = [
+        f"{log.target}/{SOURCE_FILE}={'*' if file is None else escaped(file)}/{PART}={escaped(part)}"
+        for file, part in parts
+    ]
+    schema = T.StructType([*columns, _PART_FIELD])
+    return spark.read.schema(schema).option("basePath", log.target).parquet(*paths)
+
+
 @dataclass(frozen=True)
 class LoadReport:
     loaded: list[str]
@@ -354,7 +377,7 @@ def load_new_files(
             columns = evolved_schema(columns, files)
 
             def load(part: Sequence[str], files=files, columns=columns) -> None:
-                _write_parts(_read_group(spark, part, files, columns), target)
+                _write_parts(_read_group(spark, part, files, columns), log.target)
 
             if on_error == "skip":
                 paths, bad = _without_damaged(spark, paths, files, load)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tripflow.schemas import ZONE_SCHEMA
+from tripflow.sources.generations import replace_table
 
 
 def load_zones(spark: SparkSession, csv: str) -> DataFrame:
@@ -20,5 +21,4 @@ def load_zones(spark: SparkSession, csv: str) -> DataFrame:
 
 def write_zones(spark: SparkSession, csv: str, target: str) -> DataFrame:
     """Replace the raw zone table by the CSV's zones; the table as written."""
-    load_zones(spark, csv).write.mode("overwrite").parquet(target)
-    return spark.read.schema(ZONE_SCHEMA).parquet(target)
+    return replace_table(load_zones(spark, csv), target)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,10 +23,11 @@ from tripflow.plans.pipeline import (
     build_views,
     period_marts,
 )
+from tripflow.plans.refresh import refresh_marts
 from tripflow.schemas import BUSINESS_COLUMNS, RAW_TRIP_SCHEMA, SOURCE_FILE
 from tripflow.session import shared_dir
 from tripflow.sources.conform import evolve
-from tripflow.sources.layers import layer_path
+from tripflow.sources.layers import layer_path, materialize, read_layer
 from tripflow.sources.trips import (
     infer_trip_schema,
     load_new_files,
@@ -396,6 +398,65 @@ def overwrite_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profiling.frequency(read_raw(spark, target), "payment_type")
 
 
+def _breaking(rows: DataFrame) -> DataFrame:
+    """The rows with a column whose computation ends the task."""
+    return rows.withColumn("passenger_count", F.when(F.col("VendorID") > 0, F.raise_error(F.lit("broken on purpose"))))
+
+
+def _expect_failure(work: Callable[[], object]) -> None:
+    try:
+        work()
+    except PySparkException:
+        return
+    raise RuntimeError("this was to fail")
+
+
+def rebuild_after_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mart whose rebuild failed in a task: its former rows are still there."""
+    root, raw = shared_dir(spark, "rebuild"), trips_raw(spark, sf_dir)
+
+    def rebuild(rows: DataFrame) -> None:
+        staged = materialize(cleaning.clean(rows, PROFILE_A), root, "staging", "clean_trips")
+        materialize(marts.daily_summary(staged), root, "final", "daily_summary")
+
+    rebuild(raw)
+    _expect_failure(lambda: rebuild(_breaking(raw)))
+    _expect_failure(lambda: materialize(_breaking(raw), root, "final", "daily_summary"))
+    return read_layer(spark, root, "final", "daily_summary")
+
+
+def reload_after_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A raw table whose reload failed in a task: its former loads and their log are still there."""
+    work = shared_dir(spark, "reload-failure")
+    landing, target = f"{work}/landing", layer_path(work, "raw", "trips")
+    raw = trips_raw(spark, sf_dir)
+    _land(raw.drop("_ingestion_date"), landing)
+    load_new_files(spark, landing, target)
+    write_raw(raw.filter("payment_type = 1"), target)
+    _expect_failure(lambda: write_raw(_breaking(raw), target, "overwrite"))
+    again = len(load_new_files(spark, landing, target).loaded)
+    found = profiling.frequency(read_raw(spark, target), "payment_type")
+    return found.withColumn("loaded_again", F.lit(again).cast("bigint"))
+
+
+def _refreshed(mart: str) -> Query:
+    """A mart refreshed after each of two landings and after rows written directly; only new parts are read."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        work = shared_dir(spark, "refresh")
+        landing, target = f"{work}/landing", layer_path(work, "raw", "trips")
+        raw = trips_raw(spark, sf_dir)
+        files, known = raw.filter("payment_type <> 2").drop("_ingestion_date"), zones(spark, sf_dir)
+        for landed in (files.filter(F.col(SOURCE_FILE) < "trips_1998"), files.filter(F.col(SOURCE_FILE) >= "trips_1998")):
+            _land(landed, landing)
+            load_new_files(spark, landing, target)
+            refresh_marts(spark, target, known, work, PROFILE_A, EXCLUDED)
+        write_raw(raw.filter("payment_type = 2"), target)
+        return refresh_marts(spark, target, known, work, PROFILE_A, EXCLUDED)[mart]
+
+    return run
+
+
 def append_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = layer_path(shared_dir(spark, "append"), "raw", "trips")
     raw = trips_raw(spark, sf_dir)
@@ -551,6 +612,9 @@ INGESTION: dict[str, Query] = {
     "overwrite_reload": overwrite_reload,
     "append_load": append_load,
     "append_after_load": append_after_load,
+    "rebuild_after_failure": rebuild_after_failure,
+    "reload_after_failure": reload_after_failure,
+    **{f"refresh_{m}": _refreshed(m) for m in ("daily_summary", "zone_analysis", "hourly_patterns")},
     "ingest_late_parts": ingest_late_parts,
     "ingest_skip_bad": ingest_skip_bad,
     "ingest_evolving": ingest_evolving,
