@@ -4,6 +4,7 @@ import pytest
 from helpers import plan, raw_trips
 from pyspark.sql import functions as F
 
+from tripflow.operators import dedup
 from tripflow.operators.cleaning import billing_profile, clean, keep_good
 from tripflow.operators.dedup import dedup_keep_first, duplicate_report
 from tripflow.schemas import BUSINESS_COLUMNS, SOURCE_FILE
@@ -41,8 +42,8 @@ def test_hot_key_is_cut_before_the_shuffle(spark):
     assert kept.filter("k = -1").first().v == 0
 
 
-@pytest.mark.parametrize("buckets", [1 << 16, 64])
-def test_report_counts_per_file_and_keeps_nulls_equal(spark, buckets):
+@pytest.mark.parametrize("bits", [1 << 16, 64])
+def test_report_counts_per_file_and_keeps_nulls_equal(spark, bits):
     raw = raw_trips(
         spark,
         *[{"passenger_count": None}] * 3,
@@ -50,7 +51,7 @@ def test_report_counts_per_file_and_keeps_nulls_equal(spark, buckets):
         {"tip_amount": 1.0},
         {"_source_file": "trips_2024-06.parquet"},
     )
-    found = duplicate_report(raw, BUSINESS_COLUMNS, SOURCE_FILE, buckets).collect()
+    found = duplicate_report(raw, BUSINESS_COLUMNS, SOURCE_FILE, bits).collect()
     assert [tuple(r) for r in found] == [("trips_2024-05.parquet", 2, 5, 3)]
 
 
@@ -61,10 +62,10 @@ def test_shared_fingerprint_is_no_duplicate(spark):
     assert duplicate_report(df, ["a", "b"], "file").count() == 0
 
 
-@pytest.mark.parametrize("buckets", [1 << 16, 64])
-def test_bitmap_size_does_not_change_the_answer(spark, buckets):
+@pytest.mark.parametrize("bits", [1 << 16, 64])
+def test_bitmap_size_does_not_change_the_answer(spark, bits):
     df = spark.range(3000).selectExpr("if(id % 7 = 0, id div 70, id) AS k", "id AS v")
-    found = dedup_keep_first(df, ["k"], ["v"], buckets=buckets).collect()
+    found = dedup_keep_first(df, ["k"], ["v"], bits=bits).collect()
     first = {}
     for v in range(3000):
         first.setdefault(v // 70 if v % 7 == 0 else v, v)
@@ -102,3 +103,16 @@ def test_file_month_is_parsed_once_per_row(spark, tmp_path):
     assert plan(staged).count("regexp_extract(") == 1
     pushed = next(x for x in plan(staged).splitlines() if x.startswith("PushedFilters"))
     assert "fare_amount" in pushed and "total_amount" in pushed
+
+
+def test_untouched_rows_bypass_the_sort_however_many_keys_repeat(spark):
+    """More repeated keys than bits of the least bitmap, which grows with them."""
+    repeated, single = 150_000, 100_000
+    assert repeated > 64 * dedup._LEAST_WORDS
+    df = spark.range(2 * repeated + single).selectExpr(f"if(id < {2 * repeated}, id div 2, id) AS k", "id AS v")
+    looked_at = dedup._printed(df, ["k"]).filter(dedup._may_repeat(df, ["k"], dedup.BITS))
+    chance = looked_at.filter(f"k >= {2 * repeated}").count()
+    assert looked_at.count() - chance == 2 * repeated and chance < single / 10
+    assert dedup_keep_first(df, ["k"], ["v"]).agg(F.count("*"), F.sum("v")).first()[:] == (
+        repeated + single, repeated * (repeated - 1) + sum(range(2 * repeated, 2 * repeated + single)),
+    )

@@ -1,11 +1,13 @@
 """Duplicate removal and duplicate reports.
 
 Both first count 64-bit fingerprints, which is all that is shuffled for every row, and mark
-the buckets of repeated ones in a bitmap of fixed size. A row whose bucket is not marked has
+those that repeat in a bitmap of 16 bits or more for each. A row whose bit is not set has
 no duplicate and passes by; only the others are sorted or grouped on whole rows. A row
-that shares a bucket by chance is merely looked at, so the answer does not depend on the
-bitmap's size. Should repeats fill the bitmap, all rows are looked at. The input is read
-more than once, so it must be the same each time, as files and stored tables are.
+that shares a bit by chance is merely looked at, so the answer does not depend on the
+bitmap's size. It grows with the repeated keys to ``BITS``, which 16 million of them fill to a
+sixteenth, and a hundred million to a third; beyond that more and more rows are looked at.
+The input is read more than once, so it must be the same each time, as files and stored
+tables are.
 """
 
 from __future__ import annotations
@@ -15,38 +17,48 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 1 << 22  # bits of the bitmap, 512 KB for every task
+BITS = 1 << 28  # of the largest bitmap, 32 MB for every task
+_BITS_PER_KEY = 16
+_LEAST_WORDS = 1 << 10
 
+_PRINT = "_print"
 
-_PLACE = "_place"
 
-
-def _placed(df: DataFrame, columns: Sequence[str], buckets: int) -> DataFrame:
-    """Adds the bucket of the fingerprint of ``columns``.
+def _printed(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Adds the fingerprint of ``columns``.
 
     A generator of one row holds it, since the optimizer would repeat the expression, and
-    all that the columns are computed from, wherever the bucket is used.
+    all that the columns are computed from, wherever the fingerprint is used.
     """
-    place = F.pmod(F.xxhash64(*columns), F.lit(buckets))
-    return df.select("*", F.explode(F.array(place)).alias(_PLACE))
+    return df.select("*", F.explode(F.array(F.xxhash64(*columns))).alias(_PRINT))
+
+
+def _words(keys: Column, bits: int) -> Column:
+    """Words of 64 bits for so many repeated keys: a power of two."""
+    wanted = F.greatest(keys * (_BITS_PER_KEY / 64), F.lit(1.0))
+    power = F.ceil(F.log2(wanted)).cast("int")
+    words = F.call_function("shiftleft", F.lit(1).cast("bigint"), power)
+    return F.least(F.greatest(words, F.lit(_LEAST_WORDS)), F.lit(max(bits // 64, 1)).cast("bigint"))
 
 
-def _may_repeat(df: DataFrame, columns: Sequence[str], buckets: int) -> Column:
-    """Whether another row may equal a placed one in ``columns``; a scalar subquery holds the bitmap."""
-    bucket = F.pmod(F.col("_print"), F.lit(buckets))
-    repeated = df.groupBy(F.xxhash64(*columns).alias("_print")).agg(F.count("*").alias("_rows"))
-    words = (
-        repeated.filter("_rows > 1")
-        .select(F.shiftright(bucket, 6).alias("_word"), bucket.bitwiseAND(63).cast("int").alias("_bit"))
+def _may_repeat(df: DataFrame, columns: Sequence[str], bits: int) -> Column:
+    """Whether another row may equal a row with fingerprint in ``columns``; a scalar subquery holds the bitmap."""
+    counted = df.groupBy(F.xxhash64(*columns).alias("_key")).agg(F.count("*").alias("_rows"))
+    repeated = counted.filter("_rows > 1").select("_key")
+    size = repeated.agg(_words(F.count("*"), bits).alias("words"))
+    bit = F.pmod(F.col("_key"), size.scalar() * 64)
+    marked = (
+        repeated.select(F.shiftright(bit, 6).alias("_word"), bit.bitwiseAND(63).cast("int").alias("_bit"))
         .groupBy("_word")
         .agg(F.expr("bit_or(shiftleft(1L, _bit))").alias("_bits"))
     )
-    whole = df.sparkSession.range(buckets // 64).join(words, F.col("id") == F.col("_word"), "left")
+    whole = df.sparkSession.range(1).select(F.explode(F.sequence(F.lit(0).cast("bigint"), size.scalar() - 1)).alias("id"))
+    filled = whole.join(marked, F.col("id") == F.col("_word"), "left")
     listed = F.collect_list(F.struct("id", F.coalesce("_bits", F.lit(0).cast("bigint")).alias("_bits")))
-    bitmap = whole.agg(F.transform(F.array_sort(listed), lambda x: x["_bits"]).alias("bitmap")).scalar()
-    word = F.get(bitmap, F.shiftright(_PLACE, 6).cast("int"))
-    bit = F.call_function("shiftright", word, F.col(_PLACE).bitwiseAND(63).cast("int"))
-    return bit.bitwiseAND(1) == 1
+    bitmap = filled.agg(F.transform(F.array_sort(listed), lambda x: x["_bits"]).alias("bitmap")).scalar()
+    place = F.pmod(F.col(_PRINT), F.size(bitmap) * F.lit(64).cast("bigint"))
+    word = F.get(bitmap, F.shiftright(place, 6).cast("int"))
+    return F.call_function("shiftright", word, place.bitwiseAND(63).cast("int")).bitwiseAND(1) == 1
 
 
 def dedup_keep_first(
@@ -54,7 +66,7 @@ def dedup_keep_first(
     keys: Sequence[str],
     order: Sequence[str],
     tie_breakers: Sequence[str] | None = None,
-    buckets: int = BUCKETS,
+    bits: int = BITS,
 ) -> DataFrame:
     """One row per key, the first by ``order``.
 
@@ -69,14 +81,14 @@ def dedup_keep_first(
     first = Window.partitionBy(*keys).orderBy(
         *[F.col(c).asc_nulls_first() for c in (*order, *tie_breakers)]
     )
-    suspect, placed = _may_repeat(df, keys, buckets), _placed(df, keys, buckets)
-    ranked = placed.filter(suspect).withColumn("_rank", F.row_number().over(first))
-    kept = placed.filter(~suspect).unionByName(ranked.filter("_rank = 1").drop("_rank"))
-    return kept.drop(_PLACE)
+    suspect, printed = _may_repeat(df, keys, bits), _printed(df, keys)
+    ranked = printed.filter(suspect).withColumn("_rank", F.row_number().over(first))
+    kept = printed.filter(~suspect).unionByName(ranked.filter("_rank = 1").drop("_rank"))
+    return kept.drop(_PRINT)
 
 
 def duplicate_report(
-    df: DataFrame, columns: Sequence[str], by: str, buckets: int = BUCKETS
+    df: DataFrame, columns: Sequence[str], by: str, bits: int = BITS
 ) -> DataFrame:
     """Per ``by`` value: groups of identical rows, rows in them, rows to remove.
 
@@ -84,7 +96,7 @@ def duplicate_report(
     Copies are counted before the shuffle, so a row repeated very often does no harm.
     """
     every = [by, *columns]
-    suspects = _placed(df, every, buckets).filter(_may_repeat(df, every, buckets))
+    suspects = _printed(df, every).filter(_may_repeat(df, every, bits))
     groups = suspects.groupBy(by, *columns).agg(F.count("*").alias("_copies")).filter("_copies > 1")
     return groups.groupBy(by).agg(
         F.count("*").alias("identical_groups"),
