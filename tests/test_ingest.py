@@ -525,3 +525,33 @@ def test_spoilt_footers_are_damage_too(spark, tmp_path, monkeypatch):
     assert again.unreadable == found.unreadable and [len(p) for p, _ in again.groups] == [1]
     with pytest.raises(Exception, match="(?i)footer"):
         src.schema_groups(spark, paths)
+
+
+@pytest.mark.parametrize("bad", [1, 10])
+def test_damaged_files_cost_the_same_however_many(spark, tmp_path, monkeypatch, bad):
+    """One pass finds them all, a second reads these alone, a third writes the rest."""
+    landing, target = f"{tmp_path}/landing", f"{tmp_path}/raw"
+    months = [f"20{y}-{m:02d}" for y in (24, 25) for m in range(1, 13)]
+    for month in months:
+        land(landing, month, rows=500)
+    for month in months[:bad]:
+        _spoil_pages(f"{landing}/trips_{month}.parquet")
+    passes = []
+    short, write = src._short, src._write_parts
+    monkeypatch.setattr(src, "_short", lambda s, paths, *a: passes.append(len(paths)) or short(s, paths, *a))
+    monkeypatch.setattr(src, "_write_parts", lambda *a: passes.append("write") or write(*a))
+    monkeypatch.setattr(src, "_without_damaged", None)
+    report = src.load_new_files(spark, landing, target, on_error="skip")
+    assert passes == [24, bad, "write"]
+    assert len(report.skipped) == bad
+    assert counts(src.read_raw(spark, target)) == {f"trips_{m}.parquet": 500 for m in months[bad:]}
+
+
+def test_a_passing_fault_leaves_no_file_out(spark, tmp_path, monkeypatch):
+    landing, target = f"{tmp_path}/landing", f"{tmp_path}/raw"
+    land(landing, "2024-01")
+    land(landing, "2024-02")
+    calls, short = [], src._short
+    monkeypatch.setattr(src, "_short", lambda s, paths, *a: calls.append(1) or (list(paths)[:1] if len(calls) == 1 else short(s, paths, *a)))
+    assert src.load_new_files(spark, landing, target, on_error="skip").skipped == []
+    assert src.read_raw(spark, target).count() == 4

@@ -41,8 +41,7 @@ def _field_type(kind: pa.DataType, physical: str) -> T.DataType:
     return from_arrow_type(kind, prefer_timestamp_ntz=True)
 
 
-def _schema(file: pa.NativeFile) -> T.StructType:
-    parquet = pq.ParquetFile(file)
+def _schema(parquet: pq.ParquetFile) -> T.StructType:
     written = (parquet.metadata.metadata or {}).get(_SPARK_SCHEMA)
     if written:
         return T.StructType.fromJson(json.loads(written))
@@ -51,18 +50,19 @@ def _schema(file: pa.NativeFile) -> T.StructType:
 
 
 def footers(files: DataFrame) -> DataFrame:
-    """Adds to ``files`` (with a column ``path``) ``columns``, the schema as JSON, or ``damage``.
+    """Adds to ``files`` (with a column ``path``) ``columns``, the schema as JSON, and ``rows``, or ``damage``.
 
-    Both stay NULL for a store that only Spark reads; ``spark_schema`` then asks Spark.
+    All stay NULL for a store that only Spark reads; ``spark_schema`` then asks Spark.
     """
-    names = [*files.columns, "columns", "damage"]
+    names = [*files.columns, "columns", "rows", "damage"]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns: list[str | None] = []
+            rows: list[int | None] = []
             damage: list[str | None] = []
             for path in batch.column("path").to_pylist():
-                found = wrong = None
+                found = held = wrong = None
                 try:
                     file = _open(path)
                 except (pa.ArrowInvalid, ImportError, NotImplementedError):
@@ -70,18 +70,21 @@ def footers(files: DataFrame) -> DataFrame:
                 else:
                     with file:
                         try:
-                            found = _schema(file).json()
+                            parquet = pq.ParquetFile(file)
+                            found, held = _schema(parquet).json(), parquet.metadata.num_rows
                         except (pa.ArrowInvalid, OSError) as error:
                             # an OSError is a failed read, unless the bytes read make no sense
                             if isinstance(error, OSError) and "deserialize" not in str(error):
                                 raise
                             wrong = str(error)
                 columns.append(found)
+                rows.append(held)
                 damage.append(wrong)
-            added = [pa.array(columns, pa.string()), pa.array(damage, pa.string())]
+            added = [pa.array(columns, pa.string()), pa.array(rows, pa.int64()), pa.array(damage, pa.string())]
             yield pa.RecordBatch.from_arrays([*batch.columns, *added], names)
 
-    schema = T.StructType([*files.schema, T.StructField("columns", T.StringType()), T.StructField("damage", T.StringType())])
+    added = (("columns", T.StringType()), ("rows", T.LongType()), ("damage", T.StringType()))
+    schema = T.StructType([*files.schema, *[T.StructField(*f) for f in added]])
     return files.mapInArrow(read, schema)
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 from urllib.parse import unquote
@@ -80,10 +80,11 @@ def with_lineage(df: DataFrame) -> DataFrame:
 
 @dataclass
 class FileGroups:
-    """Files by common columns and types, and files that could not be read."""
+    """Files by common columns and types, files that could not be read, and rows by the footers (if known)."""
 
     groups: list[tuple[list[str], T.StructType]] = field(default_factory=list)
     unreadable: list[str] = field(default_factory=list)
+    rows: dict[str, int] = field(default_factory=dict)
 
     def add(self, path: str, schema: T.StructType) -> None:
         """Join a group of the same columns and types, or open a new one."""
@@ -104,6 +105,7 @@ def _grouped(spark: SparkSession, files: Iterable[Row], on_error: str) -> FileGr
             found.unreadable.append(file["path"])
         elif file["columns"] is not None:
             found.add(file["path"], T.StructType.fromJson(json.loads(file["columns"])))
+            found.rows[file["path"]] = file["rows"]
         else:
             try:
                 found.add(file["path"], spark_schema(spark, file["path"]))
@@ -172,14 +174,14 @@ def read_trips(
     """Trips of the given files, directories or globs in one schema, with lineage.
 
     With ``skip`` damaged files are left out whole. To find damaged pages all files are
-    then read once in advance.
+    then read once in advance, however many are damaged.
     """
     listed = [paths] if isinstance(paths, str) else list(paths)
     found = schema_groups(spark, listed, on_error)
     frames = []
     for part, files in found.groups:
         if on_error == "skip":
-            part, _ = _without_damaged(spark, part, files, _read_all(spark, files))
+            part, _ = _sound(spark, part, files, found.rows)
         if part:
             frames.append(_read_group(spark, part, files, schema).drop(PART))
     if not frames:
@@ -217,6 +219,36 @@ def _interfaces(java_object) -> str:
     return names
 
 
+def _short(spark: SparkSession, paths: Sequence[str], files: T.StructType, rows: Mapping[str, int]) -> list[str]:
+    """Paths that give fewer rows than their footers promise when damage ends a file and not the job."""
+    read = spark.read.schema(files).option("ignoreCorruptFiles", "true").parquet(*paths)
+    every = [F.count(F.col(f"`{f.name}`")) for f in files]  # decodes all columns
+    path = F.col("_metadata.file_path").alias("path")
+    counted = read.groupBy(path).agg(F.count("*").alias("rows"), F.array(*every).alias("known")).collect()
+    found = {_plain(unquote(r["path"])): r["rows"] for r in counted}
+    return [p for p in paths if found.get(_plain(p), 0) < rows[p]]
+
+
+def _sound(
+    spark: SparkSession, paths: Sequence[str], files: T.StructType, rows: Mapping[str, int]
+) -> tuple[list[str], list[str]]:
+    """Paths without damage, and damaged ones.
+
+    One pass finds the files that break off; these are read once more, so that a passing
+    fault of the store leaves no file out. Files whose footer only Spark can read are tried
+    one failure at a time.
+    """
+    known = [p for p in paths if p in rows]
+    bad = _short(spark, known, files, rows) if known else []
+    bad = _short(spark, bad, files, rows) if bad else []
+    good = [p for p in known if p not in set(bad)]
+    others = [p for p in paths if p not in rows]
+    if others:
+        more, damaged = _without_damaged(spark, others, files, _read_all(spark, files))
+        return good + more, bad + damaged
+    return good, bad
+
+
 def _without_damaged(
     spark: SparkSession, paths: Sequence[str], files: T.StructType, work
 ) -> tuple[list[str], list[str]]:
@@ -376,14 +408,12 @@ def load_new_files(
         for paths, files in found.groups:
             columns = evolved_schema(columns, files)
 
-            def load(part: Sequence[str], files=files, columns=columns) -> None:
-                _write_parts(_read_group(spark, part, files, columns), log.target)
-
             if on_error == "skip":
-                paths, bad = _without_damaged(spark, paths, files, load)
+                paths, bad = _sound(spark, paths, files, found.rows)
                 skipped += bad
-            else:
-                load(paths)
+            if not paths:
+                continue
+            _write_parts(_read_group(spark, paths, files, columns), log.target)
             done = [by_path[p] for p in paths]
             log.record([(f["source_file"], f["part"], f["unit"]) for f in done], columns)
             loaded |= {f["unit"] for f in done}
