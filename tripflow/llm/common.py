@@ -7,6 +7,7 @@ import ctypes
 import gc
 from collections.abc import Callable, Iterator, Sequence
 from itertools import pairwise
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +31,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored_in_place(rows: DataFrame, buckets: int, by: str, order: str) -> DataFrame:
+    """The rows stored in buckets of the column ``by``, so that what is joined by it comes to them and they stay.
+
+    Rows of one value are to be written by one task, as those of a block are; a task then
+    writes a file for each of its blocks.
+    """
+    spark = rows.sparkSession
+    name = f"placed_{uuid4().hex}"
+    writer = rows.write.bucketBy(buckets, by).sortBy(by, order).format("parquet")
+    writer.option("path", shared_dir(spark, "placed")).saveAsTable(name)
+    found = spark.table(name)  # knows its files and buckets from here on
+    spark.sql(f"DROP TABLE {name}")  # the entry only: the files lie outside the warehouse
+    return found
+
+
 def dropped(df: DataFrame) -> None:
     """Delete the files of a ``stored`` frame that nothing reads any more."""
     spark = df.sparkSession

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator, Sequence
-from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
@@ -18,8 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripflow.llm.common import hold_batches, key_runs, run_starts, spans_of, stored
-from tripflow.session import shared_dir
+from tripflow.llm.common import hold_batches, key_runs, run_starts, spans_of, stored, stored_in_place
 
 #: A block of rows ends at so many rows or bytes of text.
 BLOCK_ROWS = 1 << 16
@@ -113,17 +111,6 @@ def _blocks(rows: DataFrame, digest: Digest) -> DataFrame:
     return rows.mapInArrow(run, f"{schema}, {others}")
 
 
-def _kept_in_place(rows: DataFrame, buckets: int) -> DataFrame:
-    """The rows stored in buckets by block, so that what is joined by block comes to them and they stay."""
-    spark = rows.sparkSession
-    name = f"blocks_{uuid4().hex}"
-    writer = rows.write.bucketBy(buckets, "block").sortBy("block", "place").format("parquet")
-    writer.option("path", shared_dir(spark, "blocks")).saveAsTable(name)
-    found = spark.table(name)  # knows its files and buckets from here on
-    spark.sql(f"DROP TABLE {name}")  # the entry only: the files lie outside the warehouse
-    return found
-
-
 def _messages(rows: DataFrame, bits: int, width: int) -> DataFrame:
     """What blocks send: ``owner``, ``block``, the ``first`` place and number ``n`` of hashes, and their code."""
 
@@ -239,7 +226,7 @@ def find_copies(
         F.col(f"`{text_col}`").cast("string").cast("binary").alias("text"),
         *[F.col(f"`{c}`").alias(f"_carried_{i}") for i, c in enumerate(carry)],
     )
-    rows = _kept_in_place(_blocks(read, digest), buckets)
+    rows = stored_in_place(_blocks(read, digest), buckets, "block", "place")
     count = rows.count()
     bits = min(count.bit_length() + SPARE_BITS, _PRINT_BITS)
     owners = max(buckets, count // OWNER_HASHES)
