@@ -3,12 +3,13 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 from tripflow.llm.common import read
 from tripflow.llm.components import components
-from tripflow.llm.simhash import GrayIndex, fingerprint, gray_rank, keep_first, links, near_duplicates
+from tripflow.llm.simhash import GrayIndex, fingerprint, gray_rank, links, near_duplicates
 
 
 def plain_fingerprint(text):
@@ -79,11 +80,6 @@ def test_odd_rows(spark):
     docs = spark.createDataFrame(rows, "doc_id int, text string, print string")
     check(docs)
     assert near_duplicates(docs.limit(0)).count() == 0
-    kept = keep_first(docs)
-    assert kept.columns == docs.columns
-    assert sorted((r.doc_id or 0, r.text) for r in kept.collect()) == sorted(
-        [(3, ""), (9, "ÀB one"), (9, "Àb ONE"), (1, long), (0, "lone text here"), (0, " \t")]
-    )
 
 
 def test_native_hash_agrees(spark):
@@ -114,14 +110,15 @@ def test_index_finds_all_links():
     assert found == wanted and len(found) > len(every)
 
 
-def test_links_of_close_prints_span_their_groups(spark):
+@pytest.mark.parametrize("group_words", [1 << 14, 64, 2])
+def test_links_of_close_prints_span_their_groups(spark, group_words):
     rng = random.Random(4)
     seeds = [rng.getrandbits(64) for _ in range(6)]
     bits = {s ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 5))) for s in seeds for _ in range(150)}
     named = plain_components([(i, b) for i, b in enumerate(sorted(bits))])
     signed = [b - (1 << 64) if b >> 63 else b for b in sorted(bits)]
     frame = spark.createDataFrame([(b,) for b in signed], "print bigint")
-    got = {r.node % 2**64: r.root for r in components(links(frame)).collect()}
+    got = {r.node % 2**64: r.root for r in components(links(frame, group_words=group_words)).collect()}
     parts = {}
     for b in sorted(bits):
         parts.setdefault(named[b], set()).add(b)
@@ -133,6 +130,27 @@ def test_links_of_close_prints_span_their_groups(spark):
     assert len({got[b] for b in got}) == sum(len(p) > 1 for p in parts.values())
 
 
+def test_upper_nodes_are_given_up_unopened():
+    """Of a million random words, a search opens few nodes of the tree."""
+    bits = np.unique(np.random.default_rng(5).integers(0, 1 << 64, 1_000_000, dtype=np.uint64))
+    bits = bits[np.argsort(gray_rank(bits))]
+    index = GrayIndex(bits, np.array([0]))
+    queries = bits[:: 1000].copy() ^ np.uint64(1 << 40)
+    query, node = index.links(queries, np.zeros(len(queries), dtype=int), 2)
+    assert set(range(len(queries))) == set(query.tolist())
+    levels = len(index.pattern)
+    assert levels == 6 and sum(index.given_up[1:]) > 100 * len(queries)
+    assert index.given_up[0] < 0.01 * len(bits) * len(queries)  # leaves looked at
+
+
+def test_dense_words_are_dealt_until_bounded(spark):
+    """Words that differ in their last bits only: no choice of leading bits parts them."""
+    low = list(range(3000))
+    frame = spark.createDataFrame([(b,) for b in low], "print bigint")
+    got = {r.node: r.root for r in components(links(frame, group_words=16)).collect()}
+    assert set(got) == set(low) and len(set(got.values())) == 1
+
+
 def test_components_of_a_path_and_a_hub(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(50)] + [(7, 7)]
     random.Random(1).shuffle(edges)

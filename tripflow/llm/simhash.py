@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from itertools import accumulate, combinations
+from collections.abc import Callable, Iterator
+from functools import reduce
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +18,7 @@ from tripflow.llm.components import components, joined_apart
 SHINGLE_WORDS = 3
 MAX_BITS = 2
 _SEED = 42
+GROUP_WORDS = 1 << 14  # of a group of evenly spread fingerprints
 _FANOUT = 16
 _QUERIES = 2048
 _ROWS = 1 << 16
@@ -116,6 +118,7 @@ class GrayIndex:
             own.append(bits_shared & ~above)
         self.own = own
         self.root = group  # of each node of the top level, in order
+        self.given_up = [0] * len(pattern)  # nodes of each level that searches did not open
 
     def links(self, queries: np.ndarray, groups: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
         """Query number and fingerprint number of every pair within ``limit`` bits."""
@@ -124,6 +127,7 @@ class GrayIndex:
         node = groups.copy()  # the top level has one root per group
         apart = np.bitwise_count((queries ^ self.pattern[top][node]) & self.own[top][node]).astype(np.int64)
         near = apart <= limit
+        self.given_up[top] += int((~near).sum())
         query, node, apart = query[near], node[near], apart[near]
         for level in range(top, 0, -1):
             count = self.count[level - 1][node]
@@ -133,6 +137,7 @@ class GrayIndex:
             node = np.arange(len(query)) - np.repeat(opens, count) + np.repeat(self.first[level - 1][node], count)
             apart = apart + np.bitwise_count((queries[query] ^ self.pattern[level - 1][node]) & self.own[level - 1][node])
             near = apart <= limit
+            self.given_up[level - 1] += int((~near).sum())
             query, node, apart = query[near], node[near], apart[near]
         return query, node
 
@@ -161,46 +166,79 @@ def _local_roots(bits: np.ndarray, group_starts: np.ndarray, limit: int) -> np.n
         label = jumped
 
 
-def _band_masks(limit: int, bands: int) -> list[int]:
-    """Masks of the bits outside every choice of ``limit`` bands.
+def _band_masks(limit: int, free: int, width: int) -> list[int]:
+    """``limit + 1`` masks of ``width`` of the free bits each; one of none if there is no width.
 
-    Two words within ``limit`` bits differ in at most so many bands, so some mask hides
-    all their differences.
+    Words that differ in up to ``limit`` bits, free ones all of them, share the bits of one of
+    the masks, since each difference lies in one of them at most.
     """
-    edges = np.linspace(0, 64, bands + 1).astype(int)
-    parts = [((1 << int(b)) - 1) ^ ((1 << int(a)) - 1) for a, b in zip(edges[:-1], edges[1:], strict=True)]
-    whole = (1 << 64) - 1
-    return [whole & ~sum(parts[i] for i in chosen) for chosen in combinations(range(bands), limit)]
+    bits = [bit for bit in range(63, -1, -1) if free >> bit & 1]
+    bands = [bits[i * width : (i + 1) * width] for i in range(limit + 1)] if width else [[]]
+    return [sum(1 << bit for bit in band) for band in bands]
 
 
 def _signed(mask: int) -> int:
     return mask - (1 << 64) if mask >> 63 else mask
 
 
-def links(prints: DataFrame, limit: int = MAX_BITS, bands: int | None = None) -> DataFrame:
+def _finer(limit: int, least_bits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """For each large group the masks by which it is dealt again: thirds of the bits its words differ in."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for mask, shared, varying in zip(*(batch.column(c).to_pylist() for c in ("mask", "shared", "varying")), strict=True):
+                free = varying & (1 << 64) - 1
+                if free.bit_count() > least_bits:  # else distinctness alone bounds the group
+                    width = free.bit_count() // (limit + 1)
+                    rows += [(mask, shared, _signed(mask & (1 << 64) - 1 | m)) for m in _band_masks(limit, free, width)]
+            columns = [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)] or [pa.array([], pa.int64())] * 3
+            yield pa.RecordBatch.from_arrays(columns, ["mask", "shared", "finer"])
+
+    return run
+
+
+def _groups(words: DataFrame, limit: int, group_words: int) -> list[DataFrame]:
+    """The words (``print``) dealt to groups by the bits that ``mask`` keeps (``shared``).
+
+    The masks keep so few bits that evenly spread words form groups of about ``group_words``.
+    A group that is counted to be eight times as large is dealt again by a third of the bits
+    in which its words differ, until these alone bound it. Any two words within ``limit`` bits
+    meet in some group.
+    """
+    shared = F.col("print").bitwiseAND(F.col("mask")).alias("shared")
+    width = min(max((words.count() // group_words).bit_length() - 1, 0), 64 // (limit + 1))
+    masks = [F.lit(_signed(m)).cast("bigint") for m in _band_masks(limit, (1 << 64) - 1, width)]
+    rows = words.select(F.explode(F.array(*masks)).alias("mask"), "print").select("mask", shared, "print")
+    most = 8 * group_words
+    found = []
+    while True:
+        varying = F.bit_or("print").bitwiseXOR(F.bit_and("print")).alias("varying")
+        sizes = rows.groupBy("mask", "shared").agg(F.count("*").alias("n"), varying)
+        large = sizes.filter(F.col("n") > most)
+        large = large.mapInArrow(_finer(limit, most.bit_length() - 1), "mask bigint, shared bigint, finer bigint")
+        large = stored(large, "large-groups")
+        if large.isEmpty():
+            return [*found, rows]
+        found.append(rows.join(large, ["mask", "shared"], "left_anti"))
+        again = rows.join(large, ["mask", "shared"]).select(F.col("finer").alias("mask"), "print").distinct()
+        rows = stored(again.select("mask", shared, "print"), "dealt-again")
+
+
+def links(prints: DataFrame, limit: int = MAX_BITS, group_words: int = GROUP_WORDS) -> DataFrame:
     """Edges ``u``, ``v`` that span all links of distinct fingerprints (column ``print``).
 
-    Fingerprints are dealt by each mask's bits, 15 times for two bits in six bands. A
-    group shares all bits but those of two bands, so distinctness alone bounds it to
-    2^22 words (34 MB), whatever the data; many copies of a text are one fingerprint. Each
-    group is searched through a Gray-order index, and gives one edge per linked
-    fingerprint rather than every pair.
+    Fingerprints are dealt to groups by few of their bits, three times for two bits, so that
+    a group is large enough for the Gray-order index to do the search: sorted by Gray rank,
+    with upper nodes of shared bit patterns, most of which are given up unopened. No group is
+    unbounded, whatever the data (``_groups``); many copies of a text are one fingerprint. A
+    group gives one edge per linked fingerprint rather than every pair.
     """
-    masks = [_signed(m) for m in _band_masks(limit, bands or limit + 4)]
-    keys = F.explode(F.array(*[
-        F.struct(F.lit(i).alias("choice"), F.col("print").bitwiseAND(F.lit(m)).alias("shared"))
-        for i, m in enumerate(masks)
-    ]))
-    dealt = (
-        prints.select(keys.alias("key"), "print")
-        .select("key.choice", "key.shared", "print")
-        .repartition("choice", "shared")
-        .sortWithinPartitions("choice", "shared")
-    )
+    words = stored(prints.select("print"), "words")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in key_runs(batches, ["choice", "shared"]):
-            starts = run_starts([rows.column("choice"), rows.column("shared")])
+        for rows in key_runs(batches, ["mask", "shared"]):
+            starts = run_starts([rows.column("mask"), rows.column("shared")])
             sizes = np.diff(np.append(starts, rows.num_rows))
             bits = rows.column("print").to_numpy().astype(np.int64).view(np.uint64)
             paired = np.repeat(sizes > 1, sizes)
@@ -216,7 +254,11 @@ def links(prints: DataFrame, limit: int = MAX_BITS, bands: int | None = None) ->
             found = [pa.array(bits[linked].view(np.int64)), pa.array(bits[root[linked]].view(np.int64))]
             yield pa.RecordBatch.from_arrays(found, ["u", "v"])
 
-    return dealt.mapInArrow(search, "u bigint, v bigint")
+    edges = []
+    for rows in _groups(words, limit, group_words):
+        dealt = rows.select("mask", "shared", "print").repartition("mask", "shared").sortWithinPartitions("mask", "shared")
+        edges.append(dealt.mapInArrow(search, "u bigint, v bigint"))
+    return reduce(DataFrame.unionByName, edges)
 
 
 def hex_print(column: str) -> Column:
@@ -251,16 +293,6 @@ def near_duplicates(
     return found.select("doc_id", hex_print("print").alias("fingerprint"), "component_id")
 
 
-def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows whose id is the smallest of their near-duplicate component, all columns.
-
-    Rows without an id cannot be told apart and are all kept.
-    """
-    found = near_duplicates(docs, id_col, text_col)
-    first = found.filter("doc_id IS NULL OR doc_id = component_id").select("doc_id").distinct()
-    return docs.join(first, docs[id_col].eqNullSafe(first["doc_id"]), "left_semi")
-
-
 def keep_one(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -274,7 +306,11 @@ def keep_one(
     hash decides, and among rows repeated in full their place. Rows are stored with a
     number first, so that the choice names one row whatever ids they carry. The best row
     of each fingerprint and then of each component is found in the map task first, so a
-    hot id, or many rows without one, reach no task together.
+    hot id, or many rows without one, reach no task together. Only the numbers of the rows
+    that go are then joined with the rows.
+
+    Null and empty texts have fingerprint zero and are one component with those within
+    ``limit`` bits of it; an empty table stays empty; column names may be any.
     """
     number = "_number"
     while number in docs.columns:
@@ -293,5 +329,6 @@ def keep_one(
     member = components(links(rows.select("print").distinct(), limit)).withColumnRenamed("node", "print")
     root = F.coalesce("root", "print").alias("root")
     first = best.join(member, "print", "left").select(root, "best").groupBy("root").agg(F.min("best").alias("best"))
-    kept = first.select(F.col("best.number").alias(number))
-    return numbered.join(kept, number, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    kept = stored(first.select(F.col("best.number").alias("number")), "kept")
+    gone = stored(rows.select("number").join(kept, "number", "left_anti"), "gone").withColumnRenamed("number", number)
+    return numbered.join(gone, number, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
