@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tripflow.llm import language
+from tripflow.llm.common import read
 
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
@@ -36,6 +37,31 @@ def test_gibberish_goes_and_short_texts_stay_with_any_number_of_languages(spark,
     assert kept == set(range(len(clean)))
 
 
+@pytest.mark.parametrize("size", [100, 500, 2000])
+def test_gibberish_goes_however_rich_the_training_texts(spark, size):
+    """Texts over a vocabulary of 20,000 words, and copies of them with other letters as further languages."""
+    rng = random.Random(size)
+    syllables = [a + b + c for a in "bcdfghlmnprst" for b in "aeiou" for c in ("", "", "n", "r", "s", "t")]
+    words = ["".join(rng.choices(syllables, k=rng.randint(1, 4))) for _ in range(20_000)]
+    weights = [1 / (n + 10) for n in range(20_000)]
+    turned = lambda text, by: text.translate(str.maketrans(LETTERS, LETTERS[by:] + LETTERS[:by]))
+    text = lambda: " ".join(rng.choices(words, weights, k=size))
+    rows = [(4 * n + by, turned(t, 5 * by), f"l{by}") for n, t in enumerate(text() for _ in range(200)) for by in range(4)]
+    model = language.fit(spark.createDataFrame(rows, "doc_id int, text string, lang string"))
+    junk = ["".join(rng.choices(LETTERS + "    ", k=k)) for k in (200, 1000) for _ in range(100)]
+    clean = [turned(" ".join(rng.choices(words, weights, k=rng.randint(5, 200))), 5 * (n % 4)) for n in range(200)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(junk + clean)], "doc_id int, text string")
+    kept = {r.doc_id for r in language.keep_identified(docs, model, min_familiar=pipeline.MIN_FAMILIAR).collect()}
+    assert len(kept & set(range(200))) <= 0.05 * 200
+    assert kept >= set(range(200, 400))
+
+
+def test_clean_held_out_rows_stay(spark):
+    docs = read(spark, "/root/testdata/sf0.1", "documents")
+    held = docs.filter(language.held_out(F.col("doc_id")) & F.col("text").rlike("\\p{L}"))
+    assert language.keep_identified(held, language.fit(docs), min_familiar=pipeline.MIN_FAMILIAR).count() == held.count()
+
+
 def test_a_language_of_few_texts_keeps_them(spark):
     words = vocabularies(3)
     rng = random.Random(2)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,16 +22,20 @@ LEAST_LANDMARKS = 2  # of each language, however many there are
 LEAST_ROWS = 16  # to train each language on, however many there are
 _DENSE = 256  # landmarks up to which a table of all n-grams by all landmarks is held
 RIDGE = 1e-3
-FAMILIAR_ROWS = 200  # texts of a language whose longer n-grams count as familiar
-_PRIOR = 2  # familiar n-grams every text is given, so that too few of them prove nothing
+FAMILIAR_ROWS = 200  # texts of a language that tell how its words are spelt
+_PRIOR = 3.0  # evidence, in nats, that every text is given, so that a few odd letters prove nothing
+_SURPRISE = 2.0  # nats that one letter may cost at most, as one never met before does
+_SMOOTH = 2.0  # occurrences by which a longer context trusts the next shorter one
+_PAIRS, _TRIPLES = 1 << 16, 1 << 18  # buckets of two and three letters
+_MODELS = 64  # spelling tables a task holds at a time
 _STRETCH = 1 << 20
 _ROWS = 32
 _BLOCK = 8_192
 _WORD = re.compile(r"[^\W\d_]+")
 
 
-def grams(text: str, seen: np.ndarray, shortest: int = 1) -> np.ndarray:
-    """Buckets of all n-grams of the whole lower-cased text from ``shortest`` up, each once, rising.
+def grams(text: str, seen: np.ndarray) -> np.ndarray:
+    """Buckets of all n-grams of the whole lower-cased text, each once, rising.
 
     ``seen`` is a cleared array of ``BUCKETS`` flags to work in, and is cleared again. Texts go
     through in stretches that overlap by an n-gram, so memory does not grow with them.
@@ -45,25 +49,62 @@ def grams(text: str, seen: np.ndarray, shortest: int = 1) -> np.ndarray:
             if len(part) <= n:
                 break
             rolled = rolled[: len(part) - n] * np.uint32(0x01000193) + part[n:] + np.uint32(n + 1)
-            if n + 1 >= shortest:
-                seen[(rolled * np.uint32(0x9E3779B1)) >> shift] = True
+            seen[(rolled * np.uint32(0x9E3779B1)) >> shift] = True
     found = np.flatnonzero(seen)
     seen[found] = False
     return found
 
 
-def spelling(text: str, seen: np.ndarray) -> np.ndarray:
-    """Buckets of the 3- and 4-grams of the text's words, all other characters being one space.
+def _letters(text: str) -> np.ndarray:
+    """Code points of the lower-cased words with one space around each, all other characters being left out."""
+    return np.frombuffer(f" {' '.join(_WORD.findall(text.lower()))} ".encode("utf-32-le"), dtype="<u4")
+
+
+def _letter_grams(points: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Buckets of every letter, of every two and of every three in a row."""
+    two = points[:-1] * np.uint32(0x01000193) + points[1:]
+    three = two[:-1] * np.uint32(0x01000193) + points[2:]
+    mixed = np.uint32(0x9E3779B1)
+    return points & np.uint32(_PAIRS - 1), (two * mixed) >> np.uint32(16), (three * mixed) >> np.uint32(14)
+
+
+_SIZES = (_PAIRS, _PAIRS, _TRIPLES)
 
-    Shorter n-grams are alike in every language of a script and in random letters.
-    """
-    return grams(" ".join(_WORD.findall(text)), seen, LONGEST - 1)
 
+class Spelling:
+    """How often letters follow each other in a language, from counts per bucket of one, two and three."""
 
-def familiarity(found: np.ndarray, known: np.ndarray) -> float:
-    """Share of a text's ``spelling`` among the packed flags ``known``; near 1 for very short texts."""
-    held = np.count_nonzero(known[found >> 3] >> (7 - (found & 7)).astype(np.uint8) & 1)
-    return (held + _PRIOR) / (len(found) + _PRIOR)
+    def __init__(self, counts: list[tuple[np.ndarray, np.ndarray]]) -> None:
+        tables = []
+        for size, (at, times) in zip(_SIZES, counts, strict=True):
+            table = np.zeros(size, dtype=np.float32)
+            table[at] = times
+            tables.append(table)
+        one, self.two, self.three = tables
+        self.after = one  # how often a letter is followed
+        self.alone = (one + 0.5) / (one.sum() + 0.5 * (np.count_nonzero(one) + 1))
+
+    def evidence(self, text: str) -> tuple[float, int]:
+        """Nats by which the language explains the text's letters better than their mere frequency does, and letters.
+
+        Each letter's chance is that after the two before it, smoothed by that after one and
+        that of the letter alone; unlike shuffled letters, words in the language gain by it.
+        How rich the training texts are does not matter: what is rare there stays unlikely.
+        """
+        points, total = _letters(text), 0.0
+        for at in range(0, max(len(points) - 2, 0), _STRETCH):
+            one, two, three = _letter_grams(points[at : at + _STRETCH + 2])
+            alone = self.alone[one[2:]]
+            after_one = (self.two[two[1:]] + _SMOOTH * alone) / (self.after[one[1:-1]] + _SMOOTH)
+            after_two = (self.three[three] + _SMOOTH * after_one) / (self.two[two[:-1]] + _SMOOTH)
+            gain = np.where(self.after[one[2:]] > 0, np.log(after_two / alone), -_SURPRISE)
+            total += float(np.maximum(gain, -_SURPRISE).sum(dtype=np.float64))
+        return total, max(len(points) - 2, 0)
+
+    def familiarity(self, text: str) -> float:
+        """Evidence a letter; high for very short texts."""
+        total, letters = self.evidence(text)
+        return (total + _PRIOR) / max(letters, 1)
 
 
 class Kernel:
@@ -117,8 +158,8 @@ class Model:
     languages: list[str]
     landmarks: list[np.ndarray]
     weights: np.ndarray  # landmarks and a constant by languages
-    known: np.ndarray  # per language, packed flags of the spellings of its training texts
-    usual: np.ndarray  # per language, the median familiarity of one half of them with the other
+    letters: list[list[tuple[np.ndarray, np.ndarray]]]  # per language, counts of its letters, twos and threes
+    usual: np.ndarray  # per language, the median evidence a letter of one half of its texts under the other
 
     def floors(self, least: float) -> np.ndarray:
         """Least familiarity a text of each language must have.
@@ -126,7 +167,20 @@ class Model:
         Half the usual one if that is less than ``least``, as where a language has few
         texts; a language of a single text rejects nothing. No other language counts.
         """
-        return np.minimum(least, self.usual / 2)
+        return np.where(self.usual > 0, np.minimum(least, self.usual / 2), -np.inf)
+
+    def spellings(self) -> Callable[[int], Spelling]:
+        """The spelling of a language by its number; the latest few are held."""
+        held: dict[int, Spelling] = {}
+
+        def find(language: int) -> Spelling:
+            found = held.pop(language, None) or Spelling(self.letters[language])
+            held[language] = found
+            if len(held) > _MODELS:
+                del held[next(iter(held))]
+            return found
+
+        return find
 
     def scores(self, values: np.ndarray) -> np.ndarray:
         return np.column_stack([values, np.ones(len(values))]) @ self.weights
@@ -167,7 +221,7 @@ def _dealt(rows: DataFrame, each: int) -> DataFrame:
     """
     counts = rows.groupBy("lang").agg(F.count("*").alias("count"))
     thinned = counts.select("lang", F.greatest(F.lit(1), F.floor(F.col("count") / (2 * each))).alias("one_in"))
-    chosen = rows.join(F.broadcast(thinned), "lang").filter(F.pmod("deal", "one_in") == 0)
+    chosen = rows.join(thinned, "lang").filter(F.pmod("deal", "one_in") == 0)
     place = F.row_number().over(Window.partitionBy("lang").orderBy("deal")).alias("place")
     return chosen.select("text", "lang", "deal", place).filter(F.col("place") <= each).drop("place")
 
@@ -240,44 +294,69 @@ def fit(
     return Model(languages, kernel_marks, weights, *_familiar(some.select("lang", "place", "text"), languages))
 
 
-def _familiar(sample: DataFrame, languages: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """``known`` and ``usual`` of a model; texts are halved by the parity of their place."""
+def _familiar(sample: DataFrame, languages: list[str]) -> tuple[list[list[tuple[np.ndarray, np.ndarray]]], np.ndarray]:
+    """``letters`` and ``usual`` of a model; texts are halved by the parity of their place."""
 
-    def spellings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(BUCKETS, dtype=bool)
-        sets: dict[tuple[str, int], np.ndarray] = {}
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[tuple[str, int, int], np.ndarray] = {}
         for batch in batches:
             for lang, place, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                own = sets.setdefault((lang, place % 2), np.zeros(BUCKETS // 8, dtype=np.uint8))
-                found = spelling(text, seen)
-                np.bitwise_or.at(own, found >> 3, np.uint8(128) >> (found & 7).astype(np.uint8))
-        for (lang, half), own in sets.items():
-            yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([half], pa.int32()), pa.array([own.tobytes()])], ["lang", "half", "own"])
+                points = _letters(text)
+                for at in range(0, max(len(points) - 2, 0), _STRETCH):
+                    for kind, found in enumerate(_letter_grams(points[at : at + _STRETCH + 2])):
+                        key = (lang, place % 2, kind)
+                        table = sums.setdefault(key, np.zeros(_SIZES[kind], dtype=np.int32))
+                        table += np.bincount(found[: _STRETCH], minlength=_SIZES[kind]).astype(np.int32)
+            if len(sums) > 3 * _MODELS:
+                yield from packed(sums)
+        yield from packed(sums)
+
+    def packed(sums: dict[tuple[str, int, int], np.ndarray]) -> Iterator[pa.RecordBatch]:
+        for (lang, half, kind), table in sums.items():
+            at = np.flatnonzero(table).astype(np.int32)
+            row = [[lang], [half], [kind], [at.tobytes()], [table[at].tobytes()]]
+            kinds = [pa.string(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, kinds, strict=True)], ["lang", "half", "kind", "at", "times"])
+        sums.clear()
 
     number = {lang: i for i, lang in enumerate(languages)}
-    halves = np.zeros((len(languages), 2, BUCKETS // 8), dtype=np.uint8)
-    for row in sample.mapInArrow(spellings, "lang string, half int, own binary").toLocalIterator():
-        halves[number[row.lang], row.half] |= np.frombuffer(row.own, dtype=np.uint8)
+    halves: list = [[[(np.zeros(0, np.int32), np.zeros(0, np.int32))] * 3 for _ in range(2)] for _ in languages]
+    for row in sample.mapInArrow(count, "lang string, half int, kind int, at binary, times binary").toLocalIterator():
+        own = halves[number[row.lang]][row.half]
+        own[row.kind] = _added(own[row.kind], (np.frombuffer(row.at, np.int32), np.frombuffer(row.times, np.int32)))
 
     def compare():
-        seen = np.zeros(BUCKETS, dtype=bool)
+        held: dict[tuple[str, int], Spelling] = {}
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            rows = list(zip(*[c.to_pylist() for c in batch.columns], strict=True))
-            shares = [familiarity(spelling(text, seen), halves[number[lang], 1 - place % 2]) for lang, place, text in rows]
+            shares = []
+            for lang, place, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                other = (lang, 1 - place % 2)
+                if other not in held:
+                    if len(held) >= _MODELS:
+                        held.clear()
+                    held[other] = Spelling(halves[number[lang]][other[1]])
+                total, letters = held[other].evidence(text)
+                shares.append(total / max(letters, 1))
             return pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(shares, pa.float64())], ["lang", "share"])
 
         return step
 
-    met = [halves[i].any(axis=1).all() for i in range(len(languages))]
     usual = np.zeros(len(languages))
     shares: dict[str, list[float]] = {}
     for row in map_batches(sample, "lang string, share double", compare).collect():
         shares.setdefault(row.lang, []).append(row.share)
     for lang, found in shares.items():
-        if met[number[lang]]:
+        if all(len(half[0][0]) for half in halves[number[lang]]):
             usual[number[lang]] = np.median(found)
-    return halves[:, 0] | halves[:, 1], usual
+    return [[_added(a, b) for a, b in zip(*both, strict=True)] for both in halves], usual
+
+
+def _added(one: tuple[np.ndarray, np.ndarray], two: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Counts (buckets and times) of two samples together."""
+    at, place = np.unique(np.concatenate([one[0], two[0]]), return_inverse=True)
+    times = np.bincount(place, weights=np.concatenate([one[1], two[1]]), minlength=len(at))
+    return at.astype(np.int32), times.astype(np.int32)
 
 
 def has_letter(text: str | None) -> bool:
@@ -320,29 +399,32 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
 
 
 def keep_identified(
-    docs: DataFrame, model: Model | None, text_col: str = "text", min_familiar: float = 0.0
+    docs: DataFrame, model: Model | None, text_col: str = "text", min_familiar: float | None = None
 ) -> DataFrame:
     """Rows in a language the model knows, all columns; ``und`` and unfamiliar texts go.
 
-    A text is unfamiliar if its ``familiarity`` with the training texts of the language
-    predicted for it is below ``min_familiar`` (``Model.floors`` says when less will do).
-    The score would not tell: scores of all languages sum to 1 whatever the text, so the
-    best is never below one over their number.
+    A text is unfamiliar if its ``Spelling.familiarity`` in the language predicted for it is
+    below ``min_familiar``, if that is given (``Model.floors`` says when less will do). The score would not tell:
+    scores of all languages sum to 1 whatever the text, so the best is never below one over
+    their number.
+
+    Null and empty texts and those without a letter go; without a model all others stay. Ids
+    are not looked at, rows repeated in full share their fate, and an empty table stays empty.
     """
     place = docs.columns.index(text_col)
 
     def make():
         kernel = Kernel(model.landmarks) if model else None
-        seen = np.zeros(BUCKETS, dtype=bool)
+        spelt = model.spellings() if model else None
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             texts = batch.column(place).to_pylist()
             keep = np.array([has_letter(t) for t in texts], dtype=bool)
             at = np.flatnonzero(keep)
-            if model and min_familiar > 0 and len(at):
+            if model and min_familiar is not None and len(at):
                 floors = model.floors(min_familiar)
                 best = model.scores(kernel.rows([texts[i] for i in at])).argmax(axis=1)
-                keep[at] = [familiarity(spelling(texts[i], seen), model.known[b]) >= floors[b] for i, b in zip(at, best, strict=True)]
+                keep[at] = [spelt(int(b)).familiarity(texts[i]) >= floors[b] for i, b in zip(at, best, strict=True)]
             return batch.filter(pa.array(keep))
 
         return step
