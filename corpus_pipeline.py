@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from tripflow.llm import language, lines, packing, secrets, simhash
 from tripflow.llm.common import read, stored
 
-#: Share of a text's 3- and 4-grams its language's training texts must hold; the README says how it was set.
-MIN_FAMILIAR = 0.4
+#: Nats a letter by which its language must explain a text better than letter frequencies do; the README says how it was set.
+MIN_FAMILIAR = 0.0
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
@@ -29,27 +29,34 @@ def _counted(docs: DataFrame) -> DataFrame:
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops texts without a letter and texts like none of the learned languages."""
+    """Drops texts without a letter, null and empty ones among them, and texts spelt like none of the learned languages.
+
+    Without a labelled row that may be learned from, all texts with a letter stay; ids and
+    repeated rows do not matter.
+    """
     return language.keep_identified(docs, language.fit(docs), min_familiar=MIN_FAMILIAR)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes multi-line chunks seen before out of the texts."""
+    """Takes runs of two or more lines seen before out of the texts; no row goes, null texts stay null."""
     return _counted(lines.dedup_lines(docs))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each near-duplicate component, that of the smallest id."""
+    """Keeps one document of each near-duplicate component, that of the smallest id, nulls last.
+
+    Null and empty texts are alike, so one of them stays.
+    """
     return simhash.keep_one(docs)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replaces secrets, nested encodings included."""
+    """Replaces secrets, nested encodings included; no row goes, null texts stay null."""
     return _counted(secrets.redact_secrets(docs))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Places every piece of every document in a sequence of 1024 tokens."""
+    """Places every piece of every document in a sequence of 1024 tokens; a null text counts as empty."""
     return packing.pack(docs, TOKENIZER)
 
 
@@ -66,6 +73,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages in turn; an empty table gives no pieces, and columns beyond those of ``documents`` go along."""
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name)
