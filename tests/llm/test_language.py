@@ -90,6 +90,23 @@ def test_every_one_of_many_languages_is_learned(spark):
     assert set(found.values()) == set(model.languages)
 
 
+def test_thousands_of_labels_are_fitted_in_bounded_memory(spark):
+    rng = random.Random(5)
+    syllables = [a + b for a in "bcdfghjklmnpqrstvwxz" for b in "aeiouy"]
+    rows = []
+    for n in range(3000):
+        own = rng.sample(syllables, 8)
+        rows += [(16 * n + i, " ".join("".join(rng.choices(own, k=3)) for _ in range(12)), f"l{n:04}") for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, lang string")
+    model = language.fit(docs)
+    assert len(model.languages) > 2900 and len(model.landmarks) == language.MOST_LANDMARKS
+    assert model.weights.shape == (language.MOST_LANDMARKS + 1, len(model.languages))
+    some = docs.filter("doc_id % 320 < 6")
+    found = {r.doc_id: r.lang_pred for r in language.predict(some, model).collect()}
+    right = sum(found[r.doc_id] == r.lang for r in some.collect())
+    assert right > 0.8 * len(found)
+
+
 def test_kernel_of_many_landmarks_is_that_of_few():
     rng = np.random.default_rng(1)
     sets = [np.unique(rng.integers(0, 5_000, 300)).astype(np.int32) for _ in range(40)] + [np.array([], dtype=np.int32)]

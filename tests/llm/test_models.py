@@ -49,7 +49,7 @@ def test_regression_with_all_landmarks_is_kernel_ridge():
     points = rng.normal(size=(30, 40))
     kernel = points @ points.T
     labels = rng.integers(0, 3, 30)
-    weights = language.solve(kernel, kernel, labels, 3, 1e-9)
+    weights = language.solve(kernel, [(kernel[:17], labels[:17]), (kernel[17:], labels[17:])], np.bincount(labels), 1e-9)
     assert ((np.column_stack([kernel, np.ones(30)]) @ weights).argmax(axis=1) == labels).all()
 
 

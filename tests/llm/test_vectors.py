@@ -6,6 +6,7 @@ import math
 import numpy as np
 import pytest
 
+from tripflow.llm import multi_index
 from tripflow.llm.ball_tree import BallTree, products, top_products
 from tripflow.llm.common import read
 from tripflow.llm.multi_index import MultiIndex, nearest
@@ -78,6 +79,31 @@ def test_recall(table, rows):
     assert all(len(got[q]) == 10 for q in wanted)
 
 
+@pytest.mark.parametrize("size", [2000, 10_000])
+def test_few_distances_are_computed(size):
+    """Recall and distances a query, over even vectors on a sphere, the hardest case there is."""
+    rng = np.random.default_rng(size)
+    points = rng.normal(size=(size, 64))
+    points /= np.linalg.norm(points, axis=1)[:, None]
+    index = MultiIndex(points, multi_index.centroids_for(size))
+    cells = index.cell(points)
+    counts = np.bincount(cells, minlength=index.cells)
+    shards = [multi_index.Shard(part, points[part], cells[part]) for part in np.array_split(np.argsort(cells, kind="stable"), 7)]
+    hits, queries = 0, range(0, size, size // 40)
+    wanted = multi_index.visited_for(size, multi_index.VISITED_SHARE)
+    for q in queries:
+        asked = np.array(index.visit(points[q], counts, wanted))
+        found = [shard.nearest(points[q], asked, q, 10) for shard in shards]
+        ids, apart = (np.concatenate(x) for x in zip(*found, strict=True))
+        apart_of_all = np.linalg.norm(points - points[q], axis=1)
+        apart_of_all[q] = np.inf
+        np.testing.assert_allclose(apart, apart_of_all[ids])
+        hits += len(set(ids[np.argsort(apart)[:10]].tolist()) & set(np.argsort(apart_of_all)[:10].tolist()))
+    measured = sum(shard.measured for shard in shards) / len(queries) / size
+    assert hits >= 9 * len(queries)
+    assert measured < (0.31 if size == 2000 else 0.25)
+
+
 def test_cells_come_in_order_of_summed_distance():
     rng = np.random.default_rng(1)
     points = rng.normal(size=(400, 6))

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +19,9 @@ LONGEST = 4  # n-grams of 1 to so many characters
 BUCKETS = 1 << 18
 LANDMARKS = 96
 TRAIN_ROWS = 6_000
-LEAST_LANDMARKS = 2  # of each language, however many there are
+LEAST_LANDMARKS = 2  # of each language, until there are MOST_LANDMARKS
+MOST_LANDMARKS = 1024  # in all; with more languages than that, not each has one
+COUNTED_LANGUAGES = 10_000  # up to which their counts are broadcast, half a megabyte
 LEAST_ROWS = 16  # to train each language on, however many there are
 _DENSE = 256  # landmarks up to which a table of all n-grams by all landmarks is held
 RIDGE = 1e-3
@@ -186,26 +189,32 @@ class Model:
         return np.column_stack([values, np.ones(len(values))]) @ self.weights
 
 
-def solve(within: np.ndarray, values: np.ndarray, labels: np.ndarray, classes: int, ridge: float) -> np.ndarray:
+def solve(
+    within: np.ndarray, blocks: Iterable[tuple[np.ndarray, np.ndarray]], counts: np.ndarray, ridge: float
+) -> np.ndarray:
     """One-versus-rest kernel ridge regression in the Nyström space of the landmarks.
 
-    ``within`` is the kernel among landmarks, ``values`` that of training texts against
-    them. Targets are 1 and -1, weighted so that every language counts alike.
+    ``within`` is the kernel among landmarks; ``blocks`` give that of training texts against
+    them, with the numbers of their languages, of which ``counts`` says how many there are. Targets
+    are 1 and -1, weighted so that every language counts alike. What is held is
+    landmarks times landmarks and landmarks times languages.
     """
     spectrum, vectors = np.linalg.eigh(within)
     kept = spectrum > 1e-8 * max(spectrum.max(initial=0), 1e-300)
     onto = vectors[:, kept] / np.sqrt(spectrum[kept])
-    weight = 1.0 / np.bincount(labels, minlength=classes)[labels]
-    gram, sums = 0.0, 0.0
-    for at in range(0, len(values), _BLOCK):
-        part = slice(at, at + _BLOCK)
-        features = np.column_stack([values[part] @ onto, np.ones(len(values[part]))])
-        targets = np.where(labels[part, None] == np.arange(classes), 1.0, -1.0)
-        gram = gram + features.T @ (features * weight[part, None])
-        sums = sums + features.T @ (targets * weight[part, None])
-    penalty = ridge * np.eye(len(gram))
+    size = onto.shape[1] + 1
+    gram, own, every = np.zeros((size, size)), np.zeros((size, len(counts))), np.zeros(size)
+    for values, labels in blocks:
+        features = np.column_stack([values @ onto, np.ones(len(values))])
+        weighted = features / counts[labels][:, None]
+        gram += features.T @ weighted
+        every += weighted.sum(axis=0)
+        order = np.argsort(labels, kind="stable")
+        opens = np.flatnonzero(np.diff(labels[order], prepend=-1))
+        own[:, labels[order][opens]] += np.add.reduceat(weighted[order], opens, axis=0).T
+    penalty = ridge * np.eye(size)
     penalty[-1, -1] = 1e-9
-    inner = np.linalg.solve(gram + penalty, sums)
+    inner = np.linalg.solve(gram + penalty, 2 * own - every[:, None])
     return np.vstack([onto @ inner[:-1], inner[-1:]])
 
 
@@ -213,14 +222,15 @@ def held_out(id_col: Column) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string")) % 3 == 1, F.lit(False))
 
 
-def _dealt(rows: DataFrame, each: int) -> DataFrame:
+def _dealt(rows: DataFrame, each: int, languages: int) -> DataFrame:
     """Up to ``each`` rows of every language, as ``even_sample`` takes them.
 
     Counts are joined to the rows instead of standing in the plan, so there may be many
-    languages.
+    languages; up to ``COUNTED_LANGUAGES`` of them are broadcast, which spares the texts a shuffle.
     """
     counts = rows.groupBy("lang").agg(F.count("*").alias("count"))
     thinned = counts.select("lang", F.greatest(F.lit(1), F.floor(F.col("count") / (2 * each))).alias("one_in"))
+    thinned = F.broadcast(thinned) if languages <= COUNTED_LANGUAGES else thinned
     chosen = rows.join(thinned, "lang").filter(F.pmod("deal", "one_in") == 0)
     place = F.row_number().over(Window.partitionBy("lang").orderBy("deal")).alias("place")
     return chosen.select("text", "lang", "deal", place).filter(F.col("place") <= each).drop("place")
@@ -238,9 +248,9 @@ def fit(
     """Model from about ``train_rows`` labelled rows that are not held out, evenly by language.
 
     None if there are none. Every language is learned: of each, at least ``LEAST_ROWS`` rows
-    and ``LEAST_LANDMARKS`` landmarks are taken if it has them, so both totals grow with the
-    number of languages once their shares are less. Landmarks are whole texts; only their
-    n-gram sets, the training rows' kernel values and a language's known n-grams reach the
+    are taken if it has them, and ``LEAST_LANDMARKS`` landmarks as long as these are not
+    more than ``MOST_LANDMARKS``. Landmarks are whole texts; only their n-gram sets, the training
+    rows' kernel values, block by block, and the counts of a language's letters reach the
     driver, whatever the number of rows.
     """
     rows = docs.select(
@@ -252,7 +262,7 @@ def fit(
     languages = [r.lang for r in rows.select("lang").distinct().collect()]
     if not languages:
         return None
-    chosen = _dealt(rows, max(LEAST_ROWS, train_rows // len(languages)))
+    chosen = _dealt(rows, max(LEAST_ROWS, train_rows // len(languages)), len(languages))
     sample = stored(chosen.filter("text <> ''").coalesce(SAMPLE_FILES), "language-sample")
     order = Window.partitionBy("lang").orderBy("deal", "text")
 
@@ -266,7 +276,8 @@ def fit(
         return step
 
     each = max(LEAST_LANDMARKS, landmarks // len(languages))
-    first = sample.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= each).select("text")
+    first = sample.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= each)
+    first = first.orderBy("place", "deal", "text").limit(max(landmarks, MOST_LANDMARKS)).select("text")
     marks = map_batches(first, "grams array<int>", presence).collect()
     if not marks:
         return None
@@ -283,13 +294,19 @@ def fit(
 
         return step
 
-    found = map_batches(sample.select("text", "lang", "deal"), "lang string, deal bigint, k binary", values).collect()
-    found.sort(key=lambda r: (r.deal, r.lang, r.k))
-    languages = sorted({r.lang for r in found})
+    counts = {r.lang: r["count"] for r in sample.groupBy("lang").count().collect()}
+    languages = sorted(counts)
     number = {lang: i for i, lang in enumerate(languages)}
-    labels = np.array([number[r.lang] for r in found])
+    found = map_batches(sample.select("text", "lang", "deal"), "lang string, deal bigint, k binary", values)
+    found = stored(found, "kernel-values").orderBy("deal", "lang", "k")
+
+    def blocks() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        rows = found.toLocalIterator()
+        while block := list(islice(rows, _BLOCK)):
+            yield np.array([np.frombuffer(r.k) for r in block]), np.array([number[r.lang] for r in block])
+
     within = Kernel(kernel_marks).of_grams(kernel_marks)
-    weights = solve(within, np.array([np.frombuffer(r.k) for r in found]), labels, len(languages), ridge)
+    weights = solve(within, blocks(), np.array([counts[lang] for lang in languages]), ridge)
     some = sample.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= FAMILIAR_ROWS)
     return Model(languages, kernel_marks, weights, *_familiar(some.select("lang", "place", "text"), languages))
 

@@ -28,11 +28,26 @@ from tripflow.llm.vectors import (
 
 NEIGHBOURS = 10
 QUERY_MODULUS = 100
-CENTROIDS = 64  # per half; their pairs are the index's cells
 TRAIN_ROWS = 16_384
-#: Share of all entries a query's cells hold together. The test vectors lie nearly evenly
-#: on a sphere, where less loses neighbours: 0.3 gives a recall of 0.87, 0.5 one of 0.96.
-VISITED_SHARE = 0.5
+#: Centroids per half; their pairs are the index's cells, which become finer as entries grow.
+CENTROIDS = (16, 1024)
+#: A query's cells hold together so many entries at least, and this share of the first 2,000;
+#: of more entries the share falls with their eighth root, as finer cells lose fewer neighbours.
+LEAST_VISITED = 512
+VISITED_SHARE = 0.3
+SHARED_ROWS = 2_000
+
+
+def centroids_for(entries: int) -> int:
+    """Eight times the root of the entries, within ``CENTROIDS``."""
+    return min(max(round(8 * entries**0.5), CENTROIDS[0]), CENTROIDS[1])
+
+
+def visited_for(entries: int, share: float) -> int:
+    """Entries that a query's cells are to hold."""
+    most = (CENTROIDS[1] / 8) ** 2  # from here on cells become no finer
+    fall = min(SHARED_ROWS / min(max(entries, 1), most), 1.0) ** 0.125 if share < 1 else 1.0
+    return min(entries, max(LEAST_VISITED, int(np.ceil(share * fall * entries))))
 
 
 class MultiIndex:
@@ -76,6 +91,34 @@ class MultiIndex:
         return found
 
 
+class Shard:
+    """Entries of a shard, cell by cell; ``measured`` counts the distances computed."""
+
+    def __init__(self, ids: np.ndarray, points: np.ndarray, cells: np.ndarray) -> None:
+        order = np.argsort(cells, kind="stable")
+        self.ids, self.points = ids[order], points[order]
+        self.squares = (self.points * self.points).sum(axis=1)
+        self.cells, self.opens = np.unique(cells[order], return_index=True)
+        self.ends = np.append(self.opens[1:], len(ids))
+        self.measured = 0
+
+    def nearest(self, point: np.ndarray, cells: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and distances of the ``k`` nearest entries of the asked cells, the query's own id left out."""
+        place = np.flatnonzero(np.isin(self.cells, cells))
+        spans = [np.arange(a, z) for a, z in zip(self.opens[place], self.ends[place], strict=True)]
+        at = np.concatenate(spans) if spans else np.zeros(0, dtype=np.int64)
+        at = at[self.ids[at] != own]
+        self.measured += len(at)
+        if len(at) > k:
+            # the product form may be off in its last digits, so near ties stay in
+            rough = self.squares[at] - 2 * (self.points[at] @ point) + float(point @ point)
+            limit = np.partition(rough, k - 1)[k - 1]
+            at = at[rough <= limit + 1e-9 * (abs(limit) + float(point @ point))]
+        apart = np.sqrt(((self.points[at] - point) ** 2).sum(axis=1))
+        order = np.lexsort((self.ids[at], apart))[:k]
+        return self.ids[at][order], apart[order]
+
+
 def _with_cell(rows: DataFrame, index: MultiIndex) -> DataFrame:
     def make():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -144,7 +187,7 @@ def nearest(
     vector_col: str = "embedding",
     k: int = NEIGHBOURS,
     modulus: int = QUERY_MODULUS,
-    centroids: int = CENTROIDS,
+    centroids: int | None = None,
     share: float = VISITED_SHARE,
     train_rows: int = TRAIN_ROWS,
 ) -> DataFrame:
@@ -152,42 +195,30 @@ def nearest(
 
     Queries are the rows whose id is divisible by ``modulus``; a query's own id is no
     candidate. Every row is indexed; only the centroids are fitted on a sample of at most
-    ``train_rows``. A query visits the cells nearest to it until they hold ``share`` of all
-    entries (1 makes the search exact), and those entries are ranked by their exact
-    distance, ties by the smaller id. Rows of null id and vectors null, empty, zero, not
+    ``train_rows``; there are ``centroids`` for each half, or as many as ``centroids_for`` says. A
+    query visits the cells nearest to it until they hold as many entries as ``visited_for``
+    makes of ``share`` (1 makes the search exact), and those entries alone are ranked by
+    their exact distance, ties by the smaller id. Rows of null id and vectors null, empty, zero, not
     finite or of an odd length take no part; rows repeated in full count once. With no valid
     row the result is empty, and other columns are not read.
     """
     rows = valid_vectors(vectors, id_col, vector_col, allow_zero=False)
     entries = stored_entries(rows, k, "index-rows")
-    index = MultiIndex(sample(entries, train_rows), centroids)
+    index = MultiIndex(sample(entries, train_rows), centroids or centroids_for(entries.count()))
     entries = stored(_with_cell(entries, index), "index-entries")
     counts = cell_counts(entries, index.cells)
     total = int(counts.sum())
     first, parts = _deal_cells(counts, shard_rows(total))
-    wanted = max(k + 1, int(np.ceil(share * total)))
+    wanted = max(k + 1, visited_for(total, share))
     probes = _probes(queries_of(rows, modulus), index, counts, first, parts, wanted)
 
-    def build(ids: np.ndarray, points: np.ndarray, cells: np.ndarray):
-        return ids, points, (points * points).sum(axis=1), cells
-
-    def search(held, batch: pa.RecordBatch, queries: np.ndarray):
-        ids, points, squares, cells = held
-        own = batch.column("id").to_numpy()
-        asked = batch.column("cells")
+    def search(held: Shard, batch: pa.RecordBatch, queries: np.ndarray):
+        own, asked = batch.column("id").to_numpy(), batch.column("cells")
         out = []
-        rough = squares - 2 * queries @ points.T + (queries * queries).sum(axis=1)[:, None]
         for q in range(len(queries)):
-            at = np.flatnonzero(np.isin(cells, asked[q].values.to_numpy()) & (ids != own[q]))
-            if len(at) > k:
-                # the product form may be off in its last digits, so near ties stay in
-                limit = np.partition(rough[q, at], k - 1)[k - 1]
-                slack = 1e-9 * (abs(limit) + float(queries[q] @ queries[q]))
-                at = at[rough[q, at] <= limit + slack]
-            apart = np.sqrt(((points[at] - queries[q]) ** 2).sum(axis=1))
-            order = np.lexsort((ids[at], apart))[:k]
-            out.append((np.full(len(order), q), ids[at][order], apart[order]))
+            ids, apart = held.nearest(queries[q], asked[q].values.to_numpy(), int(own[q]), k)
+            out.append((np.full(len(ids), q), ids, apart))
         return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
-    found = search_shards(in_shards(entries, first, parts), probes, build, search, "double")
+    found = search_shards(in_shards(entries, first, parts), probes, Shard, search, "double")
     return top_rows(found, k, F.col("score").asc()).select("query_id", "rank", "vec_id", "score")
