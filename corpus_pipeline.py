@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripflow.llm import language, lines, packing, secrets, simhash
-from tripflow.llm.common import read, stored
+from tripflow.llm.common import dropped, read, stored
 
 #: Nats a letter by which its language must explain a text better than letter frequencies do; the README says how it was set.
 MIN_FAMILIAR = 0.0
@@ -75,6 +75,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages in turn; an empty table gives no pieces, and columns beyond those of ``documents`` go along."""
     docs = read(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
+    for number, (name, stage) in enumerate(STAGES[:-1]):
+        before, docs = docs, stored(stage(spark, docs, sf_dir), name)
+        if number:
+            dropped(before)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -19,7 +19,7 @@ from tripflow.sources.conform import conform, evolve, merged_schema
 from tripflow.sources.generations import Generations
 from tripflow.sources.layers import layer_path, materialize
 from tripflow.sources.zones import load_zones, write_zones
-from tripflow.streaming.ingest import ingest_incremental
+from tripflow.streaming.ingest import ingest_drifting, ingest_incremental
 
 PICKUP = micros("2024-01-05 10:00:00")
 
@@ -555,3 +555,35 @@ def test_a_passing_fault_leaves_no_file_out(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(src, "_short", lambda s, paths, *a: calls.append(1) or (list(paths)[:1] if len(calls) == 1 else short(s, paths, *a)))
     assert src.load_new_files(spark, landing, target, on_error="skip").skipped == []
     assert src.read_raw(spark, target).count() == 4
+
+
+def test_a_replayed_batch_of_drifting_files_adds_nothing(spark, tmp_path, monkeypatch):
+    """A batch that breaks off between its files and their record is replayed by the stream."""
+    landing, target, log = (f"{tmp_path}/{n}" for n in ("landing", "raw", "log"))
+    land(landing, "2024-01", pa.int32(), Airport_fee=pa.array([1.0, None]))
+    land(landing, "2024-02", pa.int64(), airport_fee=pa.array([2, 3], pa.int32()))
+    land(landing, "2024-03", pa.float64(), night_fee=pa.array([0.5, 0.5]))
+    record = src.LoadLog.record
+    monkeypatch.setattr(src.LoadLog, "record", lambda self, parts, *a: 1 / 0 if len(parts) else record(self, parts, *a))
+    with pytest.raises(Exception, match="ZeroDivision"):
+        ingest_drifting(spark, landing, target, log, max_files_per_batch=2)
+    monkeypatch.setattr(src.LoadLog, "record", record)
+    for checkpoint in (log, log, f"{log}-2"):
+        ingest_drifting(spark, landing, target, checkpoint, max_files_per_batch=2)
+    found = src.read_raw(spark, target)
+    assert counts(found) == {f"trips_2024-0{m}.parquet": 2 for m in (1, 2, 3)}
+    assert found.agg(F.sum("night_fee"), F.sum("Airport_fee")).first()[:] == (1.0, 6.0)
+    land(landing, "2024-04")
+    assert len(src.load_new_files(spark, landing, target).loaded) == 1
+    ingest_drifting(spark, landing, target, log)
+    assert src.read_raw(spark, target).count() == 8
+
+
+def test_columns_that_differ_in_case_only_are_refused(spark):
+    spark.conf.set("spark.sql.caseSensitive", "true")
+    try:
+        df = spark.createDataFrame([(1, 2)], "Fee int, fee int")
+        with pytest.raises(ValueError, match="case only"):
+            conform(df, T.StructType.fromDDL("fee int"))
+    finally:
+        spark.conf.unset("spark.sql.caseSensitive")

@@ -22,7 +22,13 @@ def _as_type(column: Column, source: T.DataType, target: T.DataType) -> Column:
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Columns matched by name without regard to case, cast; absent ones become NULL."""
+    """Columns matched by name without regard to case, cast; absent ones become NULL.
+
+    Columns that differ in nothing but case would answer to one name, and are refused.
+    """
+    names = [f.name.lower() for f in df.schema.fields]
+    if len(set(names)) < len(names):
+        raise ValueError(f"columns differ in case only: {sorted({n for n in names if names.count(n) > 1})}")
     present = {f.name.lower(): f for f in df.schema.fields}
     columns = []
     for field in schema.fields:

@@ -139,9 +139,14 @@ def list_files(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
 
 def landing_parts(spark: SparkSession, landing: str) -> DataFrame:
     """Part files of a landing folder: path, monthly file, part, and the unit they belong to."""
+    return parts_of(list_files(spark, landing))
+
+
+def parts_of(files: DataFrame) -> DataFrame:
+    """The same of any files, by their ``path``."""
     path = F.col("path")
     folder = F.regexp_replace(path, "/[^/]*$", "")
-    return list_files(spark, landing).select(
+    return files.select(
         "path",
         source_name(path).alias("source_file"),
         F.substring_index(path, "/", -1).alias("part"),
@@ -352,8 +357,12 @@ class LoadReport:
 
 def fresh_parts(spark: SparkSession, landing: str, log: LoadLog) -> DataFrame:
     """Landing parts the log does not record."""
+    return _unrecorded(landing_parts(spark, landing), log)
+
+
+def _unrecorded(parts: DataFrame, log: LoadLog) -> DataFrame:
     known = log.entries().filter("unit IS NOT NULL").select("source_file", "part").distinct()
-    return landing_parts(spark, landing).join(known, ["source_file", "part"], "left_anti")
+    return parts.join(known, ["source_file", "part"], "left_anti")
 
 
 def _refuse_shared_names(fresh: DataFrame, log: LoadLog) -> None:
@@ -393,9 +402,21 @@ def load_new_files(
     driver nor a failed run has more than a batch in hand. With ``skip`` a damaged file is
     left out whole and tried again on the next run; any other error is raised.
     """
+    return load_parts(spark, landing_parts(spark, landing), target, on_error, schema, batch_files)
+
+
+def load_parts(
+    spark: SparkSession,
+    parts: DataFrame,
+    target: str,
+    on_error: str = "abort",
+    schema: T.StructType = RAW_TRIP_SCHEMA,
+    batch_files: int = 1000,
+) -> LoadReport:
+    """The same for given parts (as of ``parts_of``), of which recorded ones are passed over."""
     log = LoadLog(spark, target)
     log.begin()
-    fresh = fresh_parts(spark, landing, log)
+    fresh = _unrecorded(parts, log)
     _refuse_shared_names(fresh, log)
     columns = log.columns() or schema
     loaded: set[str] = set()

@@ -37,7 +37,7 @@ from tripflow.sources.trips import (
     write_raw,
 )
 from tripflow.sources.zones import write_zones
-from tripflow.streaming.ingest import ingest_incremental, read_streamed
+from tripflow.streaming.ingest import ingest_drifting, ingest_incremental, read_streamed
 from tripflow.workload.tables import EXCLUDED, PERIOD, trips_raw, zones
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -374,6 +374,19 @@ def load_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _without_load_time(read_raw(spark, target))
 
 
+def stream_drifting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two landings of differing types as a stream, then all batches again under a new checkpoint."""
+    work = shared_dir(spark, "drifting")
+    landing, target = f"{work}/landing", layer_path(work, "raw", "trips")
+    raw = trips_raw(spark, sf_dir)
+    _land(_as_first_half(raw), landing)
+    ingest_drifting(spark, landing, target, f"{work}/checkpoint")
+    _land(_as_second_half(raw), landing)
+    for checkpoint in ("checkpoint", "checkpoint", "another"):
+        ingest_drifting(spark, landing, target, f"{work}/{checkpoint}")
+    return _without_load_time(read_raw(spark, target))
+
+
 def stream_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same through the streaming file source, for files that share their types."""
     work = shared_dir(spark, "stream")
@@ -612,6 +625,7 @@ INGESTION: dict[str, Query] = {
     "overwrite_reload": overwrite_reload,
     "append_load": append_load,
     "append_after_load": append_after_load,
+    "ingest_stream_drifting": stream_drifting,
     "rebuild_after_failure": rebuild_after_failure,
     "reload_after_failure": reload_after_failure,
     **{f"refresh_{m}": _refreshed(m) for m in ("daily_summary", "zone_analysis", "hourly_patterns")},
