@@ -30,7 +30,7 @@ NEIGHBOURS = 10
 QUERY_MODULUS = 100
 TRAIN_ROWS = 16_384
 #: Centroids per half; their pairs are the index's cells, which become finer as entries grow.
-CENTROIDS = (16, 1024)
+CENTROIDS = (16, 512)
 #: A query's cells hold together so many entries at least, and this share of the first 2,000;
 #: of more entries the share falls with their eighth root, as finer cells lose fewer neighbours.
 LEAST_VISITED = 512
@@ -210,7 +210,9 @@ def nearest(
     total = int(counts.sum())
     first, parts = _deal_cells(counts, shard_rows(total))
     wanted = max(k + 1, visited_for(total, share))
-    probes = _probes(queries_of(rows, modulus), index, counts, first, parts, wanted)
+    tasks = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    queries = queries_of(rows, modulus).repartition(tasks, "query_id")  # few bytes, but much to traverse
+    probes = _probes(queries, index, counts, first, parts, wanted)
 
     def search(held: Shard, batch: pa.RecordBatch, queries: np.ndarray):
         own, asked = batch.column("id").to_numpy(), batch.column("cells")
