@@ -32,10 +32,11 @@ TRAIN_ROWS = 16_384
 #: Centroids per half; their pairs are the index's cells, which become finer as entries grow.
 CENTROIDS = (16, 512)
 #: A query's cells hold together so many entries at least, and this share of the first 2,000;
-#: of more entries the share falls with their eighth root, as finer cells lose fewer neighbours.
+#: of more entries the share falls with their tenth root, as finer cells lose fewer neighbours.
 LEAST_VISITED = 512
 VISITED_SHARE = 0.3
 SHARED_ROWS = 2_000
+MEASURED_ROWS = 50_000  # the share falls no further than recall was measured for
 
 
 def centroids_for(entries: int) -> int:
@@ -45,8 +46,7 @@ def centroids_for(entries: int) -> int:
 
 def visited_for(entries: int, share: float) -> int:
     """Entries that a query's cells are to hold."""
-    most = (CENTROIDS[1] / 8) ** 2  # from here on cells become no finer
-    fall = min(SHARED_ROWS / min(max(entries, 1), most), 1.0) ** 0.125 if share < 1 else 1.0
+    fall = min(SHARED_ROWS / min(max(entries, 1), MEASURED_ROWS), 1.0) ** 0.1 if share < 1 else 1.0
     return min(entries, max(LEAST_VISITED, int(np.ceil(share * fall * entries))))
 
 
