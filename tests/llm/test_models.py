@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import random
 import zlib
 
@@ -146,3 +147,39 @@ def test_toxicity_query_has_all_rows(spark):
     found = op8_toxicity(spark, FOLDER)
     assert found.count() == read(spark, FOLDER, "documents").count()
     assert found.columns == ["doc_id", "p_toxic", "p_toxic_prose", "p_toxic_junk", "toxic", "toxic_prose", "toxic_junk"]
+
+
+def test_language_prediction_is_that_of_plain_kernel_and_ridge(spark):
+    """Row by row against the same sums in plain loops over sets of n-gram buckets."""
+    docs = read(spark, FOLDER, "documents")
+    model = language.fit(docs)
+    seen = np.zeros(language.BUCKETS, dtype=bool)
+    marks = [set(m.tolist()) for m in model.landmarks]
+    found = {r.doc_id: r for r in language.predict(docs, model).collect()}
+    for row in docs.limit(150).collect():
+        own = set(language.grams(row.text or "", seen).tolist())
+        values = [len(own & m) / max((len(own) * len(m)) ** 0.5, 1) for m in marks]
+        scores = [sum(v * w for v, w in zip([*values, 1.0], model.weights[:, c], strict=True)) for c in range(len(model.languages))]
+        best = max(range(len(scores)), key=lambda c: scores[c])
+        if language.has_letter(row.text):
+            assert found[row.doc_id].lang_pred == model.languages[best]
+            assert found[row.doc_id].score == pytest.approx(min(max((scores[best] + 1) / 2, 0), 1), abs=1e-6)
+        else:
+            assert (found[row.doc_id].lang_pred, found[row.doc_id].score) == (language.UNDETERMINED, 0)
+
+
+def test_toxicity_prediction_is_that_of_a_plain_chain(spark):
+    """Row by row: each model's sum over the text's words and the probabilities before it."""
+    docs, labels = read(spark, FOLDER, "documents"), read(spark, FOLDER, "labels")
+    chain = toxicity.fit(docs, labels)
+    number = {w: i for i, w in enumerate(chain.vocabulary)}
+    names = list(toxicity.CATEGORIES)
+    found = {r.doc_id: r for r in toxicity.predict(docs, chain).collect()}
+    for row in docs.limit(150).collect():
+        own, earlier = [number[w] for w in toxicity.words(row.text) if w in number], []
+        for weights, rest in chain.models:
+            total = sum(weights[p] * chain.scale[p] for p in own)
+            total += sum(p * w for p, w in zip([*earlier, 1.0], rest, strict=True))
+            earlier.append(1 / (1 + math.exp(-min(max(total, -35), 35))))
+        wanted = earlier if toxicity.words(row.text) else [0.0] * len(names)
+        assert [found[row.doc_id][f"p_{n}"] for n in names] == pytest.approx(wanted, abs=1e-9)

@@ -43,11 +43,36 @@ def test_each_stage_against_its_plain_version(spark, tmp_path):
     assert sorted(map(tuple, whole)) == sorted(map(tuple, packed))
 
 
+LONG = "a b c " * 50_000
+ODD = [(1, None), (None, "the one"), (2, ""), (3, LONG), (3, "token=abcdef"), (3, "token=abcdef")]
+BY_STAGE = {
+    "language_id": [(None, "the one"), (3, LONG), (3, "token=abcdef"), (3, "token=abcdef")],
+    "line_dedup": ODD,
+    "simhash_near_dedup": [(1, None), (None, "the one"), (3, LONG), (3, "token=abcdef")],
+    "secret_scan": [(1, None), (None, "the one"), (2, ""), (3, LONG), (3, "[SECRET]"), (3, "[SECRET]")],
+}
+
+
 def test_odd_documents(spark):
-    schema = read(spark, FOLDER, "documents").schema
-    rows = [(1, None, None, None, None), (None, "the one", "en", "s", 7), (2, "", "en", "s", 0), (3, "a b c " * 50_000, "en", "s", 300_000), (3, "token=abcdef", "en", "s", 12), (3, "token=abcdef", "en", "s", 12)]
+    """Each stage by itself over odd rows with clashing column names, and over none."""
+    rows = [(i, t, None, "s", len(t or ""), 1, 2, "x", 3) for i, t in ODD]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint, number int, block int, print string, n_chunks int"
     docs = spark.createDataFrame(rows, schema)
-    for frame in (docs, docs.limit(0)):
-        for _, stage in pipeline.STAGES:
-            result = stage(spark, frame, FOLDER).collect()
-            assert len(result) >= (frame.count() > 0)
+    for name, stage in pipeline.STAGES[:-1]:
+        result = stage(spark, docs, FOLDER)
+        assert result.columns == docs.columns, name
+        found = result.collect()
+        assert sorted(((r.doc_id, r.text) for r in found), key=str) == sorted(BY_STAGE[name], key=str), name
+        assert all((r.number, r.block, r.print, r.n_chunks) == (1, 2, "x", 3) for r in found)
+        assert stage(spark, docs.limit(0), FOLDER).collect() == []
+    pieces = pipeline.STAGES[-1][1](spark, docs, FOLDER).collect()
+    assert [r.length for r in pieces if r.doc_id in (1, 2)] == [1, 1]  # the end id alone
+    assert sum(r.piece == 0 for r in pieces) == len(ODD) and max(r.length for r in pieces) == 1024
+    assert pipeline.STAGES[-1][1](spark, docs.limit(0), FOLDER).collect() == []
+
+
+def test_unlabelled_gibberish_goes(spark):
+    prose = [(n, "the quick brown fox jumps over the lazy dog and runs away " * 3, "en") for n in range(60)]
+    docs = spark.createDataFrame([*prose, (1000, "xqzjv kwpqx zzvjq qxwkz vjxqz " * 4, None)], "doc_id bigint, text string, lang string")
+    kept = {r.doc_id for r in pipeline.STAGES[0][1](spark, docs, FOLDER).collect()}
+    assert kept == set(range(60))
