@@ -1,6 +1,7 @@
 """Marts kept up to date by the parts that were loaded since.
 
-Every loaded part has a share: the exact integer sums of ``cube`` over its own clean trips.
+Every loaded part has a share, aggregates that add up: for the marts the exact integer sums
+of ``cube`` over its own clean trips.
 A refresh reads only parts whose share is missing or older than the part, adds their shares
 and combines all shares into the marts; raw as a whole is not read again. Shares are
 written in batches and then recorded in a log, like loads, so a refresh that breaks off is
@@ -9,7 +10,7 @@ repeated; the latest recorded share of a part is the one that counts.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +29,8 @@ _LOG = "_share_log"
 _LOG_SCHEMA = "source_file string, part string, loaded_at timestamp, batch string"
 BATCH_PARTS = 1000
 
+Share = Callable[[DataFrame], DataFrame]  # aggregates of trips by ``source_file`` and more
+
 
 class Shares:
     """The shares of a raw table's parts, stored below ``path``."""
@@ -58,7 +61,7 @@ class Shares:
         )
         return parts.join(held, same, "left_anti")
 
-    def add_missing(self, profile: Profile, batch_parts: int = BATCH_PARTS) -> int:
+    def add_missing(self, share: Share, batch_parts: int = BATCH_PARTS) -> int:
         """Compute the missing shares batch by batch; the number of parts read."""
         done = 0
         parts = self.missing().orderBy("source_file", "part").toLocalIterator()
@@ -66,17 +69,17 @@ class Shares:
         for part in parts:
             batch.append(part)
             if len(batch) == batch_parts:
-                done += self._add(batch, profile)
+                done += self._add(batch, share)
                 batch = []
-        return done + (self._add(batch, profile) if batch else 0)
+        return done + (self._add(batch, share) if batch else 0)
 
-    def _add(self, parts: list, profile: Profile) -> int:
+    def _add(self, parts: list, share: Share) -> int:
         trips = read_parts(self.spark, self.raw, [(p["source_file"], p["part"]) for p in parts])
-        place = F.concat_ws("/", SOURCE_FILE, PART)  # staging has a column for the file only
-        staged = clean(trips.withColumn(SOURCE_FILE, place), profile)
+        place = F.concat_ws("/", SOURCE_FILE, PART)  # a share has a column for the file only
         name = uuid4().hex
-        shares = cube.trip_cube(staged, ["source_file"]).withColumns(
-            {"share_file": F.substring_index("source_file", "/", 1), PART: F.substring_index("source_file", "/", -1)}
+        file = F.when(F.col("source_file").contains("/"), F.substring_index("source_file", "/", 1))
+        shares = share(trips.withColumn(SOURCE_FILE, place)).withColumns(
+            {"share_file": file, PART: F.substring_index("source_file", "/", -1)}
         )
         shares.drop("source_file").write.parquet(f"{self.path}/batch={name}")
         rows = [(p["source_file"], p["part"], p["loaded_at"], name) for p in parts]
@@ -122,7 +125,7 @@ def refresh_marts(
     if profile.unique_by:
         raise ValueError(f"profile {profile.name} compares rows of different parts")
     shares = Shares(spark, raw, layer_path(root, "staging", "trip_shares"))
-    shares.add_missing(profile, batch_parts)
+    shares.add_missing(lambda trips: cube.trip_cube(clean(trips, profile), ["source_file"]), batch_parts)
     rows = shares.current()
     return {
         "daily_summary": materialize(cube.daily_summary(rows), root, "final", "daily_summary"),

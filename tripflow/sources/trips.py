@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from tripflow.schemas import INGESTION_DATE, PART, RAW_TRIP_SCHEMA, SOURCE_FILE
 from tripflow.sources.conform import conform, evolved_schema, merged_schema
 from tripflow.sources.footers import footers, spark_schema
-from tripflow.sources.generations import Generations
+from tripflow.sources.generations import Folders, Generations
 from tripflow.sources.load_log import LoadLog
 
 # File naming of the published monthly files.
@@ -319,12 +319,21 @@ def write_raw(df: DataFrame, path: str, mode: str = "append") -> None:
     table.forget()
 
 
-def read_raw(spark: SparkSession, target: str) -> DataFrame:
-    """Rows of all recorded loads in the table's columns; older rows hold NULL in newer ones."""
+def read_raw(spark: SparkSession, target: str, files: Sequence[str] | None = None) -> DataFrame:
+    """Rows of all recorded loads in the table's columns; older rows hold NULL in newer ones.
+
+    With ``files`` only rows of these source files are read, and only their folders are listed;
+    a file the table does not hold adds nothing.
+    """
     log = LoadLog(spark, target)
     columns = log.columns()
     if columns is None:
         raise ValueError(f"{target} holds no load")
+    if files is not None:
+        parts = _parts_within(spark, log, files)
+        if not parts:
+            return spark.createDataFrame([], columns)
+        return read_parts(spark, target, parts).select(*columns.names)
     rows = spark.read.schema(T.StructType([*columns, _PART_FIELD])).parquet(log.target)
     loaded = log.entries().select(F.col("source_file").alias("_file"), F.col("part").alias("_recorded")).distinct()
     of_load = (F.col(PART) == F.col("_recorded")) & (
@@ -333,6 +342,24 @@ def read_raw(spark: SparkSession, target: str) -> DataFrame:
     return rows.join(loaded, of_load, "left_semi").select(*columns.names)
 
 
+def _parts_within(spark: SparkSession, log: LoadLog, files: Sequence[str]) -> list[tuple[str, str]]:
+    """Recorded parts that lie in the folders of source files, rows written directly included."""
+    folders, names = Folders(spark, log.target), spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    lead = f"{PART}="
+    there = [
+        (file, names.unescapePathName(name.removeprefix(lead)))
+        for file in dict.fromkeys(files)
+        for name in folders.names(f"{log.target}/{SOURCE_FILE}={names.escapePathName(file)}")
+        if name.startswith(lead)
+    ]
+    listed = spark.createDataFrame(there, "_within string, _there string")
+    recorded = (F.col("part") == F.col("_there")) & (
+        F.col("source_file").isNull() | (F.col("source_file") == F.col("_within"))
+    )
+    held = listed.join(log.entries(), recorded, "left_semi").orderBy("_within", "_there")
+    return [tuple(row) for row in held.collect()]
+
+
 def read_parts(spark: SparkSession, target: str, parts: Sequence[tuple[str | None, str]]) -> DataFrame:
     """Rows of some recorded parts (source file or None for rows written directly, and part), with the part's name.
 

@@ -15,7 +15,7 @@ from tripflow.functions.numeric import fill_zero, guarded_ratio, speed_mph, to_k
 from tripflow.operators import cleaning, dashboards, dedup, expectations, marts, profiling
 from tripflow.operators import standardize as std
 from tripflow.operators.zones import enrich_zones
-from tripflow.plans import cube, one_pass, suites
+from tripflow.plans import cube, load_profile, one_pass, suites
 from tripflow.plans.pipeline import (
     build,
     build_dashboard,
@@ -470,6 +470,45 @@ def _refreshed(mart: str) -> Query:
     return run
 
 
+def _load_report(name: str) -> Query:
+    """A report from the groups stored after one read of raw."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return load_profile.build_load_reports(trips_raw(spark, sf_dir), shared_dir(spark, "profile"))[name]
+
+    return run
+
+
+def _refreshed_report(name: str) -> Query:
+    """A report refreshed after each of two landings and after rows written directly; only new parts are read."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        work = shared_dir(spark, "profile")
+        landing, target = f"{work}/landing", layer_path(work, "raw", "trips")
+        raw = trips_raw(spark, sf_dir)
+        files = raw.filter("payment_type <> 2").drop("_ingestion_date")
+        for landed in (files.filter(F.col(SOURCE_FILE) < "trips_1998"), files.filter(F.col(SOURCE_FILE) >= "trips_1998")):
+            _land(landed, landing)
+            load_new_files(spark, landing, target)
+            load_profile.refresh_load_reports(spark, target, work)
+        write_raw(raw.filter("payment_type = 2"), target)
+        return load_profile.refresh_load_reports(spark, target, work)[name]
+
+    return run
+
+
+def read_loaded_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distances of some months of raw, loaded and written directly; other months are not listed."""
+    work = shared_dir(spark, "months")
+    landing, target = f"{work}/landing", layer_path(work, "raw", "trips")
+    raw = trips_raw(spark, sf_dir)
+    _land(raw.filter("payment_type <> 2").drop("_ingestion_date"), landing)
+    load_new_files(spark, landing, target)
+    write_raw(raw.filter("payment_type = 2"), target)
+    months = [f"trips_{year}-{month:02d}.parquet" for year in (1996, 1997, 2044) for month in range(1, 13)]
+    return profiling.distance_profile(read_raw(spark, target, months))
+
+
 def append_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = layer_path(shared_dir(spark, "append"), "raw", "trips")
     raw = trips_raw(spark, sf_dir)
@@ -629,6 +668,9 @@ INGESTION: dict[str, Query] = {
     "rebuild_after_failure": rebuild_after_failure,
     "reload_after_failure": reload_after_failure,
     **{f"refresh_{m}": _refreshed(m) for m in ("daily_summary", "zone_analysis", "hourly_patterns")},
+    **{f"profile_{r}": _load_report(r) for r in load_profile.REPORTS},
+    **{f"profile_refresh_{r}": _refreshed_report(r) for r in ("file_month_anomalies", "amount_profile")},
+    "read_loaded_months": read_loaded_months,
     "ingest_late_parts": ingest_late_parts,
     "ingest_skip_bad": ingest_skip_bad,
     "ingest_evolving": ingest_evolving,
