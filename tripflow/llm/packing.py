@@ -15,8 +15,10 @@ from tripflow.llm.encoders import Encoder
 
 CAPACITY = 1024
 END_ID = 2
-#: Each length's pieces are numbered in so many parts, so that a common length is no single group.
+#: Each length's pieces are numbered in so many parts at least, so that a common length is no single group.
 PARTS = 256
+#: Pieces of a part; lengths with more for each of their parts are numbered in more parts.
+PART_PIECES = 65_536
 
 Pattern = tuple[int, list[tuple[int, int]]]  # how often it is used; lengths with copies of each
 
@@ -143,27 +145,31 @@ def pack(
     end_id: int = END_ID,
     capacity: int = CAPACITY,
     parts: int = PARTS,
+    part_pieces: int = PART_PIECES,
 ) -> DataFrame:
     """Per piece: ``doc_id``, ``piece``, ``start``, ``length``, ``ids_crc32``, ``sequence_id``, ``offset``.
 
     A text's ids and ``end_id`` form a document; only one longer than ``capacity`` is cut.
     The pieces are counted by length on Spark, bins are chosen for those at most
-    ``capacity`` counts, and the pieces of a length are numbered in ``parts`` parts and look up
-    their places. A null or empty text is one piece of ``end_id`` alone. Null ids and rows
+    ``capacity`` counts, and the pieces of a length are numbered and look up their places.
+    They are dealt by where they are stored to at least ``parts`` parts of some ``part_pieces``,
+    so neither a common length nor copies or null ids crowd one part. A null or empty text is one piece of ``end_id`` alone. Null ids and rows
     repeated in full are packed like others, an empty table gives an empty result, and
     other columns are not read.
     """
     pieces = stored(_pieces(docs, tokenizer, id_col, text_col, end_id, capacity), "pieces")
-    part = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(parts)).cast("int").alias("part")
-    dealt = pieces.select("*", part)
-    counted = dealt.groupBy("length", "part").count()
     counts = np.zeros(capacity + 1, dtype=np.int64)
-    for row in counted.groupBy("length").agg(F.sum("count").alias("n")).collect():
-        counts[row["length"]] = row["n"]
+    for row in pieces.groupBy("length").count().collect():
+        counts[row["length"]] = row["count"]
+    dealt_to = F.array(*[F.lit(max(parts, -(-int(n) // part_pieces))) for n in counts])
+    place = F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("_place")
+    dealt = pieces.select("*", place)
+    dealt = dealt.withColumn("part", F.pmod("_place", F.get(dealt_to, "length")))
+    counted = dealt.groupBy("length", "part").count()
     places = Places(minimum_bin_slack(counts, capacity), capacity)
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     opens = counted.select("length", "part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_opens"))
-    within = Window.partitionBy("length", "part").orderBy("doc_id", "piece", "ids_crc32")
+    within = Window.partitionBy("length", "part").orderBy("_place", "doc_id", "piece", "ids_crc32")
     numbered = dealt.withColumn("_n", F.row_number().over(within) - 1).join(opens, ["length", "part"])
     numbered = numbered.select(*pieces.columns, (F.col("_opens") + F.col("_n")).alias("number"))
 
