@@ -244,3 +244,28 @@ def test_packs_odd_rows(spark, odd):
     assert pack(odd.limit(0), BYTE).count() == 0
     same = spark.createDataFrame([(i % 3, "same text") for i in range(50)], "doc_id int, text string")
     check_packed(same)
+
+
+def test_hot_ids_are_spread(spark, tmp_path):
+    """Null and one id hold a third of the rows each, all alike, and no shard is above twice the median."""
+    same = [(None, "same text"), (7, "same text")] * 400
+    docs = spark.createDataFrame([*same, *[(i, f"text {i}") for i in range(400)]], "doc_id int, text string")
+    shards = write_tokens(docs, str(tmp_path / "a"), WORD, shard_docs=60)
+    sizes = [s.documents for s in shards]
+    assert sum(sizes) == 1200 and max(sizes) <= 2 * np.median(sizes)
+    hot = sum(len(Reader(s.path).fetch(7)) for s in shards)
+    assert hot == 401
+    rows = read_tokens(spark, shards).orderBy("start").collect()
+    ids = [-1 if r.doc_id is None else r.doc_id for r in rows]
+    assert ids == sorted(ids) and ids.count(-1) == 400
+    assert all(a.start + a.n_tokens == b.start for a, b in zip(rows, rows[1:], strict=False))
+
+
+def test_parts_grow_with_pieces_of_one_length(spark):
+    rows = [(None, "same text")] * 900 + [(i, "same text") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    got = pack(docs, BYTE, parts=1, part_pieces=50)
+    assert got.count() == 1200
+    check_packed(docs, parts=2)
+    places = {(r.sequence_id, r.offset) for r in got.collect()}
+    assert len(places) == 1200  # numbers of all parts fit together

@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripflow.llm.common import map_batches
+from tripflow.llm.common import dropped, map_batches, stored
 from tripflow.llm.encoders import Encoder
 
 MAGIC = b"TOKSHRD1"
@@ -127,8 +127,9 @@ def write_tokens(
     ``folder`` must be one all executors share. A null text counts as empty; null ids come
     first; rows repeated in full are each written; an empty table gives no shard. Only the
     dictionary is fitted on a sample, of at most ``SAMPLE_DOCS`` short documents. Documents are
-    encoded and compressed where they are read, and only frames are shuffled. A task
-    writes its shard under a name of its own and then renames it, so a task run again does
+    encoded and compressed where they are read, and only frames are shuffled, by ranges of
+    the id and the place where they were stored. So a frequent id, or null, takes several
+    shards in a row. A task writes its shard under a name of its own and then renames it, so a task run again does
     no harm.
     """
     item = "<u2" if width == 2 else "<u4"
@@ -143,9 +144,6 @@ def write_tokens(
         file.write(dictionary)
 
     shards = -(-count // shard_docs)
-    at = [i / shards for i in range(1, shards)]
-    cuts = rows.agg(F.percentile_approx("doc_id", at, max(10_000, 20 * shards))).first()[0] if at else []
-    cuts = np.array(cuts or [], dtype=np.int64)
 
     def make():
         encoder, codec = Encoder(tokenizer), Codec(dictionary, width)
@@ -154,19 +152,19 @@ def write_tokens(
             encoded = [np.append(ids, np.uint32(end_id)) for ids in encoder.encode(batch.column(1).to_pylist())]
             if width == 2 and any(len(e) and e.max() > 0xFFFF for e in encoded):
                 raise ValueError("these ids need a width of 4")
-            ids = batch.column(0).fill_null(np.iinfo(np.int64).min).to_numpy()
             columns = [
-                pa.array(np.searchsorted(cuts, ids, side="left").astype(np.int32)),
                 batch.column(0),
                 pa.array([len(e) for e in encoded], pa.int64()),
                 pa.array([codec.pack(e) for e in encoded], pa.binary()),
             ]
-            return pa.RecordBatch.from_arrays(columns, ["shard", "doc_id", "n", "frame"])
+            return pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "frame"])
 
         return step
 
-    frames = map_batches(rows, "shard int, doc_id bigint, n bigint, frame binary", make)
-    ordered = frames.repartitionById(shards, "shard").sortWithinPartitions("shard", "doc_id", "frame")
+    frames = stored(map_batches(rows, "doc_id bigint, n bigint, frame binary", make), "frames")
+    placed = frames.select("*", F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("place"))
+    ranges = placed.repartitionByRange(shards, "doc_id", "place").sortWithinPartitions("doc_id", "place")
+    ordered = ranges.select(F.spark_partition_id().alias("shard"), "doc_id", "n", "frame")
     mark = hashlib.sha256(dictionary).digest()[:16]
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -205,6 +203,7 @@ def write_tokens(
     for row in written:  # one row per file
         found.append(Shard(f"{folder}/{row['name']}", start, row["tokens"], row["documents"]))
         start += row["tokens"]
+    dropped(frames)
     return found
 
 
@@ -232,7 +231,7 @@ class Reader:
         return self.codec.open(self.file.read_at(last - first, first))
 
     def fetch(self, doc_id: int) -> list[np.ndarray]:
-        """Ids of all documents of that id, reading their frames alone."""
+        """Ids of all documents of that id in this shard, reading their frames alone."""
         known = int((self.index["has_id"] == 0).sum())
         first, last = np.searchsorted(self.index["id"][known:], [doc_id, doc_id + 1]) + known
         return [self.ids_at(p) for p in range(first, last)]
