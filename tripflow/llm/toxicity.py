@@ -149,7 +149,7 @@ def fit(
         F.expr(first).alias("_first"),
         F.array(*[F.coalesce(F.expr(c), F.lit(False)).cast("int") for c in categories.values()]).alias("_marks"),
     ).filter("_id IS NOT NULL AND _first IS NOT NULL")
-    marked = marked.withColumn("_deal", F.xxhash64("_id", "_marks"))
+    marked = marked.dropDuplicates(["_id", "_first", "_marks"]).withColumn("_deal", F.xxhash64("_id", "_marks"))
     chosen = even_sample(marked, "_first", "_deal", train_rows // 2, 2)
     texts = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     # the chosen labels number train_rows at most
