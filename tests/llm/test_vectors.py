@@ -6,8 +6,8 @@ import math
 import numpy as np
 import pytest
 
-from tripflow.llm import multi_index
-from tripflow.llm.ball_tree import BallTree, products, top_products
+from tripflow.llm import ball_tree, multi_index
+from tripflow.llm.ball_tree import BallTree, Cells, products, top_products
 from tripflow.llm.common import read
 from tripflow.llm.multi_index import MultiIndex, nearest
 
@@ -162,3 +162,38 @@ def test_few_rows(spark, search):
     assert search(one).count() == 0
     three = spark.createDataFrame([(100, [1.0], 0), (1, [2.0], 0), (2, [-1.0], 0)], SCHEMA)
     assert [(i) for i, _ in collected(search(three))[100]] == [1, 2]
+
+
+def test_large_clusters_are_cut_and_shards_pruned(spark, monkeypatch):
+    """A third of all rows lie in one cluster, which becomes many shards, few of which a query enters."""
+    rng = np.random.default_rng(5)
+    spread = rng.normal(size=(4000, 4)) * [6.0, 4.0, 2.0, 0.5]
+    points = np.concatenate([spread, rng.normal(size=(2000, 4)) * [3.0, 3.0, 0.1, 0.1] + 5.0]).astype(np.float32)
+    rows = [(i, [float(x) for x in p], 0) for i, p in enumerate(points)]
+    table = spark.createDataFrame(rows, SCHEMA)
+    probed, shards = [], []
+    search = ball_tree.search_shards
+
+    def counted(entries, probes, *rest):
+        probed.append(probes.count())
+        shards.append(entries.select("shard").distinct().count())
+        return search(entries, probes, *rest)
+
+    monkeypatch.setattr(ball_tree, "search_shards", counted)
+    got = collected(top_products(table, clusters=2))
+    assert got == {q: [(i, -s) for s, i in best] for q, best in plain([r[:2] for r in rows], "product").items()}
+    assert shards[0] >= 20 and probed[0] == 60 * ball_tree.SEEDS
+    assert sum(probed) < 0.5 * 60 * shards[0]
+
+
+def test_cells_hold_all_rows_in_balance():
+    rng = np.random.default_rng(6)
+    points = np.floor(rng.normal(size=(3000, 3)) * 50)
+    points[:1000] = points[0]  # alike, so they cannot be cut
+    points[1000:1800, 0] = points[1000:1800, 0].max()  # ties at a median
+    cells = Cells(points, ball_tree.centres(points[:500], 4), 60)
+    found = cells.find(points)
+    assert found.min() >= 0 and found.max() < len(cells.centre)
+    sizes = np.bincount(found, minlength=len(cells.centre))
+    whole = found[0]
+    assert sizes.sum() == 3000 and (sizes[np.arange(len(sizes)) != whole] <= 60).all()

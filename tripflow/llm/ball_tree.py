@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +31,9 @@ QUERY_MODULUS = 100
 SCALE = 1024
 CLUSTERS = 64
 TRAIN_ROWS = 8_192
+CUT_ROWS = 65_536  # sampled rows by which large clusters are cut
+CELL_SAMPLE = 16  # of them at least in a cell
+SEEDS = 3  # cells searched first
 LEAF = 32
 _EXACT = float(1 << 53)
 _LONG = (1 << 63) - 1
@@ -58,6 +62,56 @@ def lowered(score: float) -> float:
     return score - abs(score) * 1e-15
 
 
+class Cells:
+    """Cells with a ball each: clusters, large ones cut by the top levels of their own tree.
+
+    A cluster of more than ``most`` sampled rows is halved along its widest axis until each
+    cell has at most so many, or too few to be cut.
+    """
+
+    def __init__(self, points: np.ndarray, middle: np.ndarray, most: int) -> None:
+        self.middle = middle
+        near = nearest_centre(points, middle) if len(points) else np.zeros(0, dtype=np.int64)
+        parts = [(np.flatnonzero(near == c), middle[c]) for c in range(len(middle))]
+        axis, cut, below, cell, centre = [], [], [], [], []
+        for own, fallback in parts:  # grows while nodes are cut; a cut node's halves are neighbours
+            along, at = self._cut(points[own]) if len(own) > max(most, 2 * CELL_SAMPLE) else (-1, 0.0)
+            axis.append(along)
+            cut.append(at)
+            below.append(len(parts))
+            cell.append(len(centre))
+            if along < 0:
+                centre.append(points[own].mean(axis=0) if len(own) else fallback)
+                continue
+            over = points[own, along] > at
+            parts += [(own[~over], fallback), (own[over], fallback)]
+        self.axis, self.below, self.cell = (np.array(x, dtype=np.int64) for x in (axis, below, cell))
+        self.cut = np.array(cut)
+        self.centre = np.array(centre).reshape(-1, middle.shape[1])
+
+    @staticmethod
+    def _cut(points: np.ndarray) -> tuple[int, float]:
+        """Widest axis and where it halves the points; no axis (-1) if all are alike."""
+        wide = np.ptp(points, axis=0)
+        along = int(wide.argmax())
+        if wide[along] == 0:
+            return -1, 0.0
+        values = points[:, along]
+        at = float(np.median(values))
+        if at >= values.max():  # ties on the upper side
+            at = float(values[values < at].max())
+        return along, at
+
+    def find(self, points: np.ndarray) -> np.ndarray:
+        node = nearest_centre(points, self.middle)
+        while True:
+            inner = np.flatnonzero(self.axis[node] >= 0)
+            if not len(inner):
+                return self.cell[node]
+            at = node[inner]
+            node[inner] = self.below[at] + (points[inner, self.axis[at]] > self.cut[at])
+
+
 class BallTree:
     """Balanced tree over a shard's rows; each node is the ball around its rows' mean.
 
@@ -141,21 +195,26 @@ def top_products(
 
     Components x count as floor(scale * x). Queries are the rows whose id is divisible by
     ``modulus``; a query's own id is no candidate; ties go to the smaller id. Rows are
-    clustered around centres fitted on at most ``train_rows``, and large clusters are dealt
-    over several shards. Each query first searches one shard of its most promising
-    cluster. The k-th score found there goes with it to every cluster whose ball may hold
+    clustered around centres fitted on at most ``train_rows``, and large clusters are cut into
+    cells by at most ``CUT_ROWS`` sampled rows; a cell is a shard with a ball of its own (several
+    shards, if it is too large still). Each query first searches its ``SEEDS`` most promising
+    cells. The k-th score found there goes with it to every other cell whose ball may hold
     as much, where it prunes the trees from the start. Null ids and vectors null, empty, not
     finite or of an odd length take no part; rows repeated in full count once; with no valid
     row the result is empty; other columns are not read.
     """
     rows = valid_vectors(vectors, id_col, vector_col, allow_zero=True)
     entries = stored_entries(rows, k, "tree-rows")
-    middle = centres(scaled(sample(entries, train_rows), scale), clusters)
+    total = entries.count()
+    size = shard_rows(total)
+    drawn = scaled(sample(entries, max(train_rows, CUT_ROWS)), scale)
+    cells = Cells(drawn, centres(drawn[:train_rows], clusters), math.ceil(size * len(drawn) / max(1, total)))
+    middle = cells.centre
 
     def make():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             points = scaled(matrix(batch.column(1)), scale) if batch.num_rows else np.zeros((0, 1))
-            cell = nearest_centre(points, middle) if len(points) else np.zeros(0, dtype=np.int64)
+            cell = cells.find(points) if len(points) else np.zeros(0, dtype=np.int64)
             apart = np.sqrt(((points - middle[cell]) ** 2).sum(axis=1)) if len(points) else np.zeros(0)
             flat = pa.array(points.ravel() if len(points) else np.zeros(0))
             width = points.shape[1] if len(points) else 0
@@ -170,7 +229,6 @@ def top_products(
     schema = "vec_id bigint, vec array<double>, cell int, apart double"
     placed = stored(map_batches(entries.select("vec_id", "vec"), schema, make), "tree-entries")
     counts = cell_counts(placed, max(1, len(middle)))
-    size = shard_rows(int(counts.sum()))
     parts = np.maximum(1, -(-counts // size))
     first = np.cumsum(parts) - parts
     radius = np.full(len(counts), -np.inf)
@@ -181,7 +239,7 @@ def top_products(
     asked = stored(asked.select(F.col("vec_id").alias("query_id"), "vec"), "tree-queries")
 
     def probes(queries: DataFrame, seeds: bool) -> DataFrame:
-        """Shards a query must enter: its first one, or all others its bound does not exclude."""
+        """Shards a query must enter: its first ones, or all others its bound does not exclude."""
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -191,17 +249,19 @@ def top_products(
                 reach = points @ middle.T
                 far = np.sqrt((points * points).sum(axis=1))[:, None] * np.where(counts > 0, radius, 0)
                 limit = np.where(counts > 0, reach + far + 1e-9 * (np.abs(reach) + far + 1), -np.inf)
-                seed = first[limit.argmax(axis=1)]
+                likely = np.argsort(-limit, axis=1, kind="stable")[:, :SEEDS]
+                seed = np.where(np.take_along_axis(limit, likely, axis=1) > -np.inf, first[likely], -1)
                 bound = batch.column("bound").to_numpy(zero_copy_only=False)
                 if seeds:
-                    query, shard = np.arange(len(points)), seed
+                    query, shard = np.repeat(np.arange(len(points)), seed.shape[1]), seed.ravel()
+                    query, shard = query[shard >= 0], shard[shard >= 0]
                 else:
                     query, cell = np.nonzero((limit >= bound[:, None]) & (counts > 0))
                     times = parts[cell]
                     opens = np.cumsum(times) - times
                     query = np.repeat(query, times)
                     shard = np.repeat(first[cell], times) + np.arange(len(query)) - np.repeat(opens, times)
-                    other = shard != seed[query]
+                    other = (shard[:, None] != seed[query]).all(axis=1)
                     query, shard = query[other], shard[other]
                 chosen = batch.take(pa.array(query))
                 yield pa.RecordBatch.from_arrays(
@@ -229,7 +289,8 @@ def top_products(
     begun = stored(
         search_shards(sharded, probes(asked.withColumn("bound", everything), True), build, search, "bigint"), "tree-seeds"
     )
-    kth = begun.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").cast("double").alias("s"))
+    best = top_rows(begun, k, F.col("score").desc())
+    kth = best.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").cast("double").alias("s"))
     bound = F.coalesce(F.when(F.col("n") >= k, F.col("s") - F.abs("s") * 1e-15), everything)
     bounded = asked.join(kth, "query_id", "left").withColumn("bound", bound)
     rest = search_shards(sharded, probes(bounded, False), build, search, "bigint")
