@@ -152,8 +152,8 @@ def pack(
     A text's ids and ``end_id`` form a document; only one longer than ``capacity`` is cut.
     The pieces are counted by length on Spark, bins are chosen for those at most
     ``capacity`` counts, and the pieces of a length are numbered and look up their places.
-    They are dealt by where they are stored to at least ``parts`` parts of some ``part_pieces``,
-    so neither a common length nor copies or null ids crowd one part. A null or empty text is one piece of ``end_id`` alone. Null ids and rows
+    They are dealt by hash to at least ``parts`` parts of some ``part_pieces``, so a common length
+    crowds no part; rows repeated in full share one. A null or empty text is one piece of ``end_id`` alone. Null ids and rows
     repeated in full are packed like others, an empty table gives an empty result, and
     other columns are not read.
     """
@@ -162,14 +162,13 @@ def pack(
     for row in pieces.groupBy("length").count().collect():
         counts[row["length"]] = row["count"]
     dealt_to = F.array(*[F.lit(max(parts, -(-int(n) // part_pieces))) for n in counts])
-    place = F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("_place")
-    dealt = pieces.select("*", place)
-    dealt = dealt.withColumn("part", F.pmod("_place", F.get(dealt_to, "length")))
+    spread = F.xxhash64("doc_id", "piece", "ids_crc32")  # the same numbers on every run
+    dealt = pieces.withColumn("part", F.pmod(spread, F.get(dealt_to, "length")))
     counted = dealt.groupBy("length", "part").count()
     places = Places(minimum_bin_slack(counts, capacity), capacity)
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     opens = counted.select("length", "part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_opens"))
-    within = Window.partitionBy("length", "part").orderBy("_place", "doc_id", "piece", "ids_crc32")
+    within = Window.partitionBy("length", "part").orderBy("doc_id", "piece", "ids_crc32")
     numbered = dealt.withColumn("_n", F.row_number().over(within) - 1).join(opens, ["length", "part"])
     numbered = numbered.select(*pieces.columns, (F.col("_opens") + F.col("_n")).alias("number"))
 
