@@ -15,7 +15,7 @@ from tokenizers import Tokenizer
 from tripflow.llm.bpe import Bpe, decode, encode, round_trip
 from tripflow.llm.common import read
 from tripflow.llm.encoders import Encoder
-from tripflow.llm.packing import fullest, minimum_bin_slack, pack
+from tripflow.llm.packing import _blocks, fullest, minimum_bin_slack, pack
 from tripflow.llm.token_files import Codec, Reader, read_tokens, train, write_tokens
 
 BYTE = public_tokenizers.path("byte_bpe_50k.json")
@@ -269,3 +269,16 @@ def test_parts_grow_with_pieces_of_one_length(spark):
     check_packed(docs, parts=2)
     places = {(r.sequence_id, r.offset) for r in got.collect()}
     assert len(places) == 1200  # numbers of all parts fit together
+
+
+def test_a_row_repeated_without_end_is_numbered_in_blocks(spark):
+    rows = [(None, "same text")] * 900 + [(i, "same text") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    once = pack(docs, BYTE, parts=1, part_pieces=100, block=5).collect()
+    again = pack(docs.repartition(5), BYTE, parts=1, part_pieces=100, block=5).collect()
+    assert len({(r.sequence_id, r.offset) for r in once}) == 1200
+    assert sorted(map(str, once)) == sorted(map(str, again))
+    pieces = docs.selectExpr("cast(doc_id as bigint) doc_id", "0 piece", "0L start", "3L length", "5L ids_crc32")
+    blocks = _blocks(pieces, np.array([0, 0, 0, 1200]), 1, 100, 5)
+    crowd = [r["sum(_copies)"] for r in blocks.groupBy("part").sum("_copies").collect()]
+    assert sum(crowd) == 1200 and len(crowd) == 12 and max(crowd) <= 2 * np.median(crowd)

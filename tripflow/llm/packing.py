@@ -19,6 +19,8 @@ END_ID = 2
 PARTS = 256
 #: Pieces of a part; lengths with more for each of their parts are numbered in more parts.
 PART_PIECES = 65_536
+#: Pieces alike in every column are numbered in blocks of so many, which may lie in different parts.
+BLOCK = 1024
 
 Pattern = tuple[int, list[tuple[int, int]]]  # how often it is used; lengths with copies of each
 
@@ -137,6 +139,23 @@ def _pieces(docs: DataFrame, tokenizer: str, id_col: str, text_col: str, end_id:
     return map_batches(rows, "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint", make)
 
 
+def _blocks(pieces: DataFrame, counts: np.ndarray, parts: int, part_pieces: int, block: int) -> DataFrame:
+    """Blocks of at most ``block`` pieces alike in every column, and the part of their length each lies in.
+
+    Copies are counted before the shuffle. Parts follow a hash of the row, so every run deals alike.
+    """
+    dealt_to = F.array(*[F.lit(max(parts, -(-int(n) // part_pieces))) for n in counts])
+    alike = pieces.groupBy(*pieces.columns).agg(F.count("*").alias("_all"))
+    first = F.sequence(F.lit(0).cast("bigint"), F.col("_all") - 1, F.lit(block).cast("bigint"))
+    spread = F.xxhash64("doc_id", "piece", "ids_crc32", "_first")
+    return alike.select("*", F.explode(first).alias("_first")).select(
+        *pieces.columns,
+        "_first",
+        F.least(F.lit(block), F.col("_all") - F.col("_first")).alias("_copies"),
+        F.pmod(spread, F.get(dealt_to, "length")).alias("part"),
+    )
+
+
 def pack(
     docs: DataFrame,
     tokenizer: str,
@@ -146,14 +165,17 @@ def pack(
     capacity: int = CAPACITY,
     parts: int = PARTS,
     part_pieces: int = PART_PIECES,
+    block: int = BLOCK,
 ) -> DataFrame:
     """Per piece: ``doc_id``, ``piece``, ``start``, ``length``, ``ids_crc32``, ``sequence_id``, ``offset``.
 
     A text's ids and ``end_id`` form a document; only one longer than ``capacity`` is cut.
     The pieces are counted by length on Spark, bins are chosen for those at most
     ``capacity`` counts, and the pieces of a length are numbered and look up their places.
-    They are dealt by hash to at least ``parts`` parts of some ``part_pieces``, so a common length
-    crowds no part; rows repeated in full share one. A null or empty text is one piece of ``end_id`` alone. Null ids and rows
+    Pieces alike in every column are counted before they are shuffled and numbered in blocks
+    of at most ``block``; blocks are dealt by hash to at least ``parts`` parts of some
+    ``part_pieces``, so neither a common length nor a row repeated without end crowds a part.
+    A null or empty text is one piece of ``end_id`` alone. Null ids and rows
     repeated in full are packed like others, an empty table gives an empty result, and
     other columns are not read.
     """
@@ -161,16 +183,19 @@ def pack(
     counts = np.zeros(capacity + 1, dtype=np.int64)
     for row in pieces.groupBy("length").count().collect():
         counts[row["length"]] = row["count"]
-    dealt_to = F.array(*[F.lit(max(parts, -(-int(n) // part_pieces))) for n in counts])
-    spread = F.xxhash64("doc_id", "piece", "ids_crc32")  # the same numbers on every run
-    dealt = pieces.withColumn("part", F.pmod(spread, F.get(dealt_to, "length")))
-    counted = dealt.groupBy("length", "part").count()
+    dealt = _blocks(pieces, counts, parts, part_pieces, block)
+    counted = dealt.groupBy("length", "part").agg(F.sum("_copies").alias("_in_part"))
     places = Places(minimum_bin_slack(counts, capacity), capacity)
-    before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    opens = counted.select("length", "part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_opens"))
-    within = Window.partitionBy("length", "part").orderBy("doc_id", "piece", "ids_crc32")
-    numbered = dealt.withColumn("_n", F.row_number().over(within) - 1).join(opens, ["length", "part"])
-    numbered = numbered.select(*pieces.columns, (F.col("_opens") + F.col("_n")).alias("number"))
+    lower = Window.unboundedPreceding, -1
+    before = Window.partitionBy("length").orderBy("part").rowsBetween(*lower)
+    opens = counted.select("length", "part", F.coalesce(F.sum("_in_part").over(before), F.lit(0)).alias("_opens"))
+    within = Window.partitionBy("length", "part").orderBy("doc_id", "piece", "start", "ids_crc32", "_first")
+    ahead = F.coalesce(F.sum("_copies").over(within.rowsBetween(*lower)), F.lit(0))
+    numbered = dealt.withColumn("_n", ahead).join(opens, ["length", "part"])
+    number = F.col("_opens") + F.col("_n")
+    numbered = numbered.select(
+        *pieces.columns, F.explode(F.sequence(number, number + F.col("_copies") - 1)).alias("number")
+    )
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
