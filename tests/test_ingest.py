@@ -587,3 +587,31 @@ def test_columns_that_differ_in_case_only_are_refused(spark):
             conform(df, T.StructType.fromDDL("fee int"))
     finally:
         spark.conf.unset("spark.sql.caseSensitive")
+
+
+def test_the_driver_sees_each_schema_once(spark, tmp_path, monkeypatch):
+    """Sixty files of three schemas, whichever way they are read."""
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    kinds = [pa.int32(), pa.int64(), pa.float64()]
+    for n in range(60):
+        table = pa.table({"passenger_count": pa.array([1, 2], kinds[n % 3])})
+        pq.write_table(table, landing / f"trips_{n:02}.parquet")
+    seen, collected = [], src._schemas
+
+    def schemas(found):
+        assert found.count() == 60
+        seen.append(collected(found))
+        return seen[-1]
+
+    monkeypatch.setattr(src, "_schemas", schemas)
+    found = src.schema_groups(spark, [str(landing)])
+    assert [len(paths) for paths, _ in found.groups] == [20, 20, 20] and len(found.rows) == 60
+    assert src.read_trips(spark, str(landing)).count() == 120
+    assert src.infer_trip_schema(spark, [str(landing)])["passenger_count"].dataType == T.DoubleType()
+    assert len(src.load_new_files(spark, str(landing), f"{tmp_path}/raw").loaded) == 60
+    assert src.read_raw(spark, f"{tmp_path}/raw").count() == 120
+    log = src.LoadLog(spark, f"{tmp_path}/raw").entries()
+    assert log.count() == 60 and log.filter("columns IS NOT NULL").count() == 3  # once for every record
+    assert [len(s) for s in seen] == [3, 3, 3, 3]
+    assert all(len(s) == len({k.json() for k in s.values()}) for s in seen)

@@ -46,12 +46,13 @@ class LoadLog:
 
     def columns(self) -> T.StructType | None:
         """The table's columns as of its latest load."""
-        latest = self.entries().agg(F.max_by("columns", F.struct("loaded_at", F.length("columns"))).alias("c"))
+        stated = self.entries().filter("columns IS NOT NULL")
+        latest = stated.agg(F.max_by("columns", F.struct("loaded_at", F.length("columns"))).alias("c"))
         found = latest.first()["c"]
         return T.StructType.fromJson(json.loads(found)) if found else None
 
     def record(self, parts: Sequence[tuple[str | None, str, str | None]], columns: T.StructType | None) -> None:
-        """Record parts (source file, part, landing unit) as loaded, in one file."""
-        rows = [(*part, columns.json() if columns else None) for part in parts]
+        """Record parts (source file, part, landing unit) as loaded, in one file; its first row states the columns."""
+        rows = [(*part, columns.json() if columns and not n else None) for n, part in enumerate(parts)]
         frame = self.spark.createDataFrame(rows, T.StructType(LOG_SCHEMA.fields[:4]))
         frame.withColumn("loaded_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(self.path)

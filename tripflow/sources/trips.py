@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from functools import reduce
 from urllib.parse import unquote
@@ -86,29 +87,54 @@ class FileGroups:
     unreadable: list[str] = field(default_factory=list)
     rows: dict[str, int] = field(default_factory=dict)
 
-    def add(self, path: str, schema: T.StructType) -> None:
-        """Join a group of the same columns and types, or open a new one."""
+    def paths_of(self, schema: T.StructType) -> list[str]:
+        """Paths of the group of the same columns and types, which is opened if there is none."""
         kinds = {f.name.lower(): f.dataType for f in schema.fields}
         for known, existing in self.groups:
             if kinds == {f.name.lower(): f.dataType for f in existing.fields}:
-                known.append(path)
-                return
-        self.groups.append(([path], schema))
+                return known
+        self.groups.append(([], schema))
+        return self.groups[-1][0]
 
 
-def _grouped(spark: SparkSession, files: Iterable[Row], on_error: str) -> FileGroups:
+def _schemas(found: DataFrame) -> dict[str, T.StructType]:
+    """Each schema of the files once, by its digest; one row a schema reaches the driver."""
+    known = found.filter("columns IS NOT NULL").groupBy("schema_id")
+    rows = known.agg(F.min("path").alias("path"), F.min("columns").alias("columns")).orderBy("path").collect()
+    return {r["schema_id"]: T.StructType.fromJson(json.loads(r["columns"])) for r in rows}
+
+
+@contextmanager
+def _footers_once(files: DataFrame) -> Iterator[tuple[DataFrame, dict[str, T.StructType]]]:
+    """Files with the digest of their schema in place of the schema, and the schemas by digest.
+
+    The footers are kept while they are in use, so that they are read once.
+    """
+    found = footers(files).withColumn("schema_id", F.sha2("columns", 256)).persist()
+    try:
+        yield found.drop("columns"), _schemas(found)
+    finally:
+        found.unpersist()
+
+
+def _grouped(
+    spark: SparkSession, files: Iterable[Row], schemas: Mapping[str, T.StructType], on_error: str
+) -> FileGroups:
     found = FileGroups()
+    paths_of: dict[str, list[str]] = {}
     for file in files:
         if file["damage"] is not None:
             if on_error != "skip":
                 raise DamagedFileError(f"{file['path']}: {file['damage']}")
             found.unreadable.append(file["path"])
-        elif file["columns"] is not None:
-            found.add(file["path"], T.StructType.fromJson(json.loads(file["columns"])))
+        elif (schema := file["schema_id"]) is not None:
+            if schema not in paths_of:
+                paths_of[schema] = found.paths_of(schemas[schema])
+            paths_of[schema].append(file["path"])
             found.rows[file["path"]] = file["rows"]
         else:
             try:
-                found.add(file["path"], spark_schema(spark, file["path"]))
+                found.paths_of(spark_schema(spark, file["path"])).append(file["path"])
             except _SPARK_ERRORS:
                 # a scan names the file where the inference of its schema may not
                 if on_error != "skip" or _reads(spark, [file["path"]], T.StructType([_PART_FIELD])):
@@ -120,10 +146,12 @@ def _grouped(spark: SparkSession, files: Iterable[Row], on_error: str) -> FileGr
 def schema_groups(spark: SparkSession, paths: Sequence[str], on_error: str = "abort") -> FileGroups:
     """Files of the given paths by their columns and types.
 
-    All footers are read in one distributed pass, however the types alternate. A damaged
-    footer raises, or with ``skip`` is reported.
+    All footers are read in one distributed pass, however the types alternate, and compared
+    on the executors: the driver gets every schema once, and of a file its path and rows. A
+    damaged footer raises, or with ``skip`` is reported.
     """
-    return _grouped(spark, footers(list_files(spark, paths)).orderBy("path").collect(), on_error)
+    with _footers_once(list_files(spark, paths)) as (files, schemas):
+        return _grouped(spark, files.orderBy("path").collect(), schemas, on_error)
 
 
 def list_files(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
@@ -155,8 +183,14 @@ def parts_of(files: DataFrame) -> DataFrame:
 
 
 def infer_trip_schema(spark: SparkSession, paths: Sequence[str]) -> T.StructType:
-    """Union of the files' columns, each in the widest type any file uses."""
-    return merged_schema([schema for _, schema in schema_groups(spark, paths).groups])
+    """Union of the files' columns, each in the widest type any file uses.
+
+    Only distinct schemas reach the driver, and files that pyarrow cannot open.
+    """
+    with _footers_once(list_files(spark, paths)) as (files, schemas):
+        others = files.filter("schema_id IS NULL").orderBy("path").toLocalIterator()
+        asked = _grouped(spark, others, schemas, "abort").groups
+    return merged_schema([*schemas.values(), *[schema for _, schema in asked]])
 
 
 def _read_group(
@@ -448,21 +482,21 @@ def load_parts(
     columns = log.columns() or schema
     loaded: set[str] = set()
     skipped: list[str] = []
-    ordered = footers(fresh).orderBy("source_file", "part")
-    for batch in _batches(ordered.toLocalIterator(), batch_files):
-        found = _grouped(spark, batch, on_error)
-        skipped += found.unreadable
-        by_path = {file["path"]: file for file in batch}
-        for paths, files in found.groups:
-            columns = evolved_schema(columns, files)
-
-            if on_error == "skip":
-                paths, bad = _sound(spark, paths, files, found.rows)
-                skipped += bad
-            if not paths:
-                continue
-            _write_parts(_read_group(spark, paths, files, columns), log.target)
-            done = [by_path[p] for p in paths]
-            log.record([(f["source_file"], f["part"], f["unit"]) for f in done], columns)
-            loaded |= {f["unit"] for f in done}
+    with _footers_once(fresh) as (listed, schemas):
+        ordered = listed.orderBy("source_file", "part").toLocalIterator()
+        for batch in _batches(ordered, batch_files):
+            found = _grouped(spark, batch, schemas, on_error)
+            skipped += found.unreadable
+            by_path = {file["path"]: file for file in batch}
+            for paths, files in found.groups:
+                columns = evolved_schema(columns, files)
+                if on_error == "skip":
+                    paths, bad = _sound(spark, paths, files, found.rows)
+                    skipped += bad
+                if not paths:
+                    continue
+                _write_parts(_read_group(spark, paths, files, columns), log.target)
+                done = [by_path[p] for p in paths]
+                log.record([(f["source_file"], f["part"], f["unit"]) for f in done], columns)
+                loaded |= {f["unit"] for f in done}
     return LoadReport(sorted(loaded), sorted(skipped))
