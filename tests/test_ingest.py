@@ -7,13 +7,14 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from helpers import micros, plan, raw_trips
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripflow.operators.dashboards import kpis
 from tripflow.plans.pipeline import build, build_dashboard, build_views
 from tripflow.schemas import RAW_TRIP_SCHEMA, ZONE_SCHEMA
-from tripflow.session import shared_dir
+from tripflow.session import files_kept_open, shared_dir
 from tripflow.sources import trips as src
 from tripflow.sources.conform import conform, evolve, merged_schema
 from tripflow.sources.generations import Generations
@@ -615,3 +616,46 @@ def test_the_driver_sees_each_schema_once(spark, tmp_path, monkeypatch):
     assert log.count() == 60 and log.filter("columns IS NOT NULL").count() == 3  # once for every record
     assert [len(s) for s in seen] == [3, 3, 3, 3]
     assert all(len(s) == len({k.json() for k in s.values()}) for s in seen)
+
+
+OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
+
+
+def test_loads_keep_files_open_and_do_not_sort(spark, tmp_path, monkeypatch):
+    seen = []
+    write_parquet = DataFrameWriter.parquet
+
+    def parquet(writer, path, *args, **named):
+        seen.append((path, int(spark.conf.get(OPEN_FILES))))
+        return write_parquet(writer, path, *args, **named)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", parquet)
+    landing, target = f"{tmp_path}/landing", f"{tmp_path}/raw"
+    for month in range(1, 41):  # more files than one task keeps open
+        land(landing, f"20{month:02d}-01", rows=3)
+    src.load_new_files(spark, landing, target)
+    src.write_raw(raw_trips(spark, {}, {}), target)
+    assert [most > 0 for path, most in seen if path == target] == [True, True]
+    assert int(spark.conf.get(OPEN_FILES)) == 0
+    assert sorted(counts(src.read_raw(spark, target)).values()) == [2] + [3] * 40
+    with pytest.raises(ArithmeticError), files_kept_open(spark):
+        raise ArithmeticError
+    assert int(spark.conf.get(OPEN_FILES)) == 0
+    spark.conf.set(OPEN_FILES, "5")
+    try:
+        with files_kept_open(spark):
+            assert spark.conf.get(OPEN_FILES) == "5"
+        assert spark.conf.get(OPEN_FILES) == "5"
+    finally:
+        spark.conf.unset(OPEN_FILES)
+
+
+@pytest.mark.parametrize("mode", ["append", "overwrite"])
+def test_rows_written_directly_are_dealt_by_month(spark, tmp_path, mode):
+    months = [f"trips_2024-{m:02d}.parquet" for m in range(1, 7)] + [None]
+    trips = raw_trips(spark, *[{"_source_file": m} for m in months] * 8).repartition(8)
+    target = f"{tmp_path}/raw"
+    src.write_raw(trips, target, mode)
+    files = src.list_files(spark, src.LoadLog(spark, target).target).filter(~F.col("path").contains("_load_log"))
+    assert files.count() == len(months)  # not a file for each month and task
+    assert counts(src.read_raw(spark, target)) == dict.fromkeys(months, 8)

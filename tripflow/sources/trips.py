@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripflow.schemas import INGESTION_DATE, PART, RAW_TRIP_SCHEMA, SOURCE_FILE
+from tripflow.session import files_kept_open
 from tripflow.sources.conform import conform, evolved_schema, merged_schema
 from tripflow.sources.footers import footers, spark_schema
 from tripflow.sources.generations import Folders, Generations
@@ -320,8 +321,10 @@ def _reads(spark: SparkSession, paths: Sequence[str], files: T.StructType) -> bo
 
 
 def _write_parts(rows: DataFrame, target: str) -> None:
+    """Write rows into the folders of their parts; each task is to meet few of these, and then sorts nothing."""
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(SOURCE_FILE, PART).parquet(target)
+    with files_kept_open(rows.sparkSession):
+        writer.partitionBy(SOURCE_FILE, PART).parquet(target)
 
 
 def write_raw(df: DataFrame, path: str, mode: str = "append") -> None:
@@ -340,7 +343,8 @@ def write_raw(df: DataFrame, path: str, mode: str = "append") -> None:
     known = log.columns() if mode == "append" else None
     columns = evolved_schema(known, df.schema) if known else df.schema
     part = f"rows-{uuid4().hex}"
-    rows = conform(df, columns).withColumn(PART, F.lit(part))
+    # a month too large for one task is split; no task meets all months
+    rows = conform(df, columns).withColumn(PART, F.lit(part)).hint("rebalance", SOURCE_FILE)
     if mode == "append":
         _write_parts(rows, log.target)
         log.record([(None, part, None)], columns)

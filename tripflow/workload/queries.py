@@ -25,7 +25,7 @@ from tripflow.plans.pipeline import (
 )
 from tripflow.plans.refresh import refresh_marts
 from tripflow.schemas import BUSINESS_COLUMNS, RAW_TRIP_SCHEMA, SOURCE_FILE
-from tripflow.session import shared_dir
+from tripflow.session import files_kept_open, shared_dir
 from tripflow.sources.conform import evolve
 from tripflow.sources.layers import layer_path, materialize, read_layer
 from tripflow.sources.trips import (
@@ -317,7 +317,8 @@ SUITES: dict[str, Query] = {
 def _land(df: DataFrame, landing: str) -> None:
     """Write trips as monthly files; rebalancing splits a month too large for one task."""
     balanced = df.hint("rebalance", SOURCE_FILE)
-    balanced.write.mode("append").partitionBy(SOURCE_FILE).parquet(landing)
+    with files_kept_open(df.sparkSession):
+        balanced.write.mode("append").partitionBy(SOURCE_FILE).parquet(landing)
 
 
 def _as_first_half(raw: DataFrame) -> DataFrame:
