@@ -86,3 +86,22 @@ def test_a_refresh_that_breaks_off_is_repeated(spark, tmp_path, monkeypatch):
         refresh_marts(spark, raw, zones, root, batch_parts=1)
     monkeypatch.setattr(refresh.cube, "trip_cube", make)
     check(spark, raw, root, zones)
+
+
+def test_a_refresh_reads_the_shares_once(spark, tmp_path, monkeypatch):
+    landing, raw, root = f"{tmp_path}/landing", f"{tmp_path}/raw", str(tmp_path / "lake")
+    zones = spark.createDataFrame([(10, "North", "Hill", "Boro"), (None, "South", None, None)], ZONE_SCHEMA)
+    stored = []
+
+    def materialize(df, folder, layer, name):
+        stored.append((name, sum("trip_shares" in path for path in df.inputFiles())))
+        return build(df, folder, layer, name)
+
+    build = refresh.materialize
+    monkeypatch.setattr(refresh, "materialize", materialize)
+    land(spark, landing, "05", {}, {"PULocationID": None}, {"total_amount": float("nan")}, {"total_amount": float("inf")})
+    land(spark, landing, "06", {"PULocationID": 11, "tip_amount": None}, {"trip_distance": None})
+    src.load_new_files(spark, landing, raw)
+    check(spark, raw, root, zones)
+    assert sorted(name for name, _ in stored) == ["daily_summary", "hourly_patterns", "mart_aggregates", "zone_analysis"]
+    assert [name for name, files in stored if files] == ["mart_aggregates"]

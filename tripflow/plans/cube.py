@@ -17,6 +17,7 @@ from tripflow.functions import epoch
 from tripflow.functions.numeric import cent_millionths, cents, join_parts, with_rest, without_cents
 from tripflow.operators.marts import name_zones
 from tripflow.operators.zones import UNKNOWN_BOROUGHS
+from tripflow.plans.one_pass import DAILY, HOURLY, KEYS, ZONE
 
 MEASURES = ["total_amount", "trip_distance", "tip_rate", "avg_speed_mph"]
 
@@ -54,6 +55,22 @@ def _mean_minutes() -> Column:
     return F.try_divide(F.sum("minutes"), F.sum("minutes_known"))
 
 
+def mart_aggregates(cube: DataFrame) -> DataFrame:
+    """``one_pass.mart_aggregates`` from the rollup: all three marts from one read of it."""
+    dow, period = epoch.day_of_week(F.col("pickup_date")), epoch.time_period(F.col("pickup_hour"))
+    rows = cube.withColumns({"pickup_dow": dow, "time_period": period})
+    return rows.groupingSets([DAILY, HOURLY, ZONE], *KEYS).agg(
+        F.grouping_id().alias("_set"),
+        F.sum("trips").alias("total_trips"),
+        _total("total_amount").alias("total_revenue"),
+        _mean("total_amount").alias("avg_fare"),
+        _mean("trip_distance").alias("avg_distance"),
+        _mean_minutes().alias("avg_duration_min"),
+        _mean("tip_rate").alias("avg_tip_rate"),
+        _mean("avg_speed_mph").alias("avg_speed_mph"),
+    )
+
+
 def daily_summary(cube: DataFrame) -> DataFrame:
     return cube.groupBy("pickup_date").agg(
         F.sum("trips").alias("total_trips"),

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tripflow.operators.cleaning import Profile, clean, mart_profile
 from tripflow.operators.zones import UNKNOWN_BOROUGHS
-from tripflow.plans import cube
+from tripflow.plans import cube, one_pass
 from tripflow.schemas import PART, SOURCE_FILE
 from tripflow.sources.generations import Folders
 from tripflow.sources.layers import layer_path, materialize
@@ -126,9 +126,10 @@ def refresh_marts(
         raise ValueError(f"profile {profile.name} compares rows of different parts")
     shares = Shares(spark, raw, layer_path(root, "staging", "trip_shares"))
     shares.add_missing(lambda trips: cube.trip_cube(clean(trips, profile), ["source_file"]), batch_parts)
-    rows = shares.current()
+    # the shares are many and matched with the logs, so all marts take them from one read
+    rows = materialize(cube.mart_aggregates(shares.current()), root, "staging", "mart_aggregates")
     return {
-        "daily_summary": materialize(cube.daily_summary(rows), root, "final", "daily_summary"),
-        "zone_analysis": materialize(cube.zone_analysis(rows, zones, exclude), root, "final", "zone_analysis"),
-        "hourly_patterns": materialize(cube.hourly_patterns(rows), root, "final", "hourly_patterns"),
+        "daily_summary": materialize(one_pass.daily_summary(rows), root, "final", "daily_summary"),
+        "zone_analysis": materialize(one_pass.zone_analysis(rows, zones, exclude), root, "final", "zone_analysis"),
+        "hourly_patterns": materialize(one_pass.hourly_patterns(rows), root, "final", "hourly_patterns"),
     }
